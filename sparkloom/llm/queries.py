@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality, secrets, sharding
+from . import decontamination, licenses, line_dedup, quality, secrets, sharding
 
 QUERIES = {
+    "op2_license_scans": licenses.op2_license_scans,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_secret_scans": secrets.op4_secret_scans,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
 }
 ORACLE_SQL = {
+    "op2_license_scans": licenses.OP2_SQL,
     "op3_quality_rules": quality.OP3_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op9_decontamination": decontamination.OP9_SQL,
 }
