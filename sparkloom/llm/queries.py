@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, licenses, line_dedup, quality, secrets, sharding, simhash
+from . import bpe, decontamination, licenses, line_dedup, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op2_license_scans": licenses.op2_license_scans,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_secret_scans": secrets.op4_secret_scans,
     "op5_simhash": simhash.op5_simhash,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
