@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, licenses, line_dedup, quality, secrets, sharding, simhash, toxicity
+from . import bpe, decontamination, licenses, line_dedup, lm, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_lm_scoring": lm.op1_lm_scoring,
     "op2_license_scans": licenses.op2_license_scans,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_secret_scans": secrets.op4_secret_scans,
