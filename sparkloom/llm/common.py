@@ -56,6 +56,11 @@ def land(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """df, a table or checkpoint of narrow rows, marked for broadcast if it is counted to have no more rows than that."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, table, whole
+from .common import col, cut, if_small, table, whole
 
 #: The words of a seed, from its start; those between are ignored.
 MASKS = ((0, 1, 3, 4), (0, 2, 3, 5))
@@ -94,6 +94,14 @@ def find_overlaps(
     return found.where(F.col("matched") >= F.ceil(F.lit(least) * F.col("window")))
 
 
+def drop_overlaps(df: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
+    """The rows of df without those that find_overlaps names. Rows alike in id and text go or stay together."""
+    bad = cut(find_overlaps(df, benchmark, text=text, doc_id=doc_id, **how).select("_id", "_th").distinct())
+    rows = df.withColumn("_th2", F.xxhash64(whole(col(text))))
+    clean = rows.join(if_small(bad), rows[f"`{doc_id}`"].eqNullSafe(F.col("_id")) & (F.col("_th2") == F.col("_th")), "left_anti")
+    return clean.select(*[col(c) for c in df.columns])
+
+
 def op9_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_overlaps(docs, table(spark, sf_dir, "benchmark")).select(F.col("_id").alias("doc_id"), "item_id", "start", "matched", "window")

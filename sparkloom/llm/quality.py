@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, col, cut, table, whole, words
+from .common import WS, col, cut, if_small, table, whole, words
 
 SYMBOLS = "[#*$%&|<>]"
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -72,6 +72,7 @@ def judged(df: DataFrame, *, host: str = "source", failed: str = "_failed", max_
     df is read twice and so should be a table or a checkpoint. An empty table gives an empty result.
     """
     verdicts = host_verdicts(df, host=host, failed=failed, max_rate=max_rate).select("_host", "host_rate", "host_rejected")
+    verdicts = if_small(cut(verdicts))
     joined = df.join(verdicts, col(host).eqNullSafe(F.col("_host")), "left")
     kept = ~col(failed) & ~F.coalesce("host_rejected", F.lit(False))
     return joined.select(*[df[f"`{c}`"] for c in df.columns], "host_rate", kept.alias("_kept"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, parts, table, whole, without
+from .common import col, cut, if_small, parts, table, whole
 
 SEED = 42
 WIDTH = 64
@@ -38,15 +38,16 @@ def fingerprint(text: bytes, words: int = 4) -> int:
 
 
 def fingerprints(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4) -> DataFrame:
-    """_id and _fp, the 64 bits as a signed long, for each row. No exchange; only the id and the text are read."""
+    """_id, _th (a hash of the text) and _fp, the 64 bits as a signed long, for each row. No exchange; only the id and the text are read."""
     kind = df.select(col(doc_id)).schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = np.fromiter((fingerprint(t.encode(), words) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made.view(np.int64))], names=["_id", "_fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(made.view(np.int64))], names=["_id", "_th", "_fp"])
 
-    return df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")).mapInArrow(run, f"_id {kind.simpleString()}, _fp bigint")
+    given = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t"))
+    return given.select("_id", "_t", F.xxhash64("_t").alias("_th")).mapInArrow(run, f"_id {kind.simpleString()}, _th bigint, _fp bigint")
 
 
 def components(n: int, a: np.ndarray, b: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
@@ -194,7 +195,7 @@ def connected(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
 
 
 def group_by_simhash(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
-    """_id, _fp and component_id, the smallest id that is reached over links of at most radius bits, for each row.
+    """_id, _th, _fp and component_id, the smallest id that is reached over links of at most radius bits, for each row.
 
     Null and texts without words have the fingerprint zero, and link like any other. A null id never names a
     component; a component of null ids alone has a null name. Repeated rows stay. An empty table gives an
@@ -206,7 +207,7 @@ def group_by_simhash(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id
     rooted = nodes.join(labels, F.col("_fp") == F.col("_node"), "left").select("_fp", "_least", F.coalesce("_root", "_fp").alias("_root"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     known = rooted.join(named, "_root").select(F.col("_fp").alias("_fp2"), "component_id")
-    return marks.join(known, F.col("_fp") == F.col("_fp2")).select("_id", "_fp", "component_id")
+    return marks.join(known, F.col("_fp") == F.col("_fp2")).select("_id", "_th", "_fp", "component_id")
 
 
 def hexadecimal(fp: str | Column) -> Column:
@@ -216,15 +217,20 @@ def hexadecimal(fp: str | Column) -> Column:
 def drop_near_copies(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
     """The rows of df whose id is the smallest of their group, one row for each id; rows without an id stay.
 
-    df is read twice and so should be a table. Only ids are exchanged for most rows: texts move for those
-    whose id more than one row has.
+    df is read twice and so should be a table. The ids that go are broadcast if they are counted as few;
+    otherwise, and for ids that several rows have, texts are exchanged by id.
     """
     grouped = group_by_simhash(df, text=text, doc_id=doc_id, words=words, radius=radius)
-    first = cut(grouped.where("_id = component_id").groupBy("_id").agg(F.count(F.lit(1)).alias("_n")))
-    out = df.join(first.where("_n = 1").select("_id"), df[f"`{doc_id}`"] == F.col("_id"), "left_semi").unionByName(df.where(col(doc_id).isNull()))
-    if (again := first.where("_n > 1").select("_id")).isEmpty():
-        return out
-    return out.unionByName(df.join(again, df[f"`{doc_id}`"] == F.col("_id"), "left_semi").dropDuplicates([doc_id]))
+    best = F.min(F.when(F.col("_id") == F.col("component_id"), F.col("_th"))).alias("_best")
+    ids = cut(grouped.where("_id IS NOT NULL").groupBy("_id").agg(best, F.count(F.lit(1)).alias("_n")))
+    plain = ids.where("_n = 1 AND _best IS NULL").select("_id")
+    again = ids.where("_n > 1")
+    own = df[f"`{doc_id}`"]
+    if again.isEmpty():
+        return df.join(if_small(plain), own == F.col("_id"), "left_anti")
+    out = df.join(if_small(plain.unionByName(again.select("_id"))), own == F.col("_id"), "left_anti")
+    chosen = df.join(again, (own == F.col("_id")) & (F.xxhash64(whole(df[f"`{text}`"])) == F.col("_best")), "left_semi")
+    return out.unionByName(chosen.dropDuplicates([doc_id]))
 
 
 def op5_simhash(spark, sf_dir):
