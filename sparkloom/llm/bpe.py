@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import col, table, whole, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Distinct pieces whose ids a worker remembers; all are forgotten when there are more.
+#: Distinct pieces whose ids a worker remembers; with as many new ones again, those not met since are forgotten.
 REMEMBERED = 400_000
 #: A match looks at most this many characters beyond its end: the longest contraction, and one more.
 LOOKS_AHEAD = 3
@@ -39,7 +40,8 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.beginnings = {k[:n] for k in ranks for n in range(1, len(k) + 1)}
+        #: Every beginning of a token, with the token's id if it is one.
+        self.beginnings = {k[:n]: -1 for k in ranks for n in range(1, len(k))} | ranks
         self.longest = max(map(len, ranks), default=0)
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
@@ -90,14 +92,21 @@ class Coder:
         n = len(piece)
         del last[start + 1 :]
         last += [-1] * (n + 1 - len(last))
-        ranks, beginnings = self.ranks, self.beginnings
-        longest = self.longest if start else 0
-        for i in range(max(0, start - longest), n):
+        begins, pairs = self.beginnings.get, self._pairs.get
+        for i in range(max(0, start - self.longest) if start else 0, n):
+            before = last[i]
             for j in range(i + 1, n + 1):
                 s = piece[i:j]
-                if s not in beginnings:
+                token = begins(s)
+                if token is None:
                     break
-                if j > start and (token := ranks.get(s)) is not None and last[j] < 0 and (self.may_follow(last[i], token) if i else self.made(s)):
+                if token < 0 or last[j] >= 0 or j <= start:
+                    continue
+                if i:
+                    follows = pairs((before, token))
+                    if self.may_follow(before, token) if follows is None else follows:
+                        last[j] = token
+                elif self.made(s):
                     last[j] = token
         return last
 
@@ -146,15 +155,18 @@ class TextCoder:
     """Encodes texts, each match of the pattern for itself."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        self.coder, self.match, self.known = Coder(ranks), compiled(pattern), {}
+        self.coder, self.match, self.known, self.older = Coder(ranks), compiled(pattern), {}, {}
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        pieces, known = self.match.findall(text), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        pieces, known, older = self.match.findall(text), self.known, self.older
         for p in set(pieces).difference(known):
-            known[p] = np.array(self.coder.encode_piece(p.encode()), "<u4").tobytes()
+            if (ids := older.get(p)) is None:
+                tokens = self.coder.encode_piece(p.encode())
+                ids = struct.pack(f"<{len(tokens)}I", *tokens)
+            known[p] = ids
         return b"".join(map(known.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
@@ -178,15 +190,27 @@ class TextCoder:
         return after, kept + found
 
 
+_CODERS: dict[str, TextCoder] = {}
+
+
+def _coder(name: str, ranks, pattern: str) -> TextCoder:
+    """The coder of that name, kept with what it remembers while the worker lives; one at a time."""
+    if name not in _CODERS:
+        _CODERS.clear()
+        _CODERS[name] = TextCoder(ranks.value, pattern)
+    return _CODERS[name]
+
+
 def _coded(df: DataFrame, schema: str, work: Callable[[TextCoder, dict], dict], ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """work on each Arrow batch. The vocabulary, a file of fixed size, is broadcast, for executors may not have it."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     made = df.sparkSession.createDataFrame([], schema).schema
+    name = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        coder, out = TextCoder(shared.value, pattern), to_arrow_schema(made)
+        coder, out = _coder(name, shared, pattern), to_arrow_schema(made)
         for batch in batches:
             got = work(coder, {n: batch.column(k) for k, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([got[f.name] if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], f.type) for f in out], schema=out)
