@@ -179,7 +179,7 @@ ORACLE_SQL = {
     "variant_targets": f"""
 WITH l AS (SELECT CAST(i AS INT) AS list, CAST(b AS JSON) AS b FROM (VALUES {_values(enumerate(LISTS))}) v(i, b)),
 t AS (SELECT list, CAST(o AS INT) AS ord, b -> ('$.targets[' || o || ']') AS t FROM (SELECT list, b, unnest(range(CAST(json_array_length(b, '$.targets') AS BIGINT))) AS o FROM l)),
-f AS (SELECT list, ord, t -> '$.id' AS i, t -> '$.feed_url' AS u FROM t)
+f AS (SELECT list, ord, t -> '$.id' AS i, t -> '$.feed_url' AS u FROM t),
 e AS (SELECT *, coalesce({_TRUE.format('i')}, false) AND coalesce({_TRUE.format('u')}, false) AS eligible FROM f)
 SELECT list, ord, CASE WHEN eligible THEN CAST(i AS VARCHAR) END AS feed_id, eligible FROM e""",
     "post_outcomes": f"""
