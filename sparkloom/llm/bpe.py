@@ -14,11 +14,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, table, whole, without
+from .common import col, few, table, whole, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces whose ids a worker remembers; with as many new ones again, those not met since are forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: A match looks at most this many characters beyond its end: the longest contraction, and one more.
 LOOKS_AHEAD = 3
 NEVER = 1 << 60
@@ -211,7 +211,7 @@ def _coded(df: DataFrame, schema: str, work: Callable[[TextCoder, dict], dict],
         from pyspark.sql.pandas.types import to_arrow_schema
 
         coder, out = _coder(name, shared, pattern), to_arrow_schema(made)
-        for batch in batches:
+        for batch in few(batches):
             got = work(coder, {n: batch.column(k) for k, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([got[f.name] if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], f.type) for f in out], schema=out)
 
@@ -219,38 +219,22 @@ def _coded(df: DataFrame, schema: str, work: Callable[[TextCoder, dict], dict],
 
 
 def encode(df: DataFrame, *, text: str = "text", ranks: dict[bytes, int] | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """df with n_tokens and ids, the tokens as little-endian unsigned 32-bit integers in a binary column.
+    """df with n_tokens, ids, the tokens as little-endian unsigned 32-bit integers, and decoded_sha256 of what they decode to.
 
-    A null or empty text has no tokens. Columns of df named n_tokens or ids are replaced, rows stay as they
-    are, and there is no exchange. A worker holds the vocabulary, one batch and REMEMBERED pieces at most.
+    A null or empty text has no tokens. Columns of df under one of these names are replaced, rows stay as they
+    are, and there is no exchange. A worker holds the vocabulary, some texts and twice REMEMBERED pieces at most.
     """
     ranks = ranks or read_ranks(public_tokenizers.path(VOCABULARY))
-    kept = without(df, "n_tokens", "ids")
+    kept = without(df, "n_tokens", "ids", "decoded_sha256")
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.select(*[col(c) for c in kept]).schema)
 
     def work(coder: TextCoder, own: dict) -> dict:
-        ids = [coder.packed(t or "") for t in own.pop("_t").to_pylist()]
-        return own | {"n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+        ids = [coder.packed(t) for t in own.pop("_t").to_pylist()]
+        back = [hashlib.sha256(coder.coder.decode(np.frombuffer(x, "<u4").tolist())).hexdigest() for x in ids]
+        return own | {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded_sha256": back}
 
     given = df.select(*[col(c) for c in kept], whole(col(text)).alias("_t"))
-    return _coded(given, f"{schema}, n_tokens bigint, ids binary", work, ranks, pattern)
-
-
-def digests(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", ranks: dict[bytes, int] | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the bytes that they decode to. Null texts are empty."""
-    ranks = ranks or read_ranks(public_tokenizers.path(VOCABULARY))
-
-    def work(coder: TextCoder, own: dict) -> dict:
-        n, ids, back = [], [], []
-        for t in own["_t"].to_pylist():
-            packed = coder.packed(t)
-            n.append(len(packed) // 4)
-            ids.append(hashlib.sha256(packed).hexdigest())
-            back.append(hashlib.sha256(coder.coder.decode(np.frombuffer(packed, "<u4").tolist())).hexdigest())
-        return {"doc_id": own["_id"], "n_tokens": n, "ids_sha256": ids, "decoded_sha256": back}
-
-    kind = df.select(col(doc_id)).schema[0].dataType.simpleString()
-    return _coded(df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", work, ranks, pattern)
+    return _coded(given, f"{schema}, n_tokens bigint, ids binary, decoded_sha256 string", work, ranks, pattern)
 
 
 def decode(df: DataFrame, *, ids: str = "ids", ranks: dict[bytes, int] | None = None) -> DataFrame:
@@ -266,4 +250,5 @@ def decode(df: DataFrame, *, ids: str = "ids", ranks: dict[bytes, int] | None =
 
 
 def op7_byte_bpe(spark, sf_dir):
-    return digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(docs).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +58,13 @@ def land(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in shorter ones, so that what a worker holds of texts at a time is little."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """df, a table or checkpoint of narrow rows, marked for broadcast if it is counted to have no more rows than that."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, land, table, whole
+from .common import col, few, land, table, whole
 
 #: Words that workers know by number: the most frequent, at most so many. The others' counts come by a join.
 HEAD = 1 << 18
@@ -28,8 +28,8 @@ CONTEXTS = BEFORE + 1
 PAIRS, WITHIN = 1 << 13, 1 << 12
 ROUNDS, RATE, PRIOR = 3, 0.6, 4.0
 ALPHA = 0.1
-#: Tokens and texts that a worker takes at a time, which bound its memory.
-BLOCK, TEXTS = 120_000, 1000
+#: Tokens that a worker takes at a time, which bounds its memory.
+BLOCK = 120_000
 #: Rows of the parameter tables, one after another: last word, the word before (a skip), both hashed, last word and class hashed.
 TABLES = (CONTEXTS, CONTEXTS, PAIRS, WITHIN)
 CHUNK = 64
@@ -70,7 +70,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         seen: Counter[bytes] = Counter()
         texts = 0
-        for b in _few(batches):
+        for b in few(batches):
             for t in b.column(0).to_pylist():
                 seen.update(t.encode().lower().split())
                 texts += 1
@@ -199,15 +199,9 @@ class Model:
         return out + large
 
 
-def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for k in range(0, b.num_rows, TEXTS):
-            yield b.slice(k, TEXTS)
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
     """Rows of a batch by blocks of about BLOCK tokens: batch, first and end row, ids, lengths."""
-    for batch in _few(batches):
+    for batch in few(batches):
         each = [np.frombuffer(x, "<i4") for x in batch.column(at).to_pylist()]
         first, held = 0, 0
         for k, x in enumerate(each):
@@ -228,7 +222,7 @@ def encode(docs: DataFrame, words: Words) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {w: k + 1 for k, w in enumerate(shared.value)}
         beyond = len(number) + 1
-        for b in _few(batches):
+        for b in few(batches):
             ids, tails = [], []
             for t in b.column(4).to_pylist():
                 tokens = t.encode().lower().split()

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, if_small, parts, table, whole
+from .common import col, cut, few, if_small, parts, table, whole
 
 SEED = 42
 WIDTH = 64
@@ -42,7 +42,7 @@ def fingerprints(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
     kind = df.select(col(doc_id)).schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few(batches):
             made = np.fromiter((fingerprint(t.encode(), words) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(made.view(np.int64))], names=["_id", "_th", "_fp"])
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, land, table, whole
+from .common import col, few, land, table, whole
 
 BITS = 22
 #: Labelled documents that the model is fitted on at most: the first in the order of a hash of their ids.
@@ -156,7 +156,7 @@ def margins(df: DataFrame, model: Model, *, text: str = "text", doc_id: str = "d
         dense, known = np.zeros((1 << BITS) + 1, np.float32), _Hashes()
         dense[m.at] = m.weights
         base = m.offset + float(dense[-1])
-        for b in batches:
+        for b in few(batches):
             x = np.array([base + float(dense[features(t, known)].sum(dtype=np.float64)) for t in b.column(1).to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.a * x + m.b)], names=["_id", "_x"])
 
