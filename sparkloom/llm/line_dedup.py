@@ -57,19 +57,19 @@ def keep_bitmaps(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", m
 
 def drop_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
     """df with _n_lines, _n_dropped and _kept, the text without its repeated lines. A null text counts as one empty line."""
-    maps = keep_bitmaps(df, text=text, doc_id=doc_id, **how).withColumnsRenamed({"_id": "_id2", "_th": "_th2"})
+    maps = keep_bitmaps(df, text=text, doc_id=doc_id, **how).select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), F.col("keep").alias("_keep"), F.col("n_dropped").alias("_gone"))
     rows = _identified(df, text, doc_id)
     gone = F.expr(
-        f"flatten(transform(keep, k -> transform(filter(sequence(0, {WORD - 1}), b -> getbit(k.bits, b) = 0), b -> k.word * {WORD} + b)))"
+        f"flatten(transform(_keep, k -> transform(filter(sequence(0, {WORD - 1}), b -> getbit(k.bits, b) = 0), b -> k.word * {WORD} + b)))"
     )
     joined = rows.join(maps, rows["_id"].eqNullSafe(maps["_id2"]) & (rows["_th"] == maps["_th2"]), "left")
-    split = joined.select(*[col(c) for c in df.columns], "keep", "n_dropped", _lines(text).alias("_lines"))
+    split = joined.select(*[col(c) for c in df.columns], "_keep", "_gone", _lines(text).alias("_lines"))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone), lambda i: F.col("_lines")[i])
     return split.select(
         *[col(c) for c in df.columns],
         F.size("_lines").cast("long").alias("_n_lines"),
-        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("_n_dropped"),
-        F.when(F.col("keep").isNull(), whole(col(text))).otherwise(F.array_join(left, "\n")).alias("_kept"),
+        F.coalesce("_gone", F.lit(0)).cast("long").alias("_n_dropped"),
+        F.when(F.col("_keep").isNull(), whole(col(text))).otherwise(F.array_join(left, "\n")).alias("_kept"),
     )
 
 

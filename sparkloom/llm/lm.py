@@ -118,7 +118,7 @@ def lay_out(words: Words) -> Layout:
     mass = np.bincount(cls, weights=c, minlength=CLASSES)
     mass[-1], size[-1] = words.total - c.sum(), words.distinct - (c > 0).sum() + 1
     context = np.array([0] + [k + 1 if k + 1 < OWN else OWN + _shape(w) for k, w in enumerate(words.head)])
-    start = np.log((mass + ALPHA * size) / (mass + ALPHA * size).sum())
+    start = np.log(np.maximum((mass + ALPHA * size) / (mass + ALPHA * size).sum(), 1e-30))
     within = np.full((CLASSES, SLOTS), -np.inf)
     small = (size[cls] <= SLOTS) & (slot < SLOTS)
     within[cls[small], slot[small]] = np.log((c[small] + ALPHA) / (mass + ALPHA * size)[cls[small]])
