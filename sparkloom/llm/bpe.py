@@ -19,6 +19,8 @@ from .common import col, few, table, whole, without
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces whose ids a worker remembers; with as many new ones again, those not met since are forgotten.
 REMEMBERED = 250_000
+#: Pairs of tokens for which a worker remembers whether one may follow the other.
+PAIRS = 500_000
 #: A match looks at most this many characters beyond its end: the longest contraction, and one more.
 LOOKS_AHEAD = 3
 NEVER = 1 << 60
@@ -45,7 +47,7 @@ class Coder:
         self.longest = max(map(len, ranks), default=0)
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts that are merged last in token; None for one byte, and for what no merges make."""
@@ -77,37 +79,53 @@ class Coder:
         return self._edges[key]
 
     def may_follow(self, a: int, b: int) -> bool:
-        known = self._pairs.get((a, b))
+        known = self._pairs.get(a << 32 | b)
         if known is None:
-            if len(self._pairs) > REMEMBERED:
+            if len(self._pairs) > PAIRS:
                 self._pairs.clear()
-            left, right = self.edge(self.bytes_of[a], 1), self.edge(self.bytes_of[b], 0)
-            # Of equal ranks the leftmost goes first, so the border loses to a merge on its left and wins on its right.
-            known = not any((r := self.ranks.get(x + y, NEVER)) < x_ends and r <= y_ends and r < NEVER for x, x_ends in left for y, y_ends in right)
-            self._pairs[a, b] = known
+            known = self._pairs[a << 32 | b] = self._apart(self.edge(self.bytes_of[a], 1), self.edge(self.bytes_of[b], 0))
         return known
 
+    def _apart(self, left: list[tuple[bytes, int]], right: list[tuple[bytes, int]]) -> bool:
+        """Whether no merge crosses the border. Of equal ranks the leftmost goes first, so the border loses to a merge on its left and wins on its right."""
+        rank = self.ranks.get
+        for x, x_ends in left:
+            for y, y_ends in right:
+                r = rank(x + y, NEVER)
+                if r < x_ends and r <= y_ends:
+                    return False
+        return True
+
     def fill(self, piece: bytes, last: list[int], start: int = 0) -> list[int]:
-        """last[i] is the id of the last token of piece[:i]; the entries up to start are there already."""
+        """last[i] is the id of the last token of piece[:i]; the entries up to start are there already.
+
+        Tokens are tried from each position in turn, and only those that reach beyond the entries filled so
+        far: all beginnings of a token are known, so what is too long to begin one rules out all longer ones.
+        """
         n = len(piece)
         del last[start + 1 :]
         last += [-1] * (n + 1 - len(last))
         begins, pairs = self.beginnings.get, self._pairs.get
+        open_ = start + 1  # the shortest prefix without an entry
         for i in range(max(0, start - self.longest) if start else 0, n):
             before = last[i]
-            for j in range(i + 1, n + 1):
+            for j in range(open_, n + 1):
                 s = piece[i:j]
                 token = begins(s)
                 if token is None:
                     break
-                if token < 0 or last[j] >= 0 or j <= start:
+                if token < 0 or last[j] >= 0:
                     continue
                 if i:
-                    follows = pairs((before, token))
+                    follows = pairs(before << 32 | token)
                     if self.may_follow(before, token) if follows is None else follows:
                         last[j] = token
                 elif self.made(s):
                     last[j] = token
+            while open_ <= n and last[open_] >= 0:
+                open_ += 1
+            if open_ > n:
+                break
         return last
 
     def walk(self, last: list[int]) -> list[int]:
@@ -151,23 +169,34 @@ def compiled(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+class _Remembered(dict):
+    """Pieces and their packed ids. A piece that is not there is looked up among the older ones, or encoded."""
+
+    def __init__(self, coder: Coder, older: dict[str, bytes]):
+        super().__init__()
+        self.coder, self.older = coder, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            tokens = self.coder.encode_piece(piece.encode())
+            ids = struct.pack(f"<{len(tokens)}I", *tokens)
+        self[piece] = ids
+        return ids
+
+
 class TextCoder:
     """Encodes texts, each match of the pattern for itself."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        self.coder, self.match, self.known, self.older = Coder(ranks), compiled(pattern), {}, {}
+        self.coder, self.match = Coder(ranks), compiled(pattern)
+        self.known = _Remembered(self.coder, {})
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        pieces, known, older = self.match.findall(text), self.known, self.older
-        for p in set(pieces).difference(known):
-            if (ids := older.get(p)) is None:
-                tokens = self.coder.encode_piece(p.encode())
-                ids = struct.pack(f"<{len(tokens)}I", *tokens)
-            known[p] = ids
-        return b"".join(map(known.__getitem__, pieces))
+            self.known = _Remembered(self.coder, dict(self.known))
+        return b"".join(map(self.known.__getitem__, self.match.findall(text)))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
