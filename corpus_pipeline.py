@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe, common, decontamination, line_dedup, quality, simhash
+from sparkloom.llm import bpe, common, decontamination, line_dedup, near, quality
 
 #: Lines, groups and token ids have no common SQL; the tests hold every stage against a plain version.
 ORACLE_SQL = None
@@ -26,8 +26,8 @@ def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group."""
-    return simhash.drop_near_copies(docs)
+    """The document with the smallest id of each group that five-word shingles with a similarity of 0.8 or more tie together."""
+    return near.drop_alike(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -220,7 +220,11 @@ def drop_near_copies(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id
     df is read twice and so should be a table. The ids that go are broadcast if they are counted as few;
     otherwise, and for ids that several rows have, texts are exchanged by id.
     """
-    grouped = group_by_simhash(df, text=text, doc_id=doc_id, words=words, radius=radius)
+    return first_of_groups(df, group_by_simhash(df, text=text, doc_id=doc_id, words=words, radius=radius), text=text, doc_id=doc_id)
+
+
+def first_of_groups(df: DataFrame, grouped: DataFrame, *, text: str, doc_id: str) -> DataFrame:
+    """The rows of df whose id names their group; grouped has _id, _th and component_id of each row."""
     best = F.min(F.when(F.col("_id") == F.col("component_id"), F.col("_th"))).alias("_best")
     ids = cut(grouped.where("_id IS NOT NULL").groupBy("_id").agg(best, F.count(F.lit(1)).alias("_n")))
     plain = ids.where("_n = 1 AND _best IS NULL").select("_id")
