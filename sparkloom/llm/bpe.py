@@ -13,12 +13,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import col, few, table, whole, without
+from .common import Aside, few, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces whose ids a worker remembers; with as many new ones again, those not met since are forgotten.
 REMEMBERED = 250_000
+#: Characters of the longest piece that is remembered, so that what is remembered is bounded in bytes too.
+LONGEST = 64
 #: Pairs of tokens for which a worker remembers whether one may follow the other.
 PAIRS = 500_000
 #: A match looks at most this many characters beyond its end: the longest contraction, and one more.
@@ -181,7 +184,8 @@ class _Remembered(dict):
         if ids is None:
             tokens = self.coder.encode_piece(piece.encode())
             ids = struct.pack(f"<{len(tokens)}I", *tokens)
-        self[piece] = ids
+        if len(piece) <= LONGEST:
+            self[piece] = ids
         return ids
 
 
@@ -230,10 +234,13 @@ def _coder(name: str, ranks, pattern: str) -> TextCoder:
     return _CODERS[name]
 
 
-def _coded(df: DataFrame, schema: str, work: Callable[[TextCoder, dict], dict], ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """work on each Arrow batch. The vocabulary, a file of fixed size, is broadcast, for executors may not have it."""
+def _coded(df: DataFrame, given: str, added: str, work: Callable[[TextCoder, list], dict], ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """df with the columns that work makes of the one named given. The vocabulary, a file of fixed size, is broadcast, for executors may not have it."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    made = df.sparkSession.createDataFrame([], schema).schema
+    new = df.sparkSession.createDataFrame([], added).schema
+    kept = Aside(df)
+    own = kept.df.select(*kept.own, kept.of(given).alias("given"))
+    made = StructType(own.schema.fields[:-1] + new.fields)
     name = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,41 +248,39 @@ def _coded(df: DataFrame, schema: str, work: Callable[[TextCoder, dict], dict],
 
         coder, out = _coder(name, shared, pattern), to_arrow_schema(made)
         for batch in few(batches):
-            got = work(coder, {n: batch.column(k) for k, n in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_arrays([got[f.name] if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], f.type) for f in out], schema=out)
+            *rest, x = batch.columns
+            got = work(coder, x.to_pylist())
+            yield pa.RecordBatch.from_arrays([*rest, *[pa.array(got[f.name], out.field(f.name).type) for f in new]], schema=out)
 
-    return df.mapInArrow(run, made)
+    return own.mapInArrow(run, made).select(*kept.back(*new.names), *new.names)
 
 
 def encode(df: DataFrame, *, text: str = "text", ranks: dict[bytes, int] | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """df with n_tokens, ids, the tokens as little-endian unsigned 32-bit integers, and decoded_sha256 of what they decode to.
 
-    A null or empty text has no tokens. Columns of df under one of these names are replaced, rows stay as they
-    are, and there is no exchange. A worker holds the vocabulary, some texts and twice REMEMBERED pieces at most.
+    A null or empty text has no tokens, a long one costs its length. Columns of df under one of these names
+    are replaced; other names cannot clash. Rows stay as they are, repeated ones too, an empty table gives an
+    empty result, and there is no exchange. A worker holds the vocabulary, some texts and twice REMEMBERED
+    pieces at most.
     """
     ranks = ranks or read_ranks(public_tokenizers.path(VOCABULARY))
-    kept = without(df, "n_tokens", "ids", "decoded_sha256")
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.select(*[col(c) for c in kept]).schema)
 
-    def work(coder: TextCoder, own: dict) -> dict:
-        ids = [coder.packed(t) for t in own.pop("_t").to_pylist()]
+    def work(coder: TextCoder, texts: list) -> dict:
+        ids = [coder.packed(t or "") for t in texts]
         back = [hashlib.sha256(coder.coder.decode(np.frombuffer(x, "<u4").tolist())).hexdigest() for x in ids]
-        return own | {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded_sha256": back}
+        return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded_sha256": back}
 
-    given = df.select(*[col(c) for c in kept], whole(col(text)).alias("_t"))
-    return _coded(given, f"{schema}, n_tokens bigint, ids binary, decoded_sha256 string", work, ranks, pattern)
+    return _coded(df, text, "n_tokens bigint, ids binary, decoded_sha256 string", work, ranks, pattern)
 
 
 def decode(df: DataFrame, *, ids: str = "ids", ranks: dict[bytes, int] | None = None) -> DataFrame:
-    """df with decoded, the bytes of its ids. Null ids give no bytes; a column of df named decoded is replaced."""
+    """df with decoded, the bytes of its ids. Null ids give no bytes; a column of df named decoded is replaced, other names cannot clash."""
     ranks = ranks or read_ranks(public_tokenizers.path(VOCABULARY))
-    kept = without(df, "decoded")
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.select(*[col(c) for c in kept]).schema)
 
-    def work(coder: TextCoder, own: dict) -> dict:
-        return own | {"decoded": [coder.coder.decode(np.frombuffer(x, "<u4").tolist()) for x in own.pop("_i").to_pylist()]}
+    def work(coder: TextCoder, given: list) -> dict:
+        return {"decoded": [coder.coder.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in given]}
 
-    return _coded(df.select(*[col(c) for c in kept], F.coalesce(col(ids), F.lit(b"")).alias("_i")), f"{schema}, decoded binary", work, ranks, public_tokenizers.PATTERN)
+    return _coded(df, ids, "decoded binary", work, ranks, public_tokenizers.PATTERN)
 
 
 def op7_byte_bpe(spark, sf_dir):

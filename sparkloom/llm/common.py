@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -36,11 +37,21 @@ def words(c: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WS_RUN))
 
 
+class NoSharedFolderError(RuntimeError):
+    """spark.checkpoint.dir is unset, so there is no folder that all executors share."""
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, as in tests, a temporary one."""
+    """The folder in spark.checkpoint.dir, or the one given to setCheckpointDir.
+
+    Where neither is set, a temporary one if the driver is its own only executor; on a cluster that is an error.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise NoSharedFolderError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="sparkloom-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(at)
     return at
 
@@ -51,13 +62,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables that land() wrote and nobody has removed yet.
+_LANDED: list[str] = []
+
+
 def land(df: DataFrame) -> DataFrame:
     """df written as a Parquet table in the shared folder and read again. For rows that hold texts."""
     path = f"{shared_folder(df.sparkSession)}/sparkloom-{uuid.uuid4().hex}"
+    _LANDED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def landed() -> list[str]:
+    """The tables that are there now, oldest first; for remove_landed, once nothing reads them any more."""
+    return list(_LANDED)
+
+
+def remove_landed(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _LANDED.remove(path)
+
+
 def few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in shorter ones, so that what a worker holds of texts at a time is little."""
     for b in batches:
@@ -74,12 +102,27 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def without(df: DataFrame, *names: str) -> list[str]:
-    """The columns of df but those that an operator adds under the same name: its own take their place."""
-    taken = {n.lower() for n in names}
-    return [c for c in df.columns if c.lower() not in taken]
-
-
 def col(name: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+class Aside:
+    """df's columns under numbers (c0, c1, ...), so that no name that an operator makes can clash with one of them."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.own = [f"c{k}" for k in range(len(self.names))]
+        self.df = df.toDF(*self.own)
+
+    def of(self, name: str) -> Column:
+        """The column that df calls so: by its exact name, or else by one that differs in case alone."""
+        same = [k for k, n in enumerate(self.names) if n == name] or [k for k, n in enumerate(self.names) if n.lower() == name.lower()]
+        if len(same) != 1:
+            raise ValueError(f"no single column {name} among {self.names}")
+        return F.col(self.own[same[0]])
+
+    def back(self, *replaced: str) -> list[Column]:
+        """df's columns under their names, but those that the operator adds itself: its own take their place."""
+        taken = {n.lower() for n in replaced}
+        return [F.col(c).alias(n) for c, n in zip(self.own, self.names, strict=True) if n.lower() not in taken]

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS, ascii_lower, col, parts, table, whole
+from .common import WS, Aside, ascii_lower, col, parts, table, whole
 
 WORD = 64
 
 
-def _identified(df: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """_id and a hash of the text name a row; rows alike in both get the same verdict."""
-    return df.select("*", col(doc_id).alias("_id"), F.xxhash64(whole(col(text))).alias("_th"))
-
-
-def _lines(text: str):
-    return F.split(whole(col(text)), "\n", -1)
+def _lines(t: Column) -> Column:
+    return F.split(t, "\n", -1)
 
 
 def keep_bitmaps(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_chars: int = 10, salts: int = 16) -> DataFrame:
@@ -25,29 +20,36 @@ def keep_bitmaps(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", m
     keep is an array of (word, bits), 64 lines a word; a word that is not listed has all bits set, and a
     document that is not listed keeps every line. A line's key is the stripped line with A-Z lower-cased;
     keys under min_chars code points never count. The smallest id keeps its lines. Rows with one id are one
-    document; those without an id keep their lines and never are the first. Keys are compared by 96 bits of
-    hashes. The rows are dealt by ranges of (hash, salt) and sorted by document and position, so that first
-    occurrences stream by; a line that a third of all documents hold is spread over the salts.
+    document; those without an id keep their lines and never are the first. Null and empty texts, and empty
+    tables, give no rows; other columns are not read. Keys are compared by 96 bits of hashes.
+
+    The rows are dealt by fixed ranges of a hash of (key, salt), which is uniform, so that no pass over the
+    data has to find the ranges. They are sorted by document and position, and first occurrences stream by: no
+    task holds a key's rows at once, and a line that a third of all documents hold is spread over the salts.
     """
-    key = ascii_lower(F.btrim(F.col("_line"), F.lit(WS)))
+    n = parts(df.sparkSession)
+    stripped = F.btrim(F.col("_line"), F.lit(WS))
+    docs = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")).select("_id", "_t", F.xxhash64("_t").alias("_th"))
     rows = (
-        _identified(df, text, doc_id)
-        .select("_id", "_th", F.posexplode(_lines(text)).alias("_pos", "_line"))
-        .select("_id", "_th", "_pos", key.alias("_key"))
-        .where(F.length("_key") >= min_chars)
+        docs.select("_id", "_th", F.posexplode(_lines(F.col("_t"))).alias("_pos", "_line"))
+        .where(F.length(stripped) >= min_chars)
+        .select("_id", "_th", "_pos", ascii_lower(stripped).alias("_key"))
         .select("_id", "_th", "_pos", F.xxhash64("_key").alias("_h1"), F.hash("_key").alias("_h2"), F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_salt"))
-        .repartitionByRange(parts(df.sparkSession), "_h1", "_salt")
+        .withColumn("_range", _range(F.xxhash64("_h1", "_salt"), n))
+        .repartitionById(n, "_range")
     )
-    stream = Window.partitionBy("_h1", "_salt", "_h2").orderBy(F.asc_nulls_last("_id"), "_pos")
-    seen = rows.withColumn("_first", F.first("_id").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
+    stream = Window.partitionBy("_range", "_h1", "_salt", "_h2").orderBy(F.asc_nulls_last("_id"), "_pos")
+    so_far = (Window.unboundedPreceding, 0)
+    seen = rows.withColumn("_first", F.first("_id").over(stream.rowsBetween(*so_far)))
     # Within a salt, later documents are repeats. The first of each salt then meet: at most `salts` documents a key.
     late = seen.where(F.col("_id") > F.col("_first")).select("_id", "_th", "_pos")
-    early = seen.where(F.coalesce(F.col("_id") == F.col("_first"), F.lit(False)))
-    early = early.withColumn("_first", F.min("_id").over(Window.partitionBy("_h1", "_h2")))
+    early = seen.where(F.coalesce(F.col("_id") == F.col("_first"), F.lit(False))).select("_id", "_th", "_pos", "_h1", "_h2", _range(F.col("_h1"), n).alias("_range")).repartitionById(n, "_range")
+    meet = Window.partitionBy("_range", "_h1", "_h2").orderBy("_id", "_pos")
+    early = early.withColumn("_first", F.first("_id").over(meet.rowsBetween(*so_far)))
     dropped = late.unionByName(early.where(F.col("_id") > F.col("_first")).select("_id", "_th", "_pos"))
     bit = F.expr(f"shiftleft(1L, _pos % {WORD})")
     return (
-        dropped.repartition(parts(df.sparkSession), "_id", "_th")
+        dropped.repartition(n, "_id", "_th")
         .groupBy("_id", "_th", F.floor(F.col("_pos") / WORD).cast("int").alias("word"))
         .agg(F.bit_or(bit).alias("bits"))
         .groupBy("_id", "_th")
@@ -55,21 +57,33 @@ def keep_bitmaps(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", m
     )
 
 
+def _range(h: Column, n: int) -> Column:
+    """The number of the range, of n equal ones, that a uniform 64-bit hash lies in."""
+    return F.shiftright(F.shiftrightunsigned(h, 33) * F.lit(n), 31).cast("int")
+
+
 def drop_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
-    """df with _n_lines, _n_dropped and _kept, the text without its repeated lines. A null text counts as one empty line."""
+    """df with _n_lines, _n_dropped and _kept, the text without its repeated lines.
+
+    A null or empty text counts as one empty line and stays. Rows alike in id and text get the same, rows
+    without an id keep all lines, and an empty table gives an empty result. A long text costs its length.
+    Columns of df under one of the three names are replaced; other names cannot clash. df is read twice.
+    """
     maps = keep_bitmaps(df, text=text, doc_id=doc_id, **how).select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), F.col("keep").alias("_keep"), F.col("n_dropped").alias("_gone"))
-    rows = _identified(df, text, doc_id)
+    given = Aside(df)
+    t = whole(given.of(text))
+    rows = given.df.withColumn("_th", F.xxhash64(t))
     gone = F.expr(
         f"flatten(transform(_keep, k -> transform(filter(sequence(0, {WORD - 1}), b -> getbit(k.bits, b) = 0), b -> k.word * {WORD} + b)))"
     )
-    joined = rows.join(maps, rows["_id"].eqNullSafe(maps["_id2"]) & (rows["_th"] == maps["_th2"]), "left")
-    split = joined.select(*[col(c) for c in df.columns], "_keep", "_gone", _lines(text).alias("_lines"))
+    joined = rows.join(maps, given.of(doc_id).eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")), "left")
+    split = joined.select(*given.own, "_keep", "_gone", _lines(t).alias("_lines"))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone), lambda i: F.col("_lines")[i])
     return split.select(
-        *[col(c) for c in df.columns],
+        *given.back("_n_lines", "_n_dropped", "_kept"),
         F.size("_lines").cast("long").alias("_n_lines"),
         F.coalesce("_gone", F.lit(0)).cast("long").alias("_n_dropped"),
-        F.when(F.col("_keep").isNull(), whole(col(text))).otherwise(F.array_join(left, "\n")).alias("_kept"),
+        F.when(F.col("_keep").isNull(), t).otherwise(F.array_join(left, "\n")).alias("_kept"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, col, cut, if_small, table, whole, words
+from .common import WS, Aside, col, cut, if_small, table, whole, words
 
 SYMBOLS = "[#*$%&|<>]"
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -15,14 +15,17 @@ def rule_metrics(df: DataFrame, *, text: str = "text", min_words: int = 50, max_
     """df with a struct _m: counts of words, their characters, symbols, repeated lines, words in repeated 3-word windows, base_failed.
 
     A null or empty text has no words and so fails. Windows are compared by 64-bit hashes; a text with a
-    repeated one sorts its (hash, position) pairs, so a long text costs n log n.
+    repeated one sorts its (hash, position) pairs, so a long text costs n log n. Repeated rows are measured
+    each for itself, an empty table gives an empty result, and a column of df named _m is replaced; other
+    names cannot clash. There is no exchange.
     """
-    t = whole(col(text))
+    given = Aside(df)
+    t = whole(given.of(text))
     full = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(WS)) != "")
-    first = df.select("*", words(t).alias("_w"), full.alias("_full"))
+    first = given.df.select("*", words(t).alias("_w"), full.alias("_full"))
     hashes = F.expr("CASE WHEN size(_w) >= 3 THEN transform(sequence(0, size(_w) - 3), i -> xxhash64(_w[i], _w[i + 1], _w[i + 2])) ELSE CAST(array() AS array<bigint>) END")
     second = first.select(
-        *[col(c) for c in df.columns],
+        *given.own,
         F.size("_w").cast("long").alias("_n"),
         F.length(F.array_join("_w", "")).cast("long").alias("_chars"),
         F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("_symbols"),
@@ -46,15 +49,17 @@ def rule_metrics(df: DataFrame, *, text: str = "text", min_words: int = 50, max_
     fourth = third.select(*[c for c in third.columns if c != "_s"], covered.alias("_repeat"))
     failed = (F.col("_n") < min_words) | (100 * F.col("_repeat") > max_repeat_percent * F.col("_n"))
     made = F.struct(*[F.col(a).alias(b) for a, b in zip(("_n", "_chars", "_symbols", "_dup", "_repeat"), METRICS, strict=False)], failed.alias("base_failed"))
-    return fourth.select(*[col(c) for c in df.columns], made.alias("_m"))
+    return fourth.select(*given.back("_m"), made.alias("_m"))
 
 
 def host_verdicts(df: DataFrame, *, host: str = "source", failed: str = "_failed", max_rate: float = 0.8) -> DataFrame:
     """For each host: _host, host_docs, host_failed, host_rate (shrunk), host_rejected.
 
     The prior Beta(a, b) has the mean of all documents; its weight a + b comes from the spread of the hosts'
-    rates beyond what chance gives to hosts of their sizes. A null host is a host of its own. Hosts are
-    counted by partial sums, so one that holds a third of all rows costs no more than others.
+    rates beyond what chance gives to hosts of their sizes, kept between 1 and 10,000 documents; where there
+    is no such spread it is 10,000. A null host is a host of its own, repeated rows count each, an empty
+    table has no hosts. Other columns are not read. Hosts are counted by partial sums, so one that holds a
+    third of all rows costs no more than others.
     """
     hosts = cut(df.groupBy(col(host).alias("_host")).agg(F.count(F.lit(1)).alias("host_docs"), F.count_if(failed).alias("host_failed")))
     rate = F.col("host_failed") / F.col("host_docs")
@@ -69,13 +74,16 @@ def host_verdicts(df: DataFrame, *, host: str = "source", failed: str = "_failed
 def judged(df: DataFrame, *, host: str = "source", failed: str = "_failed", max_rate: float = 0.8) -> DataFrame:
     """df with host_rate and _kept: false if it failed itself or its host is rejected.
 
-    df is read twice and so should be a table or a checkpoint. An empty table gives an empty result.
+    df is read twice and so should be a table or a checkpoint. Null hosts are judged as one host, repeated
+    rows each for itself, and an empty table gives an empty result. Columns of df named host_rate or _kept
+    are replaced; other names cannot clash.
     """
     verdicts = host_verdicts(df, host=host, failed=failed, max_rate=max_rate).select("_host", "host_rate", "host_rejected")
     verdicts = if_small(cut(verdicts))
-    joined = df.join(verdicts, col(host).eqNullSafe(F.col("_host")), "left")
-    kept = ~col(failed) & ~F.coalesce("host_rejected", F.lit(False))
-    return joined.select(*[df[f"`{c}`"] for c in df.columns], "host_rate", kept.alias("_kept"))
+    given = Aside(df)
+    joined = given.df.join(verdicts, given.of(host).eqNullSafe(F.col("_host")), "left")
+    kept = ~given.of(failed) & ~F.coalesce("host_rejected", F.lit(False))
+    return joined.select(*given.back("host_rate", "_kept"), "host_rate", kept.alias("_kept"))
 
 
 def op3_quality_rules(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, table, whole
+from .common import Aside, table, whole
 
 # The forms of the contract. For access and hex a run of the least length is the same match.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -91,13 +91,14 @@ def find_secrets(df: DataFrame, *, text: str = "text") -> DataFrame:
     strings that look random, are not allow-listed and touch no base span. A null or empty text has none.
     Everything happens within a row: there is no exchange, and a long text costs its length.
     """
-    t = whole(col(text))
-    first = df.select("*", _found(t, ASSIGN, "assign", 6).alias("_a"), _found(t, ACCESS, "access").alias("_k"), _found(t, HEX, "hex").alias("_h"), _found(t, CANDIDATE, "entropy").alias("_c"))
+    given = Aside(df)
+    t = whole(given.of(text))
+    first = given.df.select("*", _found(t, ASSIGN, "assign", 6).alias("_a"), _found(t, ACCESS, "access").alias("_k"), _found(t, HEX, "hex").alias("_h"), _found(t, CANDIDATE, "entropy").alias("_c"))
     bare = "transform({0}, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end))"
-    second = first.select(*[col(c) for c in df.columns], F.array_sort(F.expr(bare.format("concat(_a, _k, _h)"))).alias("_base"), "_c")
+    second = first.select(*given.own, F.array_sort(F.expr(bare.format("concat(_a, _k, _h)"))).alias("_base"), "_c")
     apart = F.filter("_c", lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])) & _random(x["s"]))
-    third = second.select(*[col(c) for c in df.columns], "_base", F.when(F.size("_c") > 0, apart).otherwise(F.col("_c")).alias("_c"))
-    return third.select(*[col(c) for c in df.columns], "_base", F.array_sort(F.concat("_base", F.expr(bare.format("_c")))).alias("_spans"))
+    third = second.select(*given.own, "_base", F.when(F.size("_c") > 0, apart).otherwise(F.col("_c")).alias("_c"))
+    return third.select(*given.back("_base", "_spans"), "_base", F.array_sort(F.concat("_base", F.expr(bare.format("_c")))).alias("_spans"))
 
 
 def op4_secret_scans(spark, sf_dir):

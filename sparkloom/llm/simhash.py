@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, few, if_small, parts, table, whole
+from .common import Aside, col, cut, few, if_small, parts, table, whole
 
 SEED = 42
 WIDTH = 64
@@ -217,8 +217,10 @@ def hexadecimal(fp: str | Column) -> Column:
 def drop_near_copies(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
     """The rows of df whose id is the smallest of their group, one row for each id; rows without an id stay.
 
-    df is read twice and so should be a table. The ids that go are broadcast if they are counted as few;
-    otherwise, and for ids that several rows have, texts are exchanged by id.
+    Columns stay as they are, under whatever names. Null and empty texts are one group; of rows that share
+    the smallest id the one stays whose text links to the group, and of repeated rows one. An empty table
+    gives an empty result. df is read twice and so should be a table. The ids that go are broadcast if they
+    are counted as few; otherwise, and for ids that several rows have, texts are exchanged by id.
     """
     return first_of_groups(df, group_by_simhash(df, text=text, doc_id=doc_id, words=words, radius=radius), text=text, doc_id=doc_id)
 
@@ -229,12 +231,13 @@ def first_of_groups(df: DataFrame, grouped: DataFrame, *, text: str, doc_id: str
     ids = cut(grouped.where("_id IS NOT NULL").groupBy("_id").agg(best, F.count(F.lit(1)).alias("_n")))
     plain = ids.where("_n = 1 AND _best IS NULL").select("_id")
     again = ids.where("_n > 1")
-    own = df[f"`{doc_id}`"]
+    given = Aside(df)
+    own = given.of(doc_id)
     if again.isEmpty():
-        return df.join(if_small(plain), own == F.col("_id"), "left_anti")
-    out = df.join(if_small(plain.unionByName(again.select("_id"))), own == F.col("_id"), "left_anti")
-    chosen = df.join(again, (own == F.col("_id")) & (F.xxhash64(whole(df[f"`{text}`"])) == F.col("_best")), "left_semi")
-    return out.unionByName(chosen.dropDuplicates([doc_id]))
+        return given.df.join(if_small(plain), own == F.col("_id"), "left_anti").select(*given.back())
+    out = given.df.join(if_small(plain.unionByName(again.select("_id"))), own == F.col("_id"), "left_anti")
+    chosen = given.df.withColumn("_own", own).join(again, (F.col("_own") == F.col("_id")) & (F.xxhash64(whole(given.of(text))) == F.col("_best")), "left_semi")
+    return out.unionByName(chosen.dropDuplicates(["_own"]).drop("_own")).select(*given.back())
 
 
 def op5_simhash(spark, sf_dir):
