@@ -18,20 +18,18 @@ from pyspark.sql import functions as F
 
 from .common import col, few, land, table, whole
 
-#: Words that workers know by number: the most frequent, at most so many. The others' counts come by a join.
-HEAD = 1 << 18
-CLASSES, SLOTS = 32, 32
-#: Context words with a row of their own; all others share rows by their last three bytes.
-OWN, SHAPES = 2048, 2048
-BEFORE = OWN + SHAPES  # what stands before a text
-CONTEXTS = BEFORE + 1
-PAIRS, WITHIN = 1 << 13, 1 << 12
-ROUNDS, RATE, PRIOR = 3, 0.6, 4.0
+#: Words that workers know by number: the most frequent of at most LONGEST bytes, at most so many. The others' counts come by a join.
+HEAD, LONGEST = 1 << 18, 64
+#: Classes, and branches of a class or of a group of words within one.
+CLASSES = 32
+#: Groups of last words that the choice within a class may tell apart, at most; a power of two.
+GROUPS = 256
+#: Rows of parameters grow with the square root of the training tokens, up to these bounds, which bound what is broadcast.
+MOST_OWN, MOST_DEEP = 1 << 14, 1 << 17
+ROUNDS, RATE, PRIOR = 2, 0.6, 4.0
 ALPHA = 0.1
-#: Tokens that a worker takes at a time, which bounds its memory.
-BLOCK = 120_000
-#: Rows of the parameter tables, one after another: last word, the word before (a skip), both hashed, last word and class hashed.
-TABLES = (CONTEXTS, CONTEXTS, PAIRS, WITHIN)
+#: Tokens that a worker takes at a time, which bounds its memory, and that a training task takes in all.
+BLOCK, TASK = 80_000, 1 << 26
 CHUNK = 64
 LOG10 = math.log(10)
 
@@ -46,19 +44,44 @@ class Words(NamedTuple):
 
 
 class Layout(NamedTuple):
-    """cls and slot by number; size and mass of each class, of which the last holds all other words; context rows by number."""
+    """Where words stand, and which rows of parameters their contexts have.
+
+    cls by number; size and mass of each class, of which the last holds all other words; start, the classes'
+    logarithms by counts. own and shapes: context words with a row of their own, and rows that all others
+    share by their last three bytes; context, the row by number. A class of several words is a tree: path and
+    branch, by level and number, are the node that a word passes (-1: none) and its branch there; prior, by
+    node and branch, the logarithm by counts. Node k has rows first[k] and on, one for each of its groups of
+    last words, group[context row] >> shift[k]. node_of: the node by row.
+    """
 
     cls: np.ndarray
-    slot: np.ndarray
     size: np.ndarray
     mass: np.ndarray
-    context: np.ndarray
     start: np.ndarray
-    within: np.ndarray
+    own: int
+    shapes: int
+    context: np.ndarray
+    path: np.ndarray
+    branch: np.ndarray
+    prior: np.ndarray
+    group: np.ndarray
+    first: np.ndarray
+    shift: np.ndarray
+    node_of: np.ndarray
+
+    @property
+    def before(self) -> int:
+        """The context row of what stands before a text."""
+        return self.own + self.shapes
+
+    @property
+    def tables(self) -> tuple[int, int, int]:
+        """Rows of the classes' parameters, one table after another: last word, the word before (a skip), both hashed."""
+        return self.before + 1, self.before + 1, 2 * self.own
 
 
 def _shape(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % SHAPES
+    return zlib.crc32(word[-3:])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -74,7 +97,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             for t in b.column(0).to_pylist():
                 seen.update(t.encode().lower().split())
                 texts += 1
-                if len(seen) > 500_000:
+                if len(seen) > 250_000:
                     yield out([w.decode() for w in seen], list(seen.values()))
                     seen.clear()
         yield out([w.decode() for w in seen] + [None], [*seen.values(), texts])
@@ -83,8 +106,12 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def known_words(counts: DataFrame, head: int = HEAD) -> tuple[Words, DataFrame]:
-    """The head, at most `head` words of the highest counts, and the other words' counts, which stay in Spark."""
-    step = F.floor(F.log2("c") * 16)
+    """The head, at most `head` words of the highest counts, and the other words' counts, which stay in Spark.
+
+    Words of more than LONGEST bytes are never in the head, so that it is bounded in bytes.
+    """
+    short = F.col("word").isNull() | (F.octet_length("word") <= LONGEST)
+    step = F.when(short, F.floor(F.log2("c") * 16)).otherwise(-1)
     level: dict[int, tuple[int, int]] = {}
     ends = 0
     for r in counts.groupBy(F.col("word").isNull().alias("end"), step.alias("step")).agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("n")).collect():
@@ -95,7 +122,7 @@ def known_words(counts: DataFrame, head: int = HEAD) -> tuple[Words, DataFrame]:
     least, held = 1 << 30, 0
     for s in sorted(level, reverse=True):  # at most 16 * 64 levels
         held += level[s][0]
-        if held > head:
+        if held > head or s < 0:
             break
         least = s
     inside = (step >= least) & F.col("word").isNotNull()
@@ -105,24 +132,68 @@ def known_words(counts: DataFrame, head: int = HEAD) -> tuple[Words, DataFrame]:
 
 
 def lay_out(words: Words) -> Layout:
-    """Classes by counts: words in falling order, each class about as much of the corpus as the next."""
+    """Classes by counts: words in falling order, each class about as much of the corpus as the next. Classes' trees likewise."""
     c = words.counts
+    n = len(c)
     order = np.argsort(-c, kind="stable")
     share = np.cumsum(c[order]) - c[order] / 2
     raw = np.minimum((share / max(c.sum(), 1) * (CLASSES - 1)).astype(np.int64), CLASSES - 2)
-    cls, slot = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
+    cls = np.zeros(n, np.int64)
     cls[order] = raw
     size = np.bincount(cls, minlength=CLASSES).astype(np.float64)
-    first = np.concatenate([[0], np.cumsum(np.bincount(raw, minlength=CLASSES))[:-1]])
-    slot[order] = np.arange(len(c)) - first[raw]
     mass = np.bincount(cls, weights=c, minlength=CLASSES)
     mass[-1], size[-1] = words.total - c.sum(), words.distinct - (c > 0).sum() + 1
-    context = np.array([0] + [k + 1 if k + 1 < OWN else OWN + _shape(w) for k, w in enumerate(words.head)])
     start = np.log(np.maximum((mass + ALPHA * size) / (mass + ALPHA * size).sum(), 1e-30))
-    within = np.full((CLASSES, SLOTS), -np.inf)
-    small = (size[cls] <= SLOTS) & (slot < SLOTS)
-    within[cls[small], slot[small]] = np.log((c[small] + ALPHA) / (mass + ALPHA * size)[cls[small]])
-    return Layout(cls, slot, size, mass, context, start, within)
+    root = math.sqrt(max(words.total, 1))
+    own = min(max(1 << round(math.log2(root)), 256), MOST_OWN)
+    shapes = own // 2
+    context = np.array([0] + [k + 1 if k + 1 < own else own + _shape(w) % shapes for k, w in enumerate(words.head)])
+    # Groups of last words: by counts, so that frequent words are groups of their own; then all others, then the beginning.
+    group = np.full(own + shapes + 1, GROUPS - 2)
+    told = np.minimum((share / max(c.sum(), 1) * (GROUPS - 2)).astype(np.int64), GROUPS - 3)
+    inside = order < own
+    group[order[inside]] = told[inside]
+    group[-1] = GROUPS - 1
+
+    total = np.concatenate([[0], np.cumsum(c[order] + ALPHA)])
+    path, branch, prior, masses = [], [], [], []
+    edges = np.flatnonzero(np.diff(raw)) + 1
+    open_ = [(int(x), int(y), 0) for x, y in zip([0, *edges], [*edges, n], strict=True)]
+    while open_:
+        lo, hi, level = open_.pop()
+        if hi - lo < 2:
+            continue
+        if level == len(path):
+            path.append(np.full(n, -1, np.int32))
+            branch.append(np.zeros(n, np.int8))
+        if hi - lo <= CLASSES:
+            cuts = np.arange(lo, hi + 1)
+        elif level:
+            cuts = np.linspace(lo, hi, min(CLASSES, -(-(hi - lo) // CLASSES)) + 1).astype(np.int64)
+        else:  # by counts, each branch one word at least
+            want = np.searchsorted(total, total[lo] + (total[hi] - total[lo]) * np.arange(1, CLASSES) / CLASSES)
+            cuts = np.unique(np.clip(np.concatenate([[lo], want, [hi]]), lo, hi))
+        here = order[lo:hi]
+        path[level][here] = len(prior)
+        branch[level][here] = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        shares = np.full(CLASSES, -np.inf, np.float32)
+        shares[: len(cuts) - 1] = np.log((total[cuts[1:]] - total[cuts[:-1]]) / (total[hi] - total[lo]))
+        prior.append(shares)
+        masses.append(total[hi] - total[lo])
+        if hi - lo > CLASSES:
+            open_ += [(int(x), int(y), level + 1) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    # Rows for a node in proportion to how often it is passed, two at least: about 32 times the root of the tokens in all.
+    rows = np.array(masses) / max(root / 16, 1.0)
+    rows *= min(1.0, MOST_DEEP / 2 / max(rows.sum(), 1.0))
+    bits = np.clip(np.floor(np.log2(np.maximum(rows, 2.0))), 1, math.log2(GROUPS)).astype(np.int64)
+    held = np.left_shift(1, bits)
+    shift = int(math.log2(GROUPS)) - bits
+    levels = len(path)
+    return Layout(
+        cls, size, mass, start, own, shapes, context,
+        np.array(path).reshape(levels, n), np.array(branch).reshape(levels, n), np.array(prior, np.float32).reshape(-1, CLASSES),
+        group, np.cumsum(held) - held, shift, np.repeat(np.arange(len(held)), held),
+    )
 
 
 def _pair(a: np.ndarray, b: np.ndarray, rows: int, mix: int) -> np.ndarray:
@@ -145,58 +216,63 @@ def _by_row(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
     out[at[first]] += np.add.reduceat(values[order], first, axis=0)
 
 
+class Sums(NamedTuple):
+    """What a task adds up: counts of the classes' features and what the model expects of them; counts of the rows of the trees."""
+
+    found: np.ndarray
+    expected: np.ndarray
+    deep: np.ndarray | None
+
+
 class Model:
-    """Log-linear classes given three rows of features, and words of small classes given a fourth; the rest of a class by counts."""
+    """Log-linear classes given three rows of features; in the tree of a class, branches given the last word's group. All words beyond the head by counts."""
 
-    def __init__(self, lay: Layout, counts: np.ndarray, weights: np.ndarray):
-        self.lay, self.counts = lay, counts
-        self.last, self.skip, self.both, self.word = np.split(weights, np.cumsum(TABLES)[:-1])
-        whole_ = lay.mass + ALPHA * lay.size
-        self.small = (lay.size <= SLOTS) & (np.arange(CLASSES) < CLASSES - 1)
-        self.floor = np.log(np.maximum(whole_, 1e-300))
+    def __init__(self, lay: Layout, known: int, weights: np.ndarray, deep: np.ndarray):
+        self.lay, self.known = lay, known
+        self.last, self.skip, self.both = np.split(weights, np.cumsum(lay.tables)[:-1])
+        x = lay.prior[lay.node_of] + deep
+        self.logs = x - _softmax(x)[0][:, None]
+        self.floor = math.log(lay.mass[-1] + ALPHA * lay.size[-1])
 
-    def block(self, ids: np.ndarray, lens: np.ndarray, learn: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    def block(self, ids: np.ndarray, lens: np.ndarray, learn: Sums | None = None) -> np.ndarray:
         """Natural logarithms of the tokens' probabilities; of words beyond the head, without their counts.
 
-        With learn, counts of features and what the model expects of them are added to its two arrays instead.
+        ids beyond the head are its length and a shape. With learn, its sums grow too.
         """
         lay, n = self.lay, len(ids)
-        head = ids < len(lay.cls)
-        at = np.minimum(ids, len(lay.cls) - 1)
+        head = ids < self.known
+        at = np.minimum(ids, self.known - 1)
         cls = np.where(head, lay.cls[at], CLASSES - 1)
-        ctx = np.where(head, lay.context[at], OWN + ids - len(lay.cls))
+        ctx = np.where(head, lay.context[at], lay.own + (ids - self.known) % lay.shapes)
         starts = np.cumsum(lens) - lens
-        one, two = np.full(n, BEFORE), np.full(n, BEFORE)
+        one, two = np.full(n, lay.before), np.full(n, lay.before)
         one[1:], two[2:] = ctx[:-1], ctx[:-2]
-        one[starts] = two[starts] = BEFORE
-        two[starts[lens > 1] + 1] = BEFORE
-        keys, inverse = np.unique(one * CONTEXTS + two, return_inverse=True)
-        a, b = np.divmod(keys, CONTEXTS)
-        ab = _pair(a, b, PAIRS, 1)
+        one[starts] = two[starts] = lay.before
+        two[starts[lens > 1] + 1] = lay.before
+        contexts, _, pairs = lay.tables
+        keys, inverse = np.unique(one * contexts + two, return_inverse=True)
+        a, b = np.divmod(keys, contexts)
+        ab = _pair(a, b, pairs, 1)
         x = lay.start.astype(np.float32) + self.last[a] + self.skip[b] + self.both[ab]
         logz, share = _softmax(x)
-        small = np.flatnonzero(self.small[cls])
-        wkeys, winverse = np.unique(one[small] * CLASSES + cls[small], return_inverse=True)
-        wa, wc = np.divmod(wkeys, CLASSES)
-        wrow = _pair(wa, wc, WITHIN, 2)
-        wx = lay.within[wc].astype(np.float32) + self.word[wrow]
-        wlogz, wshare = _softmax(wx)
+        out = x[inverse, cls].astype(np.float64) - logz[inverse]
+        out[~head] -= self.floor
         if learn is not None:
-            found, expected = learn
-            edge = np.cumsum((0,) + TABLES)
-            for k, rows, places in ((0, one, cls), (1, two, cls), (2, ab[inverse], cls)):
-                found[edge[k] : edge[k + 1]] += np.bincount(rows * CLASSES + places, minlength=TABLES[k] * CLASSES).reshape(-1, CLASSES)
-            found[edge[3] :] += np.bincount(wrow[winverse] * SLOTS + lay.slot[at[small]], minlength=WITHIN * SLOTS).reshape(-1, SLOTS)
+            edge = np.cumsum((0,) + lay.tables)
             share *= np.bincount(inverse, minlength=len(keys))[:, None]
-            for k, rows in ((0, a), (1, b), (2, ab)):
-                _by_row(rows, share, expected[edge[k] : edge[k + 1]])
-            if len(small):
-                wshare *= np.bincount(winverse, minlength=len(wkeys))[:, None]
-                _by_row(wrow, wshare, expected[edge[3] :])
-        out = x[inverse, cls].astype(np.float64) - logz[inverse]
-        large = np.where(head, np.log(self.counts[at] + ALPHA), 0.0) - self.floor[cls]
-        large[small] = wx[winverse, lay.slot[at[small]]].astype(np.float64) - wlogz[winverse]
-        return out + large
+            for k, rows, places, unique in ((0, one, cls, a), (1, two, cls, b), (2, ab[inverse], cls, ab)):
+                np.add.at(learn.found[edge[k] : edge[k + 1]].reshape(-1), rows * CLASSES + places, 1.0)
+                _by_row(unique, share, learn.expected[edge[k] : edge[k + 1]])
+        group = lay.group[one]
+        for path, branch in zip(lay.path, lay.branch, strict=True):
+            node = path[at]
+            here = np.flatnonzero(head & (node >= 0))
+            node = node[here]
+            row, to = lay.first[node] + (group[here] >> lay.shift[node]), branch[at[here]].astype(np.int64)
+            out[here] += self.logs[row, to]
+            if learn is not None and learn.deep is not None:
+                np.add.at(learn.deep.reshape(-1), row * CLASSES + to, 1.0)
+        return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
@@ -213,85 +289,105 @@ def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.Rec
 
 
 def encode(docs: DataFrame, words: Words) -> DataFrame:
-    """_row (a number for each row), _id, _held, _slice, ids (int32, end last) and tail, the words beyond the head."""
+    """_row (a number for each row), _id, _held, ids (int32, end last) and tail, the words beyond the head."""
     shared = docs.sparkSession.sparkContext.broadcast(words.head)
     kind = docs.schema["_id"].dataType.simpleString()
-    given = docs.select(F.monotonically_increasing_id().alias("_row"), "_id", "_held", "_slice", "_t")
-    schema = f"_row bigint, _id {kind}, _held boolean, _slice int, ids binary, tail array<string>"
+    given = docs.select(F.monotonically_increasing_id().alias("_row"), "_id", "_held", "_t")
+    schema = f"_row bigint, _id {kind}, _held boolean, ids binary, tail array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {w: k + 1 for k, w in enumerate(shared.value)}
         beyond = len(number) + 1
         for b in few(batches):
             ids, tails = [], []
-            for t in b.column(4).to_pylist():
+            for t in b.column(3).to_pylist():
                 tokens = t.encode().lower().split()
                 x = np.fromiter(map(number.get, tokens, repeat(-1)), np.int32, len(tokens))
                 other = [tokens[k] for k in np.flatnonzero(x < 0).tolist()]
-                x[x < 0] = [beyond + _shape(w) for w in other]
+                x[x < 0] = [beyond + _shape(w) % MOST_OWN for w in other]
                 ids.append(x.tobytes() + b"\0\0\0\0")
                 tails.append([w.decode() for w in other])
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(ids, pa.binary()), pa.array(tails, pa.list_(pa.string()))], names=["_row", "_id", "_held", "_slice", "ids", "tail"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary()), pa.array(tails, pa.list_(pa.string()))], names=["_row", "_id", "_held", "ids", "tail"])
 
     return given.mapInArrow(run, schema)
 
 
-def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights, one row of the tables after another. Each round learns from the next slice of the texts.
+def _step(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """The step of each coordinate along its gradient, found - expected: rare features move little."""
+    return (RATE * np.log((found + PRIOR) / (expected + PRIOR))).astype(np.float32)
+
+
+def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes, one table after another, and of the trees' rows. Each round learns from all training texts.
 
     Its tasks sum, for each row they meet, how often its features occur and how often the model expects them;
-    Spark sums these by chunks of rows. The difference is the gradient; each coordinate steps along it by
-    RATE * log((found + PRIOR) / (expected + PRIOR)), so rare features move little. A task sends the tables
-    once, and a round has twice as many tasks as there are cores at most, whatever the input.
+    Spark sums these by chunks of rows, and the driver takes the step. In the trees what a row expects follows
+    from how often it occurs, so the first round's counts do for all. A task sends the tables once; it takes
+    TASK tokens at most, or its share of the cores if that is less.
     """
     spark = encoded.sparkSession
-    rows = sum(TABLES)
-    weights = np.zeros((rows, CLASSES), np.float32)
+    rows, deep_rows = sum(lay.tables), len(lay.node_of)
+    weights, deep = np.zeros((rows, CLASSES), np.float32), np.zeros((deep_rows, CLASSES), np.float32)
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(words.total // TASK))
+    part = encoded.where("NOT _held").select("ids").coalesce(tasks)
+    beyond = -(-rows // CHUNK)  # chunks of the trees come after these
+    counted = np.zeros((deep_rows, CLASSES))
     for turn in range(rounds):
-        part = encoded.where(F.col("_slice") == turn).select("ids").coalesce(2 * spark.sparkContext.defaultParallelism)
-        shared = spark.sparkContext.broadcast((lay, words.counts, weights))
+        shared = spark.sparkContext.broadcast((lay, len(words.counts), weights, deep))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
             model = Model(*shared.value)
-            found, expected = np.zeros((rows, CLASSES)), np.zeros((rows, CLASSES))
+            sums = Sums(np.zeros((rows, CLASSES)), np.zeros((rows, CLASSES)), np.zeros((deep_rows, CLASSES), np.float32) if not turn else None)
             for _, _, _, ids, lens in _blocks(batches, 0):
-                model.block(ids, lens, (found, expected))
-            both = np.stack([found, expected]).astype(np.float32)
-            chunks = [k for k in range(0, rows, CHUNK) if both[:, k : k + CHUNK].any()]
-            values = [both[:, k : k + CHUNK].ravel() for k in chunks]
-            yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK for k in chunks], pa.int32()), pa.array(values, pa.list_(pa.float32()))], names=["chunk", "v"])
+                model.block(ids, lens, sums)
+            for k in range(0, rows, CHUNK):
+                if sums.found[k : k + CHUNK].any():
+                    yield _chunk(k // CHUNK, np.concatenate([sums.found[k : k + CHUNK].ravel(), sums.expected[k : k + CHUNK].ravel()]))
+            for k in range(0, deep_rows if sums.deep is not None else 0, CHUNK):
+                if sums.deep[k : k + CHUNK].any():
+                    yield _chunk(beyond + k // CHUNK, sums.deep[k : k + CHUNK].ravel())
 
         summed = part.mapInArrow(run, "chunk int, v array<float>").groupBy("chunk").agg(Summarizer.sum(array_to_vector("v")).alias("s")).select("chunk", vector_to_array("s", "float32").alias("s")).toPandas()
         for chunk, s in zip(summed["chunk"], summed["s"], strict=True):
-            found, expected = np.asarray(s, np.float64).reshape(2, -1, CLASSES)
-            weights[chunk * CHUNK : chunk * CHUNK + len(found)] += (RATE * np.log((found + PRIOR) / (expected + PRIOR))).astype(np.float32)
-    return weights
+            if chunk >= beyond:
+                got = np.asarray(s, np.float64).reshape(-1, CLASSES)
+                counted[(chunk - beyond) * CHUNK : (chunk - beyond) * CHUNK + len(got)] = got
+            else:
+                found, expected = np.asarray(s, np.float64).reshape(2, -1, CLASSES)
+                weights[chunk * CHUNK : chunk * CHUNK + len(found)] += _step(found, expected)
+        deep += _step(counted, counted.sum(1, keepdims=True) * _softmax(lay.prior[lay.node_of] + deep)[1])
+    return weights, deep
+
+
+def _chunk(number: int, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([values.astype(np.float32)], pa.list_(pa.float32()))], names=["chunk", "v"])
 
 
 def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", held_out=None, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of df.
 
     The model learns from the rows whose held_out (a Column, or none) is false. Null and empty texts are an
-    end alone. Null ids and repeated rows are rows like any other. Without training rows every score is 0 or
-    below and base_score is 0. Counts are exact: of the head, at most `head` words, by a broadcast table; of
-    all other words by a join. The probabilities of all words and of one unknown word sum to 1 in any context.
+    end alone; a long text is scored in one piece of a worker's memory, four bytes a token. Null ids, ties and
+    repeated rows are rows like any other; other columns are not read, so their names cannot clash. Without
+    training rows every score is 0 or below and base_score is 0; an empty table gives an empty result. Counts
+    are exact: of the head, at most `head` words, by a broadcast table; of all other words by a join. The
+    probabilities of all words and of one unknown word sum to 1 in any context.
     """
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
-    slice_ = F.when(held, -1).otherwise(F.pmod(F.xxhash64(whole(col(text))), F.lit(max(rounds, 1)))).cast("int")
-    docs = df.select(col(doc_id).alias("_id"), held.alias("_held"), slice_.alias("_slice"), whole(col(text)).alias("_t"))
+    docs = df.select(col(doc_id).alias("_id"), held.alias("_held"), whole(col(text)).alias("_t"))
     counts = land(count_words(docs.where(~F.col("_held"))))
     words, others = known_words(counts, head)
     lay = lay_out(words)
     encoded = land(encode(docs, words))
     weights = train(encoded, words, lay, rounds)
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((lay, words.counts, weights))
+    shared = spark.sparkContext.broadcast((lay, words.counts, *weights))
     kind = docs.schema["_id"].dataType.simpleString()
     divisor = math.log10(words.total + ALPHA * (words.distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
-        known = model.counts
+        lay, known, *made = shared.value
+        model = Model(lay, len(known), *made)
         logs = np.append(np.log10(known + ALPHA), 0.0)
         for batch, first, end, ids, lens in _blocks(batches, 3):
             starts = np.cumsum(lens) - lens
@@ -307,7 +403,7 @@ def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", he
     more = F.coalesce("_log", F.lit(0.0))
     return heads.join(tails, F.col("_row") == F.col("_row2"), "left").select(
         "_id", "held_out", "n_tokens", (F.col("_seen") + F.coalesce("_more", F.lit(0))).alias("n_known"), F.lit(int(words.total)).cast("long").alias("train_tokens"), (F.col("_base") + more).alias("base_score"), (F.col("_made") + more).alias("score"),
-    )
+    )
 
 
 def op1_lm_scoring(spark, sf_dir):
