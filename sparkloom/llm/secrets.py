@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,23 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Candidate strings for the entropy test; any other string of these characters is shorter.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 WINDOW = 20
-#: Bits a character that some window must reach, by class: sixteen digits, letters and digits, all.
-LEAST = {"hex": 2.9, "alnum": 3.8, "base64": 3.9}
-#: Strings that are random in form only: UUIDs, alphabets and counts in order, markers of samples.
+ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-"
+#: By what a whole candidate consists of, the first that fits: the bits a character that a window must reach, and
+#: its changes between digits, small letters, capitals and signs, where one from or to a digit counts as three.
+#: Names and paths have long runs of letters, and digits at their end. Digits alone are never a secret.
+CLASSES = (
+    ("^[0-9]+$", None, None),
+    ("^(?:[a-z]+|[A-Z]+)$", 4.0, 0),
+    ("^[0-9A-Fa-f]+$", 3.0, 12),
+    ("^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.5, 12),
+    ("^[A-Za-z]+$", 3.8, 12),
+    ("", 3.6, 14),
+)
+#: Candidates that are random in form only: UUIDs, alphabets and counts in order, and those with a word for a sample between signs.
 ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|dummy|abcdefghij|zyxwvut|0123456789|qwertyuiop|x{8,}|0{12,}"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+    r"|^(?:(?:abcdefghijklmnopqrstuvwxyz|zyxwvutsrqponmlkjihgfedcba|qwertyuiop|asdfghjkl|zxcvbnm|0123456789|1234567890)[+/_-]*)+$"
+    r"|(?:^|[+/_-])(?:example|sample|placeholder|changeme|dummy)(?:$|[+/_-])"
 )
 
 
@@ -46,38 +59,41 @@ def _found(t: Column, pattern: str, kind: str, least_value: int = 0) -> Column:
     return F.when(t.rlike(pattern), F.aggregate(lens, first, step, lambda a: a["out"])).otherwise(none)
 
 
-def _random(s: Column) -> Column:
-    """Whether some window of WINDOW characters of s has the entropy of its class.
+def _random(s: str) -> str:
+    """SQL for whether some window of WINDOW characters of s has the entropy and the changes of s's class.
 
-    With n a character's count, a window's entropy is log2(W) - sum(n log2 n) / W. The sum moves from one
-    window to the next by the counts of the character that leaves and the one that enters alone.
+    With n a character's count, a window's entropy is log2(W) - sum(n log2 n) / W. The counts of all characters
+    are the state that moves along s: each step takes from one and adds to another, and the sum follows from
+    these two counts alone. Changes between classes of characters move along in the same way.
     """
-    least = F.when(s.rlike("^[0-9a-fA-F]+$"), LEAST["hex"]).when(s.rlike("^[A-Za-z0-9]+$"), LEAST["alnum"]).otherwise(LEAST["base64"])
-    most = F.lit(WINDOW) * (F.log2(F.lit(float(WINDOW))) - least)
-    chars = F.split(s, "")
-
-    def f(n: Column) -> Column:
-        return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(0.0)
-
-    def run(c: Column) -> Column:
-        """c: the characters. State: the sum, the least sum so far."""
-
-        def count(i: Column, start: Column, n: Column) -> Column:
-            return F.size(F.filter(F.slice(c, start + 1, n), lambda y: y == c[i]))
-
-        def step(a: Column, i: Column) -> Column:
-            start = F.greatest(i - WINDOW, F.lit(0))  # the window before: [start, i)
-            out_n = F.when(i >= WINDOW, count(start, start, F.lit(WINDOW))).otherwise(0)
-            less = a["sum"] - F.when(i >= WINDOW, f(out_n) - f(out_n - 1)).otherwise(0.0)
-            in_start = F.greatest(i - WINDOW + 1, F.lit(0))
-            in_n = count(i, in_start, i - in_start + 1)
-            now = less + f(in_n) - f(in_n - 1)
-            return F.struct(now.alias("sum"), F.when(i >= WINDOW - 1, F.least(a["low"], now)).otherwise(a["low"]).alias("low"))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), F.struct(F.lit(0.0).alias("sum"), F.lit(1e9).alias("low")), step, lambda a: a["low"])
 
-    low = F.transform(F.array(chars), run)[0]
-    return s.rlike("[0-9]") & s.rlike("[A-Za-z]") & ~s.rlike(ALLOWED) & (low <= most + 1e-9)
+    def by_class(values: list) -> str:
+        return "CASE " + " ".join(f"WHEN {s} RLIKE '{c[0]}' THEN {'NULL' if v is None else v}" for c, v in zip(CLASSES, values, strict=True)) + " END"
+
+    def kind(i: str) -> str:
+        return f"(CASE WHEN g.c[{i}] < 10 THEN 0 WHEN g.c[{i}] < 36 THEN 1 WHEN g.c[{i}] < 62 THEN 2 ELSE 3 END)"
+
+    def change(i: str, j: str) -> str:
+        return f"(CASE WHEN {kind(i)} = {kind(j)} THEN 0 WHEN least({kind(i)}, {kind(j)}) = 0 THEN 3 ELSE 1 END)"
+
+    most = by_class([None if bits is None else f"{WINDOW * (math.log2(WINDOW) - bits) + 1e-9!r}D" for _, bits, _ in CLASSES])
+    least = by_class([changes for _, _, changes in CLASSES])
+    weights = ", ".join(f"{0.0 if n < 2 else n * math.log2(n)!r}D" for n in range(WINDOW + 1))
+    given = f"named_struct('c', transform(split({s}, ''), y -> instr('{ALPHABET}', y) - 1), 'most', {most}, 'least', {least}, 'f', array({weights}))"
+    leaves, gone, held = f"i >= {WINDOW}", f"get(g.c, i - {WINDOW})", f"get(a.counts, get(g.c, i - {WINDOW}))"
+    # n: the count of the character that enters, after the other has left and before it does.
+    step = (
+        "named_struct('counts', transform(a.counts, (m, k) -> m + CASE WHEN k = g.c[i] THEN 1 ELSE 0 END"
+        f" - CASE WHEN {leaves} AND k = {gone} THEN 1 ELSE 0 END),"
+        f" 'sum', a.sum - CASE WHEN {leaves} THEN get(g.f, {held}) - get(g.f, {held} - 1) ELSE 0D END + get(g.f, n + 1) - get(g.f, n),"
+        f" 'changes', a.changes + CASE WHEN i > 0 THEN {change('i', 'greatest(i - 1, 0)')} ELSE 0 END"
+        f" - CASE WHEN {leaves} THEN {change(f'greatest(i - {WINDOW}, 0)', f'greatest(i - {WINDOW - 1}, 0)')} ELSE 0 END)"
+    )
+    entering = f"transform(array(a.counts[g.c[i]] - CASE WHEN {leaves} AND {gone} = g.c[i] THEN 1 ELSE 0 END), n -> {step})"
+    judged = f"transform({entering}, b -> named_struct('counts', b.counts, 'sum', b.sum, 'changes', b.changes, 'found', a.found OR (i >= {WINDOW - 1} AND b.sum <= g.most AND b.changes >= g.least)))[0]"
+    start = f"named_struct('counts', array_repeat(0, {len(ALPHABET)}), 'sum', 0D, 'changes', 0, 'found', false)"
+    run = f"transform(array({given}), g -> g.most IS NOT NULL AND aggregate(sequence(0, size(g.c) - 1), {start}, (a, i) -> {judged}, a -> a.found))[0]"
+    return f"NOT {s} RLIKE '{ALLOWED}' AND {run}"
 
 
 def _joined(spans: Column) -> Column:
@@ -89,14 +105,16 @@ def find_secrets(df: DataFrame, *, text: str = "text") -> DataFrame:
 
     Offsets are code points and the end is exclusive. _base has the known forms; _spans adds candidate
     strings that look random, are not allow-listed and touch no base span. A null or empty text has none.
-    Everything happens within a row: there is no exchange, and a long text costs its length.
+    Everything happens within a row: there is no exchange, and a long text costs its length. Repeated rows are
+    scanned each for itself, and an empty table gives an empty result. Columns of df named _base or _spans are
+    replaced; other names cannot clash.
     """
     given = Aside(df)
     t = whole(given.of(text))
     first = given.df.select("*", _found(t, ASSIGN, "assign", 6).alias("_a"), _found(t, ACCESS, "access").alias("_k"), _found(t, HEX, "hex").alias("_h"), _found(t, CANDIDATE, "entropy").alias("_c"))
     bare = "transform({0}, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end))"
     second = first.select(*given.own, F.array_sort(F.expr(bare.format("concat(_a, _k, _h)"))).alias("_base"), "_c")
-    apart = F.filter("_c", lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])) & _random(x["s"]))
+    apart = F.expr(f"filter(_c, x -> NOT exists(_base, b -> b.start < x.end AND x.start < b.end) AND {_random('x.s')})")
     third = second.select(*given.own, "_base", F.when(F.size("_c") > 0, apart).otherwise(F.col("_c")).alias("_c"))
     return third.select(*given.back("_base", "_spans"), "_base", F.array_sort(F.concat("_base", F.expr(bare.format("_c")))).alias("_spans"))
 
