@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -124,19 +125,32 @@ def _linked(rows: DataFrame, radius: int) -> DataFrame:
     return rows.mapInArrow(run, "_a bigint, _b bigint").distinct()
 
 
+def blocks_of(n: int, radius: int) -> list[int]:
+    """Masks of bits of which one is the same in any two fingerprints within radius bits, so many that n fingerprints fall into small shards.
+
+    Of radius + k blocks of bits, k are the same; k grows until a shard has 256 of n evenly spread fingerprints.
+    """
+    k = 1
+    while k < 4 and n >> (k * (WIDTH // (radius + k))) > 256:
+        k += 1
+    edges = [i * WIDTH // (radius + k) for i in range(radius + k + 1)]
+    each = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(each, k)]
+
+
 def links(nodes: DataFrame, *, radius: int = 4, leaf: int = LEAF) -> DataFrame:
     """Links _a, _b between distinct fingerprints (column _fp of nodes) that tie together all within radius bits.
 
-    radius + 1 vantage-point trees, one for each block of bits. Fingerprints within the radius agree on at
-    least one block, so in that block's tree the search radius is 0: the triangle bound leaves one branch at
-    each vantage point, the shard whose distances to the vantage points (zero and the single bits, which
-    together tell the block) are the same. A shard of over `leaf` fingerprints is divided by shells, the
-    distances in all bits to a vantage point of its own, and shells by hash into chunks of `leaf` at most.
-    There the radius counts: each chunk meets those of the shells up to `radius` further out, its boundary
-    overlap, as shards of two chunks each. Nothing is left out, and no task holds more than two chunks a shard.
+    The first level deals fingerprints into shards by blocks of bits: any two within the radius are the same in
+    one of the masks of blocks_of, and shards stay small whatever the number of fingerprints. Within a shard
+    the search is by distance to a vantage point, see leaf_links. A shard of over `leaf` fingerprints (many
+    alike in a mask's bits) is divided by shells, the distances to a vantage point of its own, and shells by
+    hash into chunks of `leaf` at most. By the triangle bound each chunk meets those of the shells up to
+    `radius` further out, its boundary overlap, as shards of two chunks each. Nothing is left out, and no task
+    holds more than two chunks a shard.
     """
-    blocks = [(k * WIDTH // (radius + 1), (k + 1) * WIDTH // (radius + 1)) for k in range(radius + 1)]
-    shards = F.array(*[(F.shiftrightunsigned("_fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) * F.lit(radius + 1) + F.lit(k)) for k, (a, b) in enumerate(blocks)])
+    masks = [m - (1 << WIDTH) if m >> (WIDTH - 1) else m for m in blocks_of(nodes.count(), radius)]
+    shards = F.array(*[F.xxhash64(F.col("_fp").bitwiseAND(F.lit(m)), F.lit(k)) for k, m in enumerate(masks)])
     rows = nodes.select("_fp", F.explode(shards).alias("_shard"))
     sizes = rows.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n"), F.min("_fp").alias("_vantage"))
     large = cut(sizes.where(F.col("_n") > leaf))
@@ -167,19 +181,20 @@ def links(nodes: DataFrame, *, radius: int = 4, leaf: int = LEAF) -> DataFrame:
     return out.unionByName(_linked(dealt, radius)).distinct()
 
 
-def connected(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """_node and _root, the least node of its component, for each node of the links _a, _b except the roots.
 
     Alternates large stars (each node's larger neighbours move to its least neighbour) and small stars (its
-    smaller neighbours do), until the links are stars. Each round is kept in the shared folder.
+    smaller neighbours do), until the links are stars, however many rounds that takes: each but the last
+    brings links closer to a root. Each round is kept in the shared folder.
     """
     now = cut(edges.where("_a <> _b").select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).distinct())
 
     def state(df: DataFrame):
         return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("_a", "_b").cast("decimal(38,0)"))).first()
 
-    before = state(now)
-    for _ in range(most_rounds):
+    before, after = None, state(now)
+    while after != before:
         both = now.select("_a", "_b").unionByName(now.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
         least = both.groupBy("_a").agg(F.least(F.min("_b"), F.col("_a")).alias("_m"))
         large = both.where("_b > _a").join(least, "_a").select(F.col("_b").alias("_a"), F.col("_m").alias("_b"))
@@ -187,11 +202,8 @@ def connected(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
         down = large.groupBy("_a").agg(F.min("_b").alias("_m"))
         small = large.join(down, "_a").where("_b <> _m").select(F.col("_b").alias("_a"), F.col("_m").alias("_b"))
         now = cut(small.unionByName(down.select("_a", F.col("_m").alias("_b"))).distinct())
-        after = state(now)
-        if after == before:
-            return now.select(F.col("_a").alias("_node"), F.col("_b").alias("_root"))
-        before = after
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+        before, after = after, state(now)
+    return now.select(F.col("_a").alias("_node"), F.col("_b").alias("_root"))
 
 
 def group_by_simhash(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
@@ -199,7 +211,7 @@ def group_by_simhash(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id
 
     Null and texts without words have the fingerprint zero, and link like any other. A null id never names a
     component; a component of null ids alone has a null name. Repeated rows stay. An empty table gives an
-    empty result.
+    empty result, a long text costs its length. Other columns are not read, so their names cannot clash.
     """
     marks = cut(fingerprints(df, text=text, doc_id=doc_id, words=words))
     nodes = cut(marks.groupBy("_fp").agg(F.min("_id").alias("_least")))
