@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,33 +13,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, cut, few, if_small, land, whole
-from .simhash import SEED, connected, first_of_groups
+from .simhash import SEED, connected, first_of_groups, majority
+from .simhash import links as simhash_links
 
-#: Texts whose shingles are counted to learn which are frequent, and how often and how many count as frequent.
-SAMPLE, OFTEN, MOST_OFTEN = 4000, 4, 100_000
+#: Shingles that a task counts at a time, and how many of the most frequent all tasks are told.
+AT_ONCE, MOST_OFTEN = 1 << 21, 1 << 20
 #: Rounds in which texts are compared with one text of each key before all that are still apart are.
 HUBS = 2
 
 
-def shingles(text: bytes, words: int = 5) -> np.ndarray:
-    """The distinct hashes of the text's runs of `words` words, sorted; a shorter text is one run. No words: none."""
+def hashes(text: bytes, words: int = 5) -> np.ndarray:
+    """The hashes of the text's runs of `words` words, repeats included; a shorter text is one run. No words: none."""
     tokens = text.lower().split()  # of bytes, as fingerprints take them
     if not tokens:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(len(tokens) - words + 1, 1)
     h = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((h(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64, n).view(np.int64))
+    return np.fromiter((h(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64, n)
+
+
+def shingles(text: bytes, words: int = 5) -> np.ndarray:
+    """The distinct hashes, sorted."""
+    return np.unique(hashes(text, words).view(np.int64))
 
 
-def prefix(own: np.ndarray, often: np.ndarray) -> np.ndarray:
+def prefix(own: np.ndarray, often: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The first n - ceil(0.8 n) + 1 of n shingles, frequent ones last: sets with a similarity of 0.8 share one of these."""
     n = len(own)
     if len(often):
-        late = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
-        own = np.concatenate([own[~late], own[late]])
+        at = np.minimum(np.searchsorted(often, own), len(often) - 1)
+        late = often[at] == own
+        own = np.concatenate([own[~late], own[late][np.argsort(rank[at[late]])]])
     return own[: n - (4 * n + 4) // 5 + 1]
 
 
@@ -53,30 +61,50 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _frequent(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles that several of a sample of texts hold. They only decide where comparisons start, not which are made."""
-    each = max(docs.count() // SAMPLE, 1)
+def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts hold, sorted, and their ranks by counts. They only order what is compared, and leave nothing out.
+
+    All texts are counted, by blocks of about AT_ONCE shingles; of a block only what several texts hold goes on,
+    so what the counts miss are shingles that are rare everywhere.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found[n > 1]), pa.array(n[n > 1].astype(np.int64))], names=["h", "n"])
+
+        held, size = [np.zeros(0, np.int64)], 0
         for b in few(batches):
             for t in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.encode(), words))], names=["h"])
+                held.append(shingles(t.encode(), words))
+                size += len(held[-1])
+                if size >= AT_ONCE:
+                    yield out()
+                    held, size = [np.zeros(0, np.int64)], 0
+        yield out()
 
-    sample = docs.where(F.pmod(F.xxhash64("_t"), F.lit(each)) == 0).select("_t").mapInArrow(run, "h bigint")
-    counts = sample.groupBy("h").count().where(F.col("count") >= OFTEN)
-    return np.sort(counts.orderBy(F.desc("count"), "h").limit(MOST_OFTEN).select("h").toPandas()["h"].to_numpy(np.int64))
+    counts = docs.select("_t").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    got = counts.orderBy(F.desc("n"), "h").limit(MOST_OFTEN).toPandas()
+    h = got["h"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], (len(h) - order).astype(np.int64)
 
 
-def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 5) -> DataFrame:
+def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 5, radius: int = 4) -> DataFrame:
     """_id, _th and component_id, the smallest id reached over pairs with a Jaccard similarity of 0.8 or more, for each row.
 
-    Exact but for 64-bit collisions of shingles: texts with equal sets are one node; nodes meet by the keys of
-    their prefixes, which any pair of 0.8 shares, and only pairs whose sets are compared in full become links. Pairs
-    whose prefixes share so little that 0.8 is out of reach are not compared further.
+    SimHash fingerprints of the shingles, `radius` bits apart, name the first pairs to compare; most pairs of 0.8
+    are further apart than that (their cosine of 0.89 leaves ten of 64 bits to differ), so a way without loss
+    handles the rest. Exact but for 64-bit collisions of shingles: texts with equal sets are one node; nodes meet
+    by the keys of their prefixes, which any pair of 0.8 shares, and only pairs whose sets are compared in full
+    become links. Pairs whose prefixes share so little that 0.8 is out of reach are not compared further.
     So that a key with many nodes does not make all their pairs, its nodes are first compared with one of
-    them, in HUBS rounds; then all pairs of nodes that share a key and do not hang together yet. Null and
-    texts without words have equal sets, the empty one. A null id never names a component. df is read
-    several times and so should be a table.
+    them, the smallest and then any, in HUBS rounds; then pairs of nodes that share a key and do not hang
+    together yet. A pair counts at a key only if what follows it in both prefixes, and behind them, can
+    still make up 0.8: at the first key that two sets share, that leaves all pairs of 0.8 or more.
+    Null and texts without words have equal sets, the empty one. Repeated rows stay. A null id never names a
+    component. A long text costs its length, and an empty table gives an empty result. Other columns are not
+    read, so their names cannot clash. df is read several times and so should be a table.
     """
     spark = df.sparkSession
     kind = df.select(col(doc_id)).schema[0].dataType.simpleString()
@@ -87,16 +115,18 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[pa.RecordBatch]:
         for b in few(batches, 200 if sets else 1000):
-            made = [shingles(t.encode(), words) for t in b.column(1).to_pylist()]
+            every = [hashes(t.encode(), words) for t in b.column(1).to_pylist()]
+            made = [np.unique(x.view(np.int64)) for x in every]
+            prints = np.array([majority(x) for x in every], np.uint64).view(np.int64)
             nodes = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in made], pa.binary())
-            kept = pa.array(made if sets else [prefix(x, often.value) for x in made], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), nodes, pa.array([len(x) for x in made], pa.int32()), kept], names=["_id", "_th", "_node", "_n", "_keys"])
+            kept = pa.array(made if sets else [prefix(x, *often.value) for x in made], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), nodes, pa.array([len(x) for x in made], pa.int32()), pa.array(prints), kept], names=["_id", "_th", "_node", "_n", "_fp", "_keys"])
 
-    schema = f"_id {kind}, _th bigint, _node binary, _n int, _keys array<bigint>"
+    schema = f"_id {kind}, _th bigint, _node binary, _n int, _fp bigint, _keys array<bigint>"
     marks = land(docs.mapInArrow(lambda batches: run(batches, False), schema))
-    nodes = cut(marks.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_id", "_th")).alias("_one"), F.max("_n").alias("_n")))
+    nodes = cut(marks.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_id", "_th")).alias("_one"), F.max("_n").alias("_n"), F.min("_fp").alias("_fp")))
     one = nodes.select(F.col("_one._id").alias("_id3"), F.col("_one._th").alias("_th3"), F.col("_node").alias("_node3"))
-    copies = marks.select("_node", "_n", F.explode("_keys").alias("_h"))
+    copies = marks.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h"))
     short = F.xxhash64("_node")  # longs are aggregated without a sort
     often_met = copies.groupBy("_h").agg(F.min(short).alias("_first"), F.max(short).alias("_final")).where("_first <> _final").select("_h")
     met = cut(often_met)
@@ -126,34 +156,52 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
         sets = land(own.mapInArrow(lambda batches: run(batches, True), schema).dropDuplicates(["_node"]))
         return meet(close, sets).where(alike(F.col("_c"), F.col("_na"), F.col("_nb"))).select("_a", "_b")
 
+    def relabelled(labels: DataFrame) -> DataFrame:
+        """shared with _l, what each node hangs together with so far."""
+        root = labels.select(F.col("_node").alias("_node2"), "_root")
+        return cut(shared.join(root, F.col("_node") == F.col("_node2"), "left").select("_h", "_p", "_node", "_n", F.coalesce("_root", "_node").alias("_l")))
+
     def ordered(rows: DataFrame) -> DataFrame:
-        """Pairs _a, _b, each once, that sizes allow to be alike."""
+        """Pairs _a, _b, each once, that sizes and the key's places in both allow to be alike."""
         fit = (5 * F.least("_na", "_nb") >= 4 * F.greatest("_na", "_nb")) & (F.col("_la") != F.col("_lb"))
-        return rows.where(fit).select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
-
-    links = spark.createDataFrame([], "_a binary, _b binary")
-    labelled = shared.withColumn("_l", F.col("_node"))
-    labels = None
+        left = F.least(F.col("_na") - F.col("_pa"), F.col("_nb") - F.col("_pb"))
+        return rows.where(fit & alike(left, F.col("_na"), F.col("_nb"))).select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
+
+    def by_fingerprint() -> DataFrame:
+        """Pairs _a, _b that the fingerprints name: each node of a fingerprint with one of them, and these over the fingerprints' links."""
+        known = cut(nodes.groupBy("_fp").agg(F.min(F.struct("_n", "_node")).alias("_one")).select("_fp", F.col("_one._node").alias("_b"), F.col("_one._n").alias("_nb")))
+        same = nodes.select("_fp", F.col("_node").alias("_a"), F.col("_n").alias("_na")).join(known, "_fp").where("_a <> _b")
+        near = simhash_links(known.select("_fp"), radius=radius).withColumnsRenamed({"_a": "_x", "_b": "_y"})
+        first = known.select(F.col("_fp").alias("_x"), F.col("_b").alias("_a"), F.col("_nb").alias("_na"))
+        apart = near.join(first, "_x").join(known.withColumnRenamed("_fp", "_y"), "_y")
+        both = same.select("_a", "_b", "_na", "_nb").unionByName(apart.select("_a", "_b", "_na", "_nb"))
+        return both.where(5 * F.least("_na", "_nb") >= 4 * F.greatest("_na", "_nb")).select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
+
+    links = cut(found(cut(by_fingerprint())))
+    labels = connected(links)
+    labelled = relabelled(labels)
     for turn in range(HUBS + 1):
         _release(spark)
-        left = labelled.select("_h", F.col("_node").alias("_a"), F.col("_n").alias("_na"), F.col("_l").alias("_la"))
+        left = labelled.select("_h", F.col("_node").alias("_a"), F.col("_n").alias("_na"), F.col("_l").alias("_la"), F.col("_p").alias("_pa"))
         if turn < HUBS:
-            hub = F.min_by(F.struct("_node", "_n", "_l"), F.xxhash64("_node", F.lit(turn)))
+            hub = F.min_by(F.struct("_node", "_n", "_l", "_p"), F.struct(F.when(F.lit(turn == 0), F.col("_n")), F.xxhash64("_node", F.lit(turn))))
             hubs = labelled.groupBy("_h").agg(hub.alias("_hub"))
-            right = hubs.select("_h", F.col("_hub._node").alias("_b"), F.col("_hub._n").alias("_nb"), F.col("_hub._l").alias("_lb"))
+            right = hubs.select("_h", *[F.col(f"_hub.{c}").alias(f"_{k}b") for c, k in (("_n", "n"), ("_l", "l"), ("_p", "p"))], F.col("_hub._node").alias("_b"))
             pairs = left.join(right, "_h")
         else:
             apart = labelled.groupBy("_h").agg(F.min("_l").alias("_first"), F.max("_l").alias("_final")).where("_first <> _final").select("_h")
             open_ = cut(left.join(apart, "_h"))
-            right = open_.select("_h", *[F.col(c).alias(c[:-1] + "b") for c in ("_a", "_na", "_la")])
-            pairs = open_.join(right, "_h").where("_a < _b")
+            # Sets of 0.8 or more are at most one step of sizes apart.
+            step = lambda n: F.floor(F.log(F.col(n) + 1) / F.lit(math.log(1.25)))
+            right = open_.select("_h", *[F.col(c).alias(c[:-1] + "b") for c in ("_a", "_na", "_la", "_pa")]).withColumn("_s", step("_nb"))
+            near = open_.withColumn("_s", F.explode(F.sequence(step("_na") - 1, step("_na") + 1)))
+            pairs = near.join(right, ["_h", "_s"]).where("_a < _b")
         new = cut(found(cut(ordered(pairs))))
-        if turn and new.isEmpty():
+        if new.isEmpty():
             continue
         links = links.unionByName(new)
         labels = connected(links)
-        root = labels.select(F.col("_node").alias("_node2"), "_root")
-        labelled = cut(shared.join(root, F.col("_node") == F.col("_node2"), "left").select("_h", "_node", "_n", F.coalesce("_root", "_node").alias("_l")))
+        labelled = relabelled(labels)
     root = labels.select(F.col("_node").alias("_node2"), "_root")
     rooted = nodes.join(root, F.col("_node") == F.col("_node2"), "left").select("_node", "_least", F.coalesce("_root", "_node").alias("_root"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
@@ -162,5 +210,8 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
 
 def drop_alike(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 5) -> DataFrame:
-    """The rows of df whose id is the smallest of their group, one row for each id; rows without an id stay."""
+    """The rows of df whose id is the smallest of their group, one row for each id; rows without an id stay.
+
+    Columns stay as they are, under whatever names; all else is as group_by_shingles and first_of_groups say.
+    """
     return first_of_groups(df, group_by_shingles(df, text=text, doc_id=doc_id, words=words), text=text, doc_id=doc_id)

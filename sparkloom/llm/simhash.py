@@ -31,10 +31,14 @@ def fingerprint(text: bytes, words: int = 4) -> int:
     if len(tokens) <= words:
         return h(joined, SEED)
     n = len(tokens) - words + 1
-    hashes = np.array([h(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)], "<u8")
-    counts = np.zeros(WIDTH, np.int64)
+    return majority(np.array([h(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes; of none, zero."""
+    counts, n = np.zeros(WIDTH, np.int64), len(hashes)
     for k in range(0, n, 1 << 16):
-        counts += np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
+        counts += np.unpackbits(hashes[k : k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint32)
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
