@@ -71,12 +71,13 @@ def find_overlaps(
     """
     items = benchmark.select(col(item_id).alias("_item"), benchmark_words(whole(col(item_text))).alias("_bw")).where(F.size("_bw") >= min_words).distinct()
     items = cut(items.withColumn("_bh", F.xxhash64("_bw")))
-    tests = items.select("_item", "_bh", F.size("_bw").alias("_bn"), F.posexplode(_seeds("_bw")).alias("_k", "_seed"))
+    tests = items.select("_item", "_bh", F.size("_bw").alias("_bn"), _seeds("_bw").alias("_seeds")).select("_item", "_bh", "_bn", F.posexplode("_seeds").alias("_k", "_seed"))
     tests = tests.select("_item", "_bh", _place(F.col("_bn"), F.col("_k")).alias("_bpos"), "_seed")
     docs = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")).select("_id", "_t", F.xxhash64("_t").alias("_th"))
     worded = docs.select("_id", "_th", benchmark_words(F.col("_t")).alias("_w"))
     # explode_outer: for a plain explode Spark infers a filter on the array's size, which computes it again.
-    rows = worded.select("_id", "_th", F.size("_w").alias("_n"), F.posexplode_outer(_seeds("_w")).alias("_k", "_seed"))
+    # Words end before the seeds are dealt out, as else each seed's row would carry all of them.
+    rows = worded.select("_id", "_th", F.size("_w").alias("_n"), _seeds("_w").alias("_seeds")).select("_id", "_th", "_n", F.posexplode_outer("_seeds").alias("_k", "_seed"))
     weight = tests.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col("_item").cast("string"))), F.lit(0))).first()
     if 48 * weight[0] + weight[1] <= broadcast_bytes:
         met = rows.join(F.broadcast(tests), "_seed")

@@ -12,12 +12,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, few, if_small, land, whole
+from .common import col, cut, few, if_small, land, parts, whole
 from .simhash import SEED, connected, first_of_groups, majority
 from .simhash import links as simhash_links
 
 #: Shingles that a task counts at a time, and how many of the most frequent all tasks are told.
-AT_ONCE, MOST_OFTEN = 1 << 21, 1 << 20
+AT_ONCE, MOST_OFTEN = 1 << 20, 1 << 18
 #: Rounds in which texts are compared with one text of each key before all that are still apart are.
 HUBS = 2
 
@@ -95,7 +95,7 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
     SimHash fingerprints of the shingles, `radius` bits apart, name the first pairs to compare; most pairs of 0.8
     are further apart than that (their cosine of 0.89 leaves ten of 64 bits to differ), so a way without loss
-    handles the rest. Exact but for 64-bit collisions of shingles: texts with equal sets are one node; nodes meet
+    handles the rest. Exact but for collisions of 64-bit hashes of shingles and of sets: texts with equal sets are one node; nodes meet
     by the keys of their prefixes, which any pair of 0.8 shares, and only pairs whose sets are compared in full
     become links. Pairs whose prefixes share so little that 0.8 is out of reach are not compared further.
     So that a key with many nodes does not make all their pairs, its nodes are first compared with one of
@@ -114,25 +114,24 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     often = spark.sparkContext.broadcast(_frequent(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[pa.RecordBatch]:
-        for b in few(batches, 200 if sets else 1000):
+        for b in few(batches, 200):
             every = [hashes(t.encode(), words) for t in b.column(1).to_pylist()]
             made = [np.unique(x.view(np.int64)) for x in every]
             prints = np.array([majority(x) for x in every], np.uint64).view(np.int64)
-            nodes = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in made], pa.binary())
+            nodes = pa.array(np.array([xxhash.xxh64_intdigest(x.tobytes(), len(x)) for x in made], np.uint64).view(np.int64))
             kept = pa.array(made if sets else [prefix(x, *often.value) for x in made], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), nodes, pa.array([len(x) for x in made], pa.int32()), pa.array(prints), kept], names=["_id", "_th", "_node", "_n", "_fp", "_keys"])
 
-    schema = f"_id {kind}, _th bigint, _node binary, _n int, _fp bigint, _keys array<bigint>"
+    schema = f"_id {kind}, _th bigint, _node bigint, _n int, _fp bigint, _keys array<bigint>"
     marks = land(docs.mapInArrow(lambda batches: run(batches, False), schema))
     nodes = cut(marks.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_id", "_th")).alias("_one"), F.max("_n").alias("_n"), F.min("_fp").alias("_fp")))
     one = nodes.select(F.col("_one._id").alias("_id3"), F.col("_one._th").alias("_th3"), F.col("_node").alias("_node3"))
-    copies = marks.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h"))
-    short = F.xxhash64("_node")  # longs are aggregated without a sort
-    often_met = copies.groupBy("_h").agg(F.min(short).alias("_first"), F.max(short).alias("_final")).where("_first <> _final").select("_h")
-    met = cut(often_met)
-    del often_met
+    # Dealt out once for both what follows: which keys several nodes have, and which nodes have these.
+    copies = marks.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h")).repartition(parts(spark), "_h")
+    met = copies.groupBy("_h").agg(F.min("_node").alias("_first"), F.max("_node").alias("_final")).where("_first <> _final").select(F.col("_h").alias("_h2"))
+    shared = cut(copies.join(met.hint("merge"), F.col("_h") == F.col("_h2")).select("_h", "_p", "_node", "_n").distinct())
+    del copies, met
     _release(spark)
-    shared = cut(copies.join(if_small(met), "_h").distinct())
     heads = marks.join(if_small(cut(shared.select("_node").distinct())), "_node", "left_semi")
     heads = land(heads.select("_node", "_n", "_keys").dropDuplicates(["_node"]))
 
