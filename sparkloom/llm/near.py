@@ -156,9 +156,9 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
         return meet(close, sets).where(alike(F.col("_c"), F.col("_na"), F.col("_nb"))).select("_a", "_b")
 
     def relabelled(labels: DataFrame) -> DataFrame:
-        """shared with _l, what each node hangs together with so far."""
-        root = labels.select(F.col("_node").alias("_node2"), "_root")
-        return cut(shared.join(root, F.col("_node") == F.col("_node2"), "left").select("_h", "_p", "_node", "_n", F.coalesce("_root", "_node").alias("_l")))
+        """shared with _l, what each node hangs together with so far. It is not kept: there are as many rows as keys of texts."""
+        root = if_small(labels.select(F.col("_node").alias("_node2"), "_root"))
+        return shared.join(root, F.col("_node") == F.col("_node2"), "left").select("_h", "_p", "_node", "_n", F.coalesce("_root", "_node").alias("_l"))
 
     def ordered(rows: DataFrame) -> DataFrame:
         """Pairs _a, _b, each once, that sizes and the key's places in both allow to be alike."""
@@ -189,7 +189,7 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
             pairs = left.join(right, "_h")
         else:
             apart = labelled.groupBy("_h").agg(F.min("_l").alias("_first"), F.max("_l").alias("_final")).where("_first <> _final").select("_h")
-            open_ = cut(left.join(apart, "_h"))
+            open_ = left.join(if_small(cut(apart)), "_h")
             # Sets of 0.8 or more are at most one step of sizes apart.
             step = lambda n: F.floor(F.log(F.col(n) + 1) / F.lit(math.log(1.25)))
             right = open_.select("_h", *[F.col(c).alias(c[:-1] + "b") for c in ("_a", "_na", "_la", "_pa")]).withColumn("_s", step("_nb"))
