@@ -29,7 +29,7 @@ MOST_OWN, MOST_DEEP = 1 << 14, 1 << 17
 ROUNDS, RATE, PRIOR = 2, 0.6, 4.0
 ALPHA = 0.1
 #: Tokens that a worker takes at a time, which bounds its memory, and that a training task takes in all.
-BLOCK, TASK = 80_000, 1 << 26
+BLOCK, TASK = 160_000, 1 << 26
 CHUNK = 64
 LOG10 = math.log(10)
 
@@ -210,18 +210,11 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _by_row(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
     """out[rows] += values, repeats and all."""
-    order = np.argsort(rows, kind="stable")
-    at = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    out[at[first]] += np.add.reduceat(values[order], first, axis=0)
-
-
-class Sums(NamedTuple):
-    """What a task adds up: counts of the classes' features and what the model expects of them; counts of the rows of the trees."""
-
-    found: np.ndarray
-    expected: np.ndarray
-    deep: np.ndarray | None
+    if (rows[1:] < rows[:-1]).any():
+        order = np.argsort(rows, kind="stable")
+        rows, values = rows[order], values[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    out[rows[first]] += np.add.reduceat(values, first, axis=0)
 
 
 class Model:
@@ -234,11 +227,8 @@ class Model:
         self.logs = x - _softmax(x)[0][:, None]
         self.floor = math.log(lay.mass[-1] + ALPHA * lay.size[-1])
 
-    def block(self, ids: np.ndarray, lens: np.ndarray, learn: Sums | None = None) -> np.ndarray:
-        """Natural logarithms of the tokens' probabilities; of words beyond the head, without their counts.
-
-        ids beyond the head are its length and a shape. With learn, its sums grow too.
-        """
+    def _placed(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each token: whether it is in the head, its number there, its class, and the context rows of the two before it."""
         lay, n = self.lay, len(ids)
         head = ids < self.known
         at = np.minimum(ids, self.known - 1)
@@ -249,29 +239,51 @@ class Model:
         one[1:], two[2:] = ctx[:-1], ctx[:-2]
         one[starts] = two[starts] = lay.before
         two[starts[lens > 1] + 1] = lay.before
+        return head, at, cls, one, two
+
+    def _branches(self, head: np.ndarray, at: np.ndarray, one: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Level by level, the tokens whose class goes that deep, their rows there and the branches that they take."""
+        lay, group = self.lay, self.lay.group[one]
+        for path, branch in zip(lay.path, lay.branch, strict=True):
+            node = path[at]
+            here = np.flatnonzero(head & (node >= 0))
+            node = node[here]
+            yield here, lay.first[node] + (group[here] >> lay.shift[node]), branch[at[here]].astype(np.int64)
+
+    def count(self, ids: np.ndarray, lens: np.ndarray, found: np.ndarray, deep: np.ndarray) -> None:
+        """Adds up how often each feature occurs: of the classes' tables in found, of the trees' rows in deep."""
+        head, at, cls, one, two = self._placed(ids, lens)
+        tables = self.lay.tables
+        edge = np.cumsum((0,) + tables)
+        for k, rows in enumerate((one, two, _pair(one, two, tables[2], 1))):
+            np.add.at(found.reshape(-1), (edge[k] + rows) * CLASSES + cls, np.float32(1))
+        for _, row, to in self._branches(head, at, one):
+            np.add.at(deep.reshape(-1), row * CLASSES + to, np.float32(1))
+
+    def block(self, ids: np.ndarray, lens: np.ndarray, expected: np.ndarray | None = None) -> np.ndarray:
+        """Natural logarithms of the tokens' probabilities; of words beyond the head, without their counts.
+
+        ids beyond the head are its length and a shape. Into expected, where it is given, goes how often the
+        model expects the features of the classes' tables instead, and of the trees nothing is read.
+        """
+        lay = self.lay
+        head, at, cls, one, two = self._placed(ids, lens)
         contexts, _, pairs = lay.tables
         keys, inverse = np.unique(one * contexts + two, return_inverse=True)
         a, b = np.divmod(keys, contexts)
         ab = _pair(a, b, pairs, 1)
         x = lay.start.astype(np.float32) + self.last[a] + self.skip[b] + self.both[ab]
         logz, share = _softmax(x)
+        if expected is not None:
+            edge = np.cumsum((0,) + lay.tables)
+            share *= np.bincount(inverse, minlength=len(keys))[:, None].astype(np.float32)
+            for k, rows in enumerate((a, b, ab)):
+                _by_row(rows, share, expected[edge[k] : edge[k + 1]])
+            return logz
         out = x[inverse, cls].astype(np.float64) - logz[inverse]
         out[~head] -= self.floor
-        if learn is not None:
-            edge = np.cumsum((0,) + lay.tables)
-            share *= np.bincount(inverse, minlength=len(keys))[:, None]
-            for k, rows, places, unique in ((0, one, cls, a), (1, two, cls, b), (2, ab[inverse], cls, ab)):
-                np.add.at(learn.found[edge[k] : edge[k + 1]].reshape(-1), rows * CLASSES + places, 1.0)
-                _by_row(unique, share, learn.expected[edge[k] : edge[k + 1]])
-        group = lay.group[one]
-        for path, branch in zip(lay.path, lay.branch, strict=True):
-            node = path[at]
-            here = np.flatnonzero(head & (node >= 0))
-            node = node[here]
-            row, to = lay.first[node] + (group[here] >> lay.shift[node]), branch[at[here]].astype(np.int64)
+        for here, row, to in self._branches(head, at, one):
             out[here] += self.logs[row, to]
-            if learn is not None and learn.deep is not None:
-                np.add.at(learn.deep.reshape(-1), row * CLASSES + to, 1.0)
         return out
 
 
@@ -321,46 +333,46 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
     """Weights of the classes, one table after another, and of the trees' rows. Each round learns from all training texts.
 
     Its tasks sum, for each row they meet, how often its features occur and how often the model expects them;
-    Spark sums these by chunks of rows, and the driver takes the step. In the trees what a row expects follows
-    from how often it occurs, so the first round's counts do for all. A task sends the tables once; it takes
-    TASK tokens at most, or its share of the cores if that is less.
+    Spark sums these by chunks of rows, and the driver takes the step. How often features occur is counted
+    once. What the model expects follows from that as long as no context counts, as in the first round, and
+    always in the trees, whose choices know one row alone; the other rounds sum it over the texts. A task
+    sends the tables once; it takes TASK tokens at most, or its share of the cores if that is less.
     """
     spark = encoded.sparkSession
     rows, deep_rows = sum(lay.tables), len(lay.node_of)
     weights, deep = np.zeros((rows, CLASSES), np.float32), np.zeros((deep_rows, CLASSES), np.float32)
     tasks = max(2 * spark.sparkContext.defaultParallelism, int(words.total // TASK))
     part = encoded.where("NOT _held").select("ids").coalesce(tasks)
-    beyond = -(-rows // CHUNK)  # chunks of the trees come after these
-    counted = np.zeros((deep_rows, CLASSES))
-    for turn in range(rounds):
+
+    def summed(work, height: int) -> np.ndarray:
+        """The sum over tasks of the table that work(model, ids, lens, table) fills."""
         shared = spark.sparkContext.broadcast((lay, len(words.counts), weights, deep))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            model = Model(*shared.value)
-            sums = Sums(np.zeros((rows, CLASSES)), np.zeros((rows, CLASSES)), np.zeros((deep_rows, CLASSES), np.float32) if not turn else None)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model, table = Model(*shared.value), np.zeros((height, CLASSES), np.float32)
             for _, _, _, ids, lens in _blocks(batches, 0):
-                model.block(ids, lens, sums)
-            for k in range(0, rows, CHUNK):
-                if sums.found[k : k + CHUNK].any():
-                    yield _chunk(k // CHUNK, np.concatenate([sums.found[k : k + CHUNK].ravel(), sums.expected[k : k + CHUNK].ravel()]))
-            for k in range(0, deep_rows if sums.deep is not None else 0, CHUNK):
-                if sums.deep[k : k + CHUNK].any():
-                    yield _chunk(beyond + k // CHUNK, sums.deep[k : k + CHUNK].ravel())
-
-        summed = part.mapInArrow(run, "chunk int, v array<float>").groupBy("chunk").agg(Summarizer.sum(array_to_vector("v")).alias("s")).select("chunk", vector_to_array("s", "float32").alias("s")).toPandas()
-        for chunk, s in zip(summed["chunk"], summed["s"], strict=True):
-            if chunk >= beyond:
-                got = np.asarray(s, np.float64).reshape(-1, CLASSES)
-                counted[(chunk - beyond) * CHUNK : (chunk - beyond) * CHUNK + len(got)] = got
-            else:
-                found, expected = np.asarray(s, np.float64).reshape(2, -1, CLASSES)
-                weights[chunk * CHUNK : chunk * CHUNK + len(found)] += _step(found, expected)
-        deep += _step(counted, counted.sum(1, keepdims=True) * _softmax(lay.prior[lay.node_of] + deep)[1])
-    return weights, deep
-
+                work(model, ids, lens, table)
+            for k in range(0, height, CHUNK):
+                if table[k : k + CHUNK].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK], pa.int32()), pa.array([table[k : k + CHUNK].ravel()], pa.list_(pa.float32()))], names=["chunk", "v"])
+
+        sums = part.mapInArrow(run, "chunk int, v array<float>").groupBy("chunk").agg(Summarizer.sum(array_to_vector("v")).alias("s"))
+        out = np.zeros((height, CLASSES))
+        for chunk, s in sums.select("chunk", vector_to_array("s", "float32").alias("s")).toPandas().itertuples(index=False):
+            got = np.asarray(s, np.float64).reshape(-1, CLASSES)
+            out[chunk * CHUNK : chunk * CHUNK + len(got)] = got
+        return out
 
-def _chunk(number: int, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([values.astype(np.float32)], pa.list_(pa.float32()))], names=["chunk", "v"])
+    counted = summed(lambda model, ids, lens, table: model.count(ids, lens, table[:rows], table[rows:]), rows + deep_rows)
+    found, below = counted[:rows], counted[rows:]
+    for turn in range(rounds):
+        if turn:
+            expected = summed(lambda model, ids, lens, table: model.block(ids, lens, table), rows)
+        else:
+            expected = found.sum(1, keepdims=True) * _softmax(lay.start[None].astype(np.float32))[1]
+        weights += _step(found, expected)
+        deep += _step(below, below.sum(1, keepdims=True) * _softmax(lay.prior[lay.node_of] + deep)[1])
+    return weights, deep
 
 
 def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", held_out=None, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
