@@ -15,6 +15,11 @@ ASK_TARGETS, ASK_INGEST = "?action=relay-targets", "?action=relay-ingest"
 DISCOVERY_SECONDS, FETCH_SECONDS, INGEST_SECONDS = 15, 20, 30
 ACCEPT = "application/rss+xml, application/atom+xml, application/xml, text/xml;q=0.9, */*;q=0.8"
 LANGUAGE = "en-US,en;q=0.9"
+# Fixed values too: what a run says.
+SAID_REFUSED = "[ERROR] Target discovery failed with status {}."
+SAID_UNREADABLE, SAID_MISSING = "[ERROR] Failed to discover targets.", "Missing required runner configuration."
+SAID_DISCOVERED, SAID_NOTHING = "[INFO] Discovered {} targets.", "[INFO] No targets pending rescue."
+SAID_TOTALS = "[INFO] Batch sync complete: %d targets processed, %d entries added, %d errors."
 USER_AGENT = "sparkloom-relay/1.0"
 
 
@@ -46,7 +51,7 @@ class Config:
         """From ENDPOINT_URL and RUNNER_TOKEN; refuses to go on if one of them is empty."""
         made = cls(settings.get("ENDPOINT_URL", "").strip(), settings.get("RUNNER_TOKEN", "").strip())
         if not made.endpoint or not made.token:
-            raise ConfigurationError("Missing required runner configuration.")
+            raise ConfigurationError(SAID_MISSING)
         return made
 
     def _address(self, query: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import counter, parsed
+from .config import SAID_TOTALS
 
 
 def accepted(status: Column, body: Column) -> Column:
@@ -59,5 +60,5 @@ def totals(outcomes: DataFrame) -> DataFrame:
 
 
 def summary_line(totals: DataFrame) -> DataFrame:
-    line = F.format_string("[INFO] Batch sync complete: %d targets processed, %d entries added, %d errors.", "total_synced", "total_added", "failed_count")
+    line = F.format_string(SAID_TOTALS, "total_synced", "total_added", "failed_count")
     return totals.select(line.alias("line"))

@@ -28,11 +28,14 @@ def discovery_state(status: Column, body: Column) -> Column:
     )
 
 
-def listed_targets(discovery: DataFrame, body: str = "body") -> DataFrame:
-    """ord, feed_id and feed_url (VARIANT) of each listed target, in the order of the list; ord is their identity."""
+def listed_targets(discovery: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """ord, feed_id and feed_url (VARIANT) of each listed target, in the order of the list; ord is their identity.
+
+    keep: columns of discovery that come along.
+    """
     members = F.try_variant_get(member(parsed(body), "targets"), "$", "array<variant>")
-    rows = discovery.select(F.posexplode(members).alias("ord", "target"))
-    return rows.select(F.col("ord").cast("long").alias("ord"), member(F.col("target"), "id").alias("feed_id"), member(F.col("target"), "feed_url").alias("feed_url"))
+    rows = discovery.select(*keep, F.posexplode(members).alias("ord", "target"))
+    return rows.select(*keep, F.col("ord").cast("long").alias("ord"), member(F.col("target"), "id").alias("feed_id"), member(F.col("target"), "feed_url").alias("feed_url"))
 
 
 def typed_targets(rows: DataFrame, feed_id: str, feed_url: str) -> DataFrame:

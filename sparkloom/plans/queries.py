@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.variants import parsed
+from ..functions.variants import counter, parsed
 from ..operators import targets as T
 from ..operators.config import addresses
 from ..operators.outcomes import accepted, envelope, increments, summary_line, totals
@@ -53,9 +53,8 @@ def ingest_envelope(spark, sf_dir):
 
 
 def response_counters(spark, sf_dir):
-    k = F.coalesce(F.get_json_object("props", "$.k").cast("long"), F.lit(0))
-    added = F.coalesce(F.get_json_object("props", "$.added").cast("long"), F.lit(0))
-    return _table(spark, sf_dir, "events").select("event_id", k.alias("processed"), added.alias("added"))
+    document = parsed("props")
+    return _table(spark, sf_dir, "events").select("event_id", counter(document, "k").cast("long").alias("processed"), counter(document, "added").cast("long").alias("added"))
 
 
 def endpoint_normalise(spark, sf_dir):
@@ -81,10 +80,9 @@ LISTS = (
 
 def variant_targets(spark, sf_dir):
     lists = spark.createDataFrame(list(enumerate(LISTS)), "list int, body string")
-    rows = lists.select("list", F.posexplode(F.variant_get(parsed("body"), "$.targets", "array<variant>")).alias("ord", "t"))
-    each = [F.try_variant_get("t", f"$.{k}", "variant") for k in ("id", "feed_url")]
-    able = T.eligible(*each, variant=True)
-    return rows.select("list", "ord", F.when(able, F.to_json(each[0])).alias("feed_id"), able.alias("eligible"))
+    able = T.eligible(F.col("feed_id"), F.col("feed_url"), variant=True)
+    rows = T.listed_targets(lists, keep=("list",))
+    return rows.select("list", F.col("ord").cast("int").alias("ord"), F.when(able, F.to_json("feed_id")).alias("feed_id"), able.alias("eligible"))
 
 
 #: Answers to posts: status and text.
@@ -173,7 +171,7 @@ ORACLE_SQL = {
     "payload_accept_pages": "SELECT page_id, coalesce(strpos(html, '<') > 0, false) AS accepted FROM pages",
     "payload_accept_documents": "SELECT doc_id, coalesce(strpos(text, '<') > 0, false) AS accepted FROM documents",
     "ingest_envelope": "SELECT page_id, CAST(to_json({relay_results: [{feed_id: page_id, xml: html}]}) AS VARCHAR) AS envelope FROM pages",
-    "response_counters": "SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS processed, coalesce(CAST(json_extract_string(props, '$.added') AS BIGINT), 0) AS added FROM events",
+    "response_counters": f"SELECT event_id, CAST({_COUNT.format('k')} AS BIGINT) AS processed, CAST({_COUNT.format('added')} AS BIGINT) AS added FROM (SELECT event_id, CAST(props AS JSON) AS b FROM events)",
     "endpoint_normalise": f"SELECT page_id, {_addresses_sql('url')} FROM pages",
     "endpoint_branches": f"SELECT endpoint, {_addresses_sql('endpoint')} FROM (VALUES {_values((b,) for b in BRANCHES)}) v(endpoint)",
     "variant_targets": f"""

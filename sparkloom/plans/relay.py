@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import json
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import targets as T
-from ..operators.config import DISCOVERY_SECONDS, FETCH_SECONDS, INGEST_SECONDS, Config
+from ..operators.config import DISCOVERY_SECONDS, FETCH_SECONDS, INGEST_SECONDS, SAID_DISCOVERED, SAID_NOTHING, SAID_REFUSED, SAID_UNREADABLE, Config
 from ..operators.outcomes import accepted, envelope, increments, summary_line, totals
 from ..sources.responses import ask_each, land
 
@@ -18,7 +18,7 @@ class DiscoveryError(RuntimeError):
     """The targets could not be listed; nothing was fetched or sent."""
 
 
-def relay_batch(targets: DataFrame, config: Config, transport, landing: str, *, side_by_side: int = 8) -> DataFrame:
+def relay_batch(targets: DataFrame, config: Config, transport, landing: str, *, side_by_side: int | None = None) -> DataFrame:
     """Fetches and posts for targets (ord, feed_id and feed_url as VARIANT), each once; the totals as one row.
 
     The responses are kept under landing, which must be new for each batch: a second call with the same one
@@ -32,7 +32,8 @@ def relay_batch(targets: DataFrame, config: Config, transport, landing: str, *,
     fetches = land(ask_each(asked, transport, config.feed_headers(), FETCH_SECONDS, side_by_side=side_by_side), f"{landing}/fetches")
     good = fetches.where(accepted(F.col("status"), F.col("body"))).join(known.select("ord", "feed_id"), "ord")
     sent = good.select("ord", F.lit(config.ingest_url).alias("url"), envelope(F.col("feed_id"), F.col("body")).alias("data"))
-    posts = land(ask_each(sent, transport, config.service_headers(), INGEST_SECONDS, side_by_side=side_by_side, per_host=None), f"{landing}/posts")
+    posts = ask_each(sent, transport, config.service_headers(), INGEST_SECONDS, side_by_side=side_by_side, per_host=None)
+    posts = land(posts, f"{landing}/posts", repeatable=False)
 
     def named(df: DataFrame, what: str, body: Column) -> DataFrame:
         return df.select("ord", F.col("status").alias(f"{what}_status"), body.alias(f"{what}_body"), F.col("error").alias(f"{what}_error"))
@@ -43,29 +44,25 @@ def relay_batch(targets: DataFrame, config: Config, transport, landing: str, *,
     return totals(increments(rows))
 
 
-def run_relay(spark: SparkSession, config: Config, transport, landing: str, *, say: Callable[[str], None] = print, side_by_side: int = 8) -> DataFrame | None:
+def run_relay(spark: SparkSession, config: Config, transport, landing: str, *, say: Callable[[str], None] = print, side_by_side: int | None = None) -> DataFrame | None:
     """The whole of it, with its messages; None if there is nothing to do. All targets are checked before any request to them."""
+    if config.endpoint.startswith("http://"):
+        warnings.warn("the token is sent without encryption", stacklevel=2)
     status, body, error = transport.ask(config.discovery_url, config.service_headers(), DISCOVERY_SECONDS)
     answer = spark.createDataFrame([(status, body)], "status int, body string")
     state = T.UNREADABLE if error else answer.select(T.discovery_state(F.col("status"), F.col("body"))).first()[0]
     if state == T.REFUSED:
-        say(f"[ERROR] Target discovery failed with status {status}.")
+        say(SAID_REFUSED.format(status))
     elif state == T.UNREADABLE:
-        say("[ERROR] Failed to discover targets.")
+        say(SAID_UNREADABLE)
     if state not in (T.LISTED, T.NOTHING):
         raise DiscoveryError(state)
     listed = T.listed_targets(answer)
     n = 0 if state == T.NOTHING else listed.count()
-    say(f"[INFO] Discovered {n} targets.")
+    say(SAID_DISCOVERED.format(n))
     if not n:
-        say("[INFO] No targets pending rescue.")
+        say(SAID_NOTHING)
         return None
     made = relay_batch(listed, config, transport, landing, side_by_side=side_by_side)
     say(summary_line(made).first()[0])
     return made
-
-
-def recorded(path: str) -> dict[str, tuple]:
-    """Answers for sources.transports.Recorded from a JSON file of address to [status, text, error]."""
-    with open(path) as f:
-        return {k: tuple(v) for k, v in json.load(f).items()}

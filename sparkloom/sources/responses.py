@@ -9,38 +9,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Answers that a task holds before it hands them on.
+AT_ONCE = 8
+
+
 class SpeculationError(RuntimeError):
     """Speculative tasks would send requests twice."""
 
 
-def ask_each(requests: DataFrame, transport, headers: dict[str, str], seconds: float, *, side_by_side: int = 8, per_host: int | None = 1) -> DataFrame:
+def ask_each(requests: DataFrame, transport, headers: dict[str, str], seconds: float, *, side_by_side: int | None = None, per_host: int | None = 1) -> DataFrame:
     """ord, status, body, error for each row of requests (ord, url, data or null).
 
-    At most side_by_side requests run at once, and per_host to one host; with None rows are dealt without
-    regard to hosts. The result is not stable: each action asks anew. Use land() once and go on from there.
+    At most side_by_side requests run at once (None: as many as the cluster has cores), and per_host to one
+    host; with None rows are dealt without regard to hosts. A task holds AT_ONCE bodies at most. The result is not stable: each action asks anew. Use land() once and go on from there.
     """
     if requests.sparkSession.conf.get("spark.speculation", "false").lower() == "true":
         raise SpeculationError("turn spark.speculation off: requests must not be sent twice")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in frames:
-            got = [transport.ask(u, headers, seconds, d) if isinstance(u, str) else (None, None, "no address") for u, d in zip(df["url"], df["data"], strict=True)]
-            yield pd.DataFrame({"ord": df["ord"], "status": pd.array([g[0] for g in got], "Int32"), "body": [g[1] for g in got], "error": [g[2] for g in got]})
+        for frame in frames:
+            for k in range(0, len(frame), AT_ONCE):
+                df = frame.iloc[k : k + AT_ONCE]
+                got = [transport.ask(u, headers, seconds, d) if isinstance(u, str) else (None, None, "no address") for u, d in zip(df["url"], df["data"], strict=True)]
+                yield pd.DataFrame({"ord": df["ord"].to_numpy(), "status": pd.array([g[0] for g in got], "Int32"), "body": [g[1] for g in got], "error": [g[2] for g in got]})
 
+    side_by_side = side_by_side or requests.sparkSession.sparkContext.defaultParallelism
     host = F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit(""))
     keys = [F.xxhash64("ord")] if per_host is None else [host, F.pmod(F.xxhash64("ord"), F.lit(per_host))]
     dealt = requests.select("ord", "url", F.col("data").cast("string").alias("data")).repartition(side_by_side, *keys)
     return dealt.mapInPandas(run, "ord bigint, status int, body string, error string")
 
 
-def land(responses: DataFrame, path: str) -> DataFrame:
+def land(responses: DataFrame, path: str, *, repeatable: bool = True) -> DataFrame:
     """Written to path and read from there, so that no later action asks again. What is there already is taken as it is.
 
-    path must be one that all executors reach. A folder without Spark's mark of a complete write is an error.
+    path must be one that all executors reach. A folder without Spark's mark of a complete write, which a run
+    that died leaves, is written anew if that is harmless, as it is for targets and fetches. Otherwise, for
+    posts, it is an error: some may have been sent. To go on, remove the folder, which sends all of its
+    batch again, or move the batch's other folders to a new landing.
     """
     spark = responses.sparkSession
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-        responses.write.mode("errorifexists").parquet(path)
+        responses.write.mode("overwrite" if repeatable else "errorifexists").parquet(path)
     return spark.read.schema(responses.schema).parquet(path)

@@ -123,16 +123,30 @@ def server():
 
     class Handler(http.server.BaseHTTPRequestHandler):
         def do_GET(self):
-            calls.append(("GET", self.path, None))
+            calls.append(("GET", self.path, self.headers.get("Authorization")))
+            if self.path.startswith("/to/"):
+                return self.answer(302, b"", self.path.removeprefix("/to/"))
+            if self.path == "/cut":
+                return self.answer(500, b"half", length=100)
+            if self.path == "/large":
+                return self.answer(200, b"x" * 3000)
+            if self.path == "/latin":
+                return self.answer(200, "<\u00e9>".encode("latin-1"), kind="text/xml")
             self.answer(404 if self.path == "/gone" else 200, b'{"targets":[{"id":7,"feed_url":"u"}]}' if "relay" in self.path else b"<feed/>")
 
         def do_POST(self):
             calls.append(("POST", self.path, self.rfile.read(int(self.headers["Content-Length"])).decode()))
+            if self.path == "/again":
+                return self.answer(307, b"", "/in")
             self.answer(200, b'{"processed":1}')
 
-        def answer(self, status, body):
+        def answer(self, status, body, to=None, length=None, kind=None):
             self.send_response(status)
-            self.send_header("Content-Length", str(len(body)))
+            self.send_header("Content-Length", str(length or len(body)))
+            if to:
+                self.send_header("Location", to)
+            if kind:
+                self.send_header("Content-Type", kind)
             self.end_headers()
             self.wfile.write(body)
 
@@ -153,6 +167,42 @@ def test_http(server):
     assert Http(("example.invalid",)).ask(f"{base}/f", {}, 5)[2].startswith("host not allowed")
 
 
+def test_nothing_escapes_a_request(server):
+    base, calls = server
+    status, _, error = Http().ask(f"{base}/cut", {}, 5)
+    assert status is None and error
+    assert Http(most_bytes=1000).ask(f"{base}/large", {}, 5)[2] == "more than 1000 bytes"
+    assert Http(most_bytes=3000).ask(f"{base}/large", {}, 5)[0] == 200
+    assert Http().ask(f"{base}/latin", {}, 5)[1] == "<\u00e9>"
+    assert Http().ask(f"{base}/to//to//to/x", {}, 5)[0] in (200, None)
+
+
+def test_redirects(server):
+    base, calls = server
+    token = {"Authorization": "Bearer secret"}
+    assert Http().ask(f"{base}/to//f", token, 5) == (200, "<feed/>", None)
+    assert calls[-1] == ("GET", "/f", "Bearer secret")
+    other = base.replace("127.0.0.1", "localhost")
+    assert Http().ask(f"{base}/to/{other}/f", token, 5)[0] == 200
+    assert calls[-1] == ("GET", "/f", None)
+    n = len(calls)
+    assert Http(("127.0.0.1",)).ask(f"{base}/to/{other}/f", token, 5)[2] == "host not allowed: localhost"
+    assert Http().ask(f"{base}/to/file:///etc/hostname", token, 5)[2] == "scheme not allowed: file"
+    assert len(calls) == n + 2
+    assert Http().ask(f"{base}/again", token, 5, "{}")[1] == '{"processed":1}'
+    assert [c[:2] for c in calls[-2:]] == [("POST", "/again"), ("POST", "/in")] and calls[-1][2] == "{}"
+
+
+def test_a_landing_that_broke_off(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "http://a/f", None)], "ord long, url string, data string")
+    asked = ask_each(rows, Recorded({"http://a/f": (200, "<a/>", None)}), {}, 5)
+    (tmp_path / "f" / "_temporary").mkdir(parents=True)
+    assert land(asked, str(tmp_path / "f")).count() == 1
+    (tmp_path / "p" / "_temporary").mkdir(parents=True)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        land(asked, str(tmp_path / "p"), repeatable=False)
+
+
 def test_each_post_is_sent_once(spark, server, tmp_path):
     base, calls = server
     rows = spark.createDataFrame([(k, f"{base}/in", str(k)) for k in range(20)], "ord long, url string, data string")
@@ -163,7 +213,6 @@ def test_each_post_is_sent_once(spark, server, tmp_path):
 
 
 def test_speculation_is_refused(spark):
-    spark.conf.set("spark.speculation", "true") if False else None
     rows = spark.createDataFrame([], "ord long, url string, data string")
 
     class Conf:
