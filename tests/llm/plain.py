@@ -81,3 +81,46 @@ def kept_lines(docs):
         left = [x for x in lines if len(key(x)) < 10 or count[key(x)] < 2 or first[key(x)] == i]
         out[i] = (len(lines), len(lines) - len(left), "\n".join(left))
     return out
+
+
+def overlaps(text, item, window=13, least=0.8, min_words=5, verbatim_below=8):
+    """(start, matched, window) of the best alignment of an item with a text, without seeds; None if there is none."""
+    from math import ceil
+
+    def split(t):
+        return [w for w in re.sub(r"[\W_]+", " ", (t or "").lower()).split(" ") if w]
+
+    w, b = split(text), split(item)
+    if len(b) < min_words:
+        return None
+    size, best = min(window, len(b)), None
+    for shift in range(-len(b) + 1, len(w)):
+        same = [0 <= shift + j < len(w) and w[shift + j] == b[j] for j in range(len(b))]
+        most = max(sum(same[j : j + size]) for j in range(len(b) - size + 1))
+        if best is None or most > best[1]:
+            best = (shift, most, size)
+    need = len(b) if len(b) < verbatim_below else ceil(round(least * size, 9))
+    return best if best and best[1] >= need else None
+
+
+def metrics(text):
+    """n_words, n_repeat_words, and whether the rules fail."""
+    w = words(text)
+    grams = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+    many = Counter(grams)
+    covered = {k + j for k, g in enumerate(grams) if many[g] > 1 for j in range(3)}
+    return len(w), len(covered), len(w) < 50 or 100 * len(covered) > 50 * len(w)
+
+
+def rejected_hosts(rows, max_rate=0.8):
+    """rows: (host, failed). The hosts whose rate, shrunk with a beta prior fitted by moments, is above max_rate."""
+    by = {}
+    for h, f in rows:
+        n, k = by.get(h, (0, 0))
+        by[h] = (n + 1, k + f)
+    n, k = sum(x[0] for x in by.values()), sum(x[1] for x in by.values())
+    mean, rates = k / n, [b / a for a, b in by.values()]
+    m = sum(rates) / len(rates)
+    extra = sum((r - m) ** 2 for r in rates) / len(rates) - mean * (1 - mean) * sum(1 / a for a, _ in by.values()) / len(by)
+    weight = min(max(mean * (1 - mean) / extra - 1, 1.0), 1e4) if extra > 0 else 1e4
+    return {h for h, (a, b) in by.items() if (b + mean * weight) / (a + weight) > max_rate}

@@ -67,7 +67,8 @@ def test_lm_sums_to_one_and_the_head_size_changes_no_base(spark):
     counts = lm.count_words(df.select(F.col("text").alias("_t")))
     known, others = lm.known_words(counts, 25)
     lay = lm.lay_out(known)
-    model = lm.Model(lay, known.counts, np.random.default_rng(1).normal(size=(sum(lm.TABLES), lm.CLASSES)).astype(np.float32))
+    draw = np.random.default_rng(1)
+    model = lm.Model(lay, len(known.counts), draw.normal(size=(sum(lay.tables), lm.CLASSES)).astype(np.float32), draw.normal(size=(len(lay.node_of), lm.CLASSES)).astype(np.float32))
     for before in ([], [3], [7, 2], [len(known.counts) + 5]):
         every = np.arange(len(known.counts))
         texts = [np.array([*before, x]) for x in every]
@@ -78,6 +79,69 @@ def test_lm_sums_to_one_and_the_head_size_changes_no_base(spark):
         assert abs(head + tail - 1) < 1e-5
 
 
+def test_lm_against_plain_loops(spark, monkeypatch):
+    """Two rounds, and the scores, token by token: no arrays of features, no blocks."""
+    from math import exp, log, log10
+
+    monkeypatch.setattr(lm, "CLASSES", 4)
+    rng = random.Random(8)
+    texts = {k: " ".join(rng.choices([f"w{i}" for i in range(30)], [1 / (i + 1) for i in range(30)], k=rng.randint(0, 25))) for k in range(50)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    words, _ = lm.known_words(lm.count_words(df.select(F.col("text").alias("_t"))))
+    lay = lm.lay_out(words)
+    assert len(lay.path) > 1
+    number = {w.decode(): k + 1 for k, w in enumerate(words.head)}
+    edge = (0, lay.tables[0], 2 * lay.tables[0])
+    rows, weights, deep = [], np.zeros((sum(lay.tables), 4)), np.zeros((len(lay.node_of), 4))
+
+    def shares(x):
+        return [exp(v) / sum(map(exp, x)) for v in x]
+
+    for k, t in texts.items():
+        ids = [number[w] for w in t.split()] + [0]
+        for i, x in enumerate(ids):
+            one = lay.context[ids[i - 1]] if i else lay.before
+            two = lay.context[ids[i - 2]] if i > 1 else lay.before
+            three = [one, edge[1] + two, edge[2] + int(lm._pair(np.array([one]), np.array([two]), lay.tables[2], 1)[0])]
+            steps = [(int(lay.first[n]) + int(lay.group[one] >> lay.shift[n]), int(b[x])) for p, b in zip(lay.path, lay.branch, strict=True) if (n := p[x]) >= 0]
+            rows.append((k, x, int(lay.cls[x]), three, steps))
+    for _ in range(2):
+        found, expected, below, told = np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(deep), np.zeros_like(deep)
+        for _, _, c, three, steps in rows:
+            p = shares([lay.start[j] + sum(weights[r, j] for r in three) for j in range(4)])
+            for r in three:
+                found[r, c] += 1
+                expected[r] += p
+            for r, b in steps:
+                below[r, b] += 1
+                told[r] += shares(lay.prior[lay.node_of[r]] + deep[r])
+        weights += lm.RATE * np.log((found + lm.PRIOR) / (expected + lm.PRIOR))
+        deep += lm.RATE * np.log((below + lm.PRIOR) / (told + lm.PRIOR))
+    want = dict.fromkeys(texts, 0.0)
+    for k, _, c, three, steps in rows:
+        want[k] += log10(shares([lay.start[j] + sum(weights[r, j] for r in three) for j in range(4)])[c])
+        want[k] += sum(log(shares(lay.prior[lay.node_of[r]] + deep[r])[b]) for r, b in steps) / log(10)
+    monkeypatch.undo()
+    encoded = lm.encode(df.selectExpr("doc_id _id", "false _held", "text _t"), words)
+    saved, lm.CLASSES = lm.CLASSES, 4
+    try:
+        # The tasks' loops, here: workers would take the module's own number of classes.
+        w, d = np.zeros((sum(lay.tables), 4), np.float32), np.zeros((len(lay.node_of), 4), np.float32)
+        ids = [np.frombuffer(r.ids, "<i4").astype(np.int64) for r in encoded.orderBy("_id").collect()]
+        flat, lens = np.concatenate(ids), np.array([len(x) for x in ids])
+        found, below = np.zeros_like(w), np.zeros_like(d)
+        lm.Model(lay, len(words.counts), w, d).count(flat, lens, found, below)
+        for _ in range(2):
+            expected = np.zeros_like(w)
+            lm.Model(lay, len(words.counts), w, d).block(flat, lens, expected)
+            w += lm._step(found, expected)
+            d += lm._step(below, below.sum(1, keepdims=True) * lm._softmax(lay.prior[lay.node_of] + d)[1])
+        made = np.add.reduceat(lm.Model(lay, len(words.counts), w, d).block(flat, lens), np.cumsum(lens) - lens) / lm.LOG10
+    finally:
+        lm.CLASSES = saved
+    assert np.allclose(w, weights, atol=1e-4) and np.allclose(made, [want[k] for k in sorted(want)], atol=1e-3)
+
+
 def test_lm_edges(spark, odd, empty):
     got = lm.score_texts(odd).collect()
     assert len(got) == odd.count() and {r.n_tokens for r in got if r._id in (0, 1, 2)} == {1}
@@ -92,9 +156,32 @@ def test_licenses(spark, odd, empty):
     got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [got[k].license for k in range(1, 6)] == ["MIT", "MIT", None, None, None]
     assert got[4].notices == "1:MIT" and got[5].notices == ""
+    found = {(r.doc_id, r.digest) for r in licenses.scan_licenses(odd).collect()}
+    assert (None, plain.sha("")) in found and (0, plain.sha("")) in found and (3, plain.sha("one")) in found
     assert licenses.scan_licenses(odd).count() == odd.count() and licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_wrapped_and_respelt(spark):
+    import os
+    import textwrap
+
+    whole = {k: ts[0] for k, ts in licenses.KNOWN.items() if len(ts[0]) > 300}
+    at = "/usr/share/common-licenses"
+    long = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = [(k, t) for k, t in whole.items()] + [(k, open(f"{at}/{f}").read()) for k, f in long.items() if os.path.exists(f"{at}/{f}")]
+    rows = []
+    for k, t in texts:
+        again = "\n\n".join(x for x in t.split("\n") if x.strip())
+        for width in (72, 80):
+            if k in whole:
+                again = "\n\n".join("\n".join(textwrap.wrap(x, width)) for x in t.split("\n"))
+            rows += [(k, again), (k, "Copyright (c) 2011-2020 The Foo Authors. All rights reserved.\n\n" + again.replace("license", "licence").replace("recogniz", "recognis"))]
+            rows.append((None, again + "\nand one more thing"))
+    df = spark.createDataFrame([(n, k, t) for n, (k, t) in enumerate(rows)], "doc_id long, want string, text string")
+    wrong = [(r.want, r.license) for r in licenses.scan_licenses(df).collect() if r.want != r.license]
+    assert not wrong
+
+
 # 3
 def test_quality_edges(odd, empty):
     m = {(r.doc_id, r.text): r._m for r in quality.rule_metrics(odd).collect()}
@@ -132,6 +219,46 @@ def test_random_strings_are_found_and_plain_ones_are_not(spark):
     assert got == {1: [3], 2: [], 3: [], 4: [], 5: []}
 
 
+def test_entropy_against_whole_windows(spark):
+    """Random strings of all classes, and look-alikes; recall and false alarms as the README has them."""
+    import re
+    from collections import Counter
+    from math import log2
+
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    kinds = {"hex": digits + "ABCDEF", "alnum": digits + lower + upper, "signs": digits + lower + upper + "+/", "small": digits + lower, "letters": lower + upper, "one": lower}
+    names = "the of and configuration time path user state value open next from with index count size local write read service account".split()
+    rng = random.Random(4)
+    rows = [(k, "".join(rng.choices(a, k=rng.choice([20, 32, 40])))) for k, a in kinds.items() for _ in range(60)]
+    rows += [("name", s) for s in ("".join(x.capitalize() for x in rng.choices(names, k=7)) for _ in range(60)) if len(s) >= 20]
+    rows += [("name", f"{'_'.join(rng.choices(names, k=6))}_v{k}") for k in range(60)]
+    rows += [("name", "my-sample-q7Gz0PxLr4Tn9BvKc2WmY8sD"), ("alnum", "mysampleq7Gz0PxLr4Tn9BvKc2WmY8sD"), ("name", "12345678901234567890123")]
+
+    def kind(c):
+        return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
+
+    def want(s):
+        if re.search(secrets.ALLOWED, s):
+            return False
+        bits, least = next((b, m) for p, b, m in secrets.CLASSES if re.search(p, s))
+        for x in (s[i : i + 20] for i in range(len(s) - 19)):
+            h = -sum(n / 20 * log2(n / 20) for n in Counter(x).values())
+            turns = sum(3 if 0 in (kind(a), kind(b)) else 1 for a, b in zip(x, x[1:], strict=False) if kind(a) != kind(b))
+            if bits is not None and h >= bits - 1e-9 and turns >= least:
+                return True
+        return False
+
+    df = spark.createDataFrame([(n, f"so {s} it is") for n, (_, s) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
+    base = {n for n, r in got.items() if r._base}
+    hit = {n: any(x.kind == 3 for x in r._spans) for n, r in got.items()}
+    assert [n for n in hit if n not in base and len(rows[n][1]) >= 20 and hit[n] != want(rows[n][1])] == []
+    assert sum(hit[n] for n, (k, _) in enumerate(rows) if k == "name") <= 2
+    for k in ("hex", "alnum", "signs", "small"):
+        mine = [n for n, (x, _) in enumerate(rows) if x == k and n not in base]
+        assert sum(hit[n] for n in mine) >= 0.9 * len(mine)
+
+
 # 5
 def test_simhash(spark, sf, docs):
     prints = {i: plain.fingerprint(t) for i, t in pairs(docs)}
@@ -152,6 +279,30 @@ def test_dense_clusters(spark, leaf):
     assert {v: roots.get(v, v) for v in signed} == want
 
 
+def test_shells_of_large_shards(spark):
+    """More fingerprints that are alike in a block than a shard may have: they meet by shells, with the usual size of a shard."""
+    rng = np.random.default_rng(3)
+    values = np.unique(np.concatenate([rng.integers(0, 1 << 20, 4500, np.int64) << 40 | 5, rng.integers(0, 1 << 62, 500, np.int64)]))
+    assert len(values) > simhash.LEAF
+    links = simhash.links(spark.createDataFrame([(int(v),) for v in values], "_fp long"))
+    roots = {r._node: r._root for r in simhash.connected(links).collect()}
+    n, labels = len(values), np.arange(len(values))
+    for i in range(n):
+        near = np.flatnonzero(np.bitwise_count(values[i] ^ values) <= 4)
+        low = labels[near].min()
+        for x in np.unique(labels[near]):
+            labels[labels == x] = low
+    assert {int(v): roots.get(int(v), int(v)) for v in values} == {int(v): int(values[k]) for v, k in zip(values, labels, strict=True)}
+
+
+@pytest.mark.parametrize("n", [10, 1 << 21, 1 << 30, 1 << 36])
+def test_masks_miss_no_pair(n):
+    masks, rng = simhash.blocks_of(n, 4), random.Random(n)
+    for _ in range(3000):
+        flipped = sum(1 << b for b in rng.sample(range(64), 4))
+        assert any(not flipped & m for m in masks)
+
+
 def test_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(300)], "_a long, _b long")
     assert {(r._node, r._root) for r in simhash.connected(edges).collect()} == {(k, 0) for k in range(1, 301)}
@@ -199,6 +350,32 @@ def test_toxicity_query_and_edges(spark, sf, odd, empty):
     assert {r.score < 0.5 for r in toxicity.score(odd, none).collect()} == {True}
 
 
+def test_ftrl_against_scalar_steps():
+    from math import exp, sqrt
+
+    rng = random.Random(2)
+    model, z, n, offset = toxicity.Ftrl(-1.5, np.zeros(0, np.int64), np.zeros(0)), {}, {}, -1.5
+    last = 1 << toxicity.BITS
+
+    def weight(i):
+        l1 = 0.0 if i == last else toxicity.L1
+        v = z.get(i, 0.0)
+        return 0.0 if abs(v) <= l1 else ((l1 if v > 0 else -l1) - v) / ((toxicity.BETA + sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(400):
+        y = rng.random() < 0.3
+        x = sorted(rng.sample(range(20), 6) + [100 + y])
+        model.learn(np.array(x), float(y))
+        w = {i: weight(i) for i in [*x, last]}
+        g = 1 / (1 + exp(-(offset + sum(w.values())))) - y
+        for i in w:
+            was = n.get(i, 0.0)
+            z[i] = z.get(i, 0.0) + g - (sqrt(was + g * g) - sqrt(was)) / toxicity.ALPHA * w[i]
+            n[i] = was + g * g
+    every = [*range(20), 100, 101, last]
+    assert np.allclose(model.weights(np.array(every)), [weight(i) for i in every]) and model.weights(np.array([101]))[0] > 0
+
+
 # 7
 @pytest.fixture(scope="module")
 def ranks():
@@ -280,7 +457,54 @@ def test_decontamination(spark, odd, empty):
     assert decontamination.find_overlaps(odd, bench.where("false")).count() == 0
 
 
+def test_masks_leave_no_hole():
+    from itertools import combinations
+    from math import ceil
+
+    for n in range(8, 14):
+        for changed in combinations(range(n), n - ceil(round(0.8 * n, 9))):
+            assert any(not {i + m for m in mask} & set(changed) for mask in decontamination.MASKS for i in range(n - mask[-1])), (n, changed)
+    assert min(m[-1] for m in decontamination.MASKS) < 5
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_overlaps_against_all_alignments(spark, limit):
+    """All ways to change words of items of 5 to 14 words, ids that several items or documents have, and null ids."""
+    rng = random.Random(6)
+    some = [f"v{k}" for k in range(60)]
+    items = [(k % 5 if k % 7 else None, " ".join(rng.choices(some, k=n))) for k, n in enumerate([4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 20, 30, 8, 14])]
+    items += [items[6], (0, ""), (1, None)]
+    docs = [(k % 40 if k % 9 else None, t) for k, t in enumerate(rng.choices(some, k=rng.randint(0, 20)) for _ in range(160))]
+    docs = [(i, " ".join(t + [w if rng.random() < 0.85 else "other" for w in (items[rng.randrange(15)][1]).split()] + t[:3])) for i, t in docs]
+    docs += [(None, None), docs[0], docs[0], (3, ""), (3, items[6][1])]
+    want = {(i, t, a, b, *o) for i, t in docs for a, b in items if (o := plain.overlaps(t, b))}
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.find_overlaps(df, bench, broadcast_bytes=limit).collect()
+    assert sorted((str(r._id), str(r.item_id), r.start, r.matched, r.window) for r in got) == sorted((str(i), str(a), s, m, w) for i, _, a, _, s, m, w in want)
+    left = decontamination.drop_overlaps(df, bench, broadcast_bytes=limit).collect()
+    bad = {(i, t) for i, t, *_ in want}
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == sorted((str(i), str(t)) for i, t in docs if (i, t) not in bad)
+
+
 # 10
+def test_sharding_query(spark, sf, docs):
+    got = sharding.op10_sharding(spark, sf).toPandas()
+    sizes = {i: len((t or "").encode()) + 16 for i, t in pairs(docs)}
+    assert dict(zip(got["doc_id"], got["size"], strict=True)) == sizes and set(got["law"]) == {"bytes"} and got["grown_shard"].isna().all()
+    by = got.groupby("shard")["size"].sum()
+    assert set(by.index) <= set(range(40)) and abs(by - sum(sizes.values()) / 40).max() <= 3 * max(sizes.values())
+    for _, x in got.groupby("shard"):
+        assert sorted(x["slot"]) == list(range(len(x)))
+
+
+def test_equal_texts_share_a_shard(spark):
+    df = spark.range(3000).selectExpr("id doc_id", "concat('text number ', cast(floor(id / 3) as string)) text")
+    got = sharding.shard_by_bytes(df, shards=9).toPandas()
+    assert got.groupby(got["doc_id"] // 3)["shard"].nunique().max() == 1
+    alike = sharding.shard_by_bytes(spark.range(50).selectExpr("1L doc_id", "'same' text"), shards=4).toPandas()
+    assert alike["shard"].nunique() == 1 and sorted(alike["slot"]) == list(range(50))
+
+
 @pytest.mark.parametrize("copies", [0, 3000])
 def test_sharding(spark, docs, copies):
     df = docs.unionByName(spark.range(copies).select((F.col("id") + 10**6).alias("doc_id"), F.lit("same text " * 20).alias("text")))
