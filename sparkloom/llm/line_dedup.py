@@ -79,12 +79,13 @@ def drop_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **h
     joined = rows.join(maps, given.of(doc_id).eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")), "left")
     split = joined.select(*given.own, "_keep", "_gone", _lines(t).alias("_lines"))
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone), lambda i: F.col("_lines")[i])
-    return split.select(
-        *given.back("_n_lines", "_n_dropped", "_kept"),
-        F.size("_lines").cast("long").alias("_n_lines"),
-        F.coalesce("_gone", F.lit(0)).cast("long").alias("_n_dropped"),
-        F.when(F.col("_keep").isNull(), t).otherwise(F.array_join(left, "\n")).alias("_kept"),
+    made = split.select(
+        *given.own,
+        F.size("_lines").cast("long").alias("_a"),
+        F.coalesce("_gone", F.lit(0)).cast("long").alias("_b"),
+        F.when(F.col("_keep").isNull(), t).otherwise(F.array_join(left, "\n")).alias("_c"),
     )
+    return made.select(*given.back("_n_lines", "_n_dropped", "_kept"), F.col("_a").alias("_n_lines"), F.col("_b").alias("_n_dropped"), F.col("_c").alias("_kept"))
 
 
 def op8_line_dedup(spark, sf_dir):
