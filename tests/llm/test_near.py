@@ -60,7 +60,7 @@ def copies():
 
 def test_near_copies_against_all_pairs(spark, sf, copies):
     want = groups(copies)
-    df = spark.createDataFrame(list(copies.items()), "doc_id long, text string").localCheckpoint()
+    df = spark.createDataFrame(list(copies.items()), "doc_id long, text string").checkpoint()
     assert {r._id: r.component_id for r in near.group_by_shingles(df).collect()} == want
     kept = pipeline.near_copies(spark, df, sf)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
@@ -76,8 +76,8 @@ def test_near_copies_of_documents(spark, sf):
 
 def test_odd_rows(spark, sf):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (None, None), (7, "A b c\td e f"), (7, "other words"), (9, "")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").localCheckpoint()
+    df = spark.createDataFrame(rows, "doc_id long, text string").checkpoint()
     left = pipeline.near_copies(spark, df, sf).collect()
     assert sorted((r.doc_id or 0, r.text) for r in left if r.text is not None) == [(0, "a b c d e f"), (3, "a b c d e f"), (7, "other words"), (9, "")]
     assert sum(r.doc_id is None for r in left) == 2
-    assert pipeline.near_copies(spark, df.limit(0).localCheckpoint(), sf).count() == 0
+    assert pipeline.near_copies(spark, df.limit(0).checkpoint(), sf).count() == 0
