@@ -136,12 +136,14 @@ def _hashed(labelled: DataFrame) -> DataFrame:
 
 def _pruned(rows: DataFrame, often: DataFrame) -> DataFrame:
     """rows with the buckets of _x that are among often alone. Of buckets there are 2**BITS, so a bit for each is broadcast."""
-    marks = np.zeros(1 << BITS, bool)
-    marks[often.toPandas()["at"].to_numpy(np.int64)] = True
-    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(marks))
+    words = often.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("bits"))
+    got = words.select(F.collect_list("k").alias("k"), F.collect_list("bits").alias("bits")).first()  # 2**BITS / 64 at most
+    marks = np.zeros(1 << (BITS - 6), np.int64)
+    marks[np.array(got.k, np.int64)] = np.array(got.bits, np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(marks.astype("<i8").view(np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = np.unpackbits(shared.value).astype(bool)
+        kept = np.unpackbits(shared.value, bitorder="little").astype(bool)
         for b in few(batches, 200):
             made = [x[kept[x]] for x in (np.asarray(y.values, np.int32) if y.is_valid else np.zeros(0, np.int32) for y in b.column(3))]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(made, pa.list_(pa.int32()))], names=["_id", "_order", "toxic", "_x"])
