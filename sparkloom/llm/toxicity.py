@@ -47,23 +47,28 @@ class _Hashes(dict):
 
 
 class _Beginnings(dict):
-    """Words' beginnings, as buckets."""
+    """Words' beginnings, as buckets; of these the kept ones, if some are."""
+
+    def __init__(self, kept: np.ndarray | None):
+        self.kept = kept
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) > REMEMBERED:
             self.clear()
         start = word[:64].decode("utf-8", "replace")
         found = tuple(xxhash.xxh64_intdigest(start[:n].encode(), n) >> (64 - BITS) for n in BEGINNINGS if len(start) > n)
+        if self.kept is not None:
+            found = tuple(x for x in found if self.kept[x])
         if len(word) <= 64:
             self[word] = found
         return found
 
 
 class Known:
-    """What a worker remembers of words while it lives."""
+    """What a worker remembers of words while it lives. kept: a flag for each bucket, if only some are of use."""
 
-    def __init__(self):
-        self.hashes, self.beginnings = _Hashes(), _Beginnings()
+    def __init__(self, kept: np.ndarray | None = None):
+        self.kept, self.hashes, self.beginnings = kept, _Hashes(), _Beginnings(kept)
 
 
 def features(text: str, known: Known) -> np.ndarray:
@@ -71,8 +76,11 @@ def features(text: str, known: Known) -> np.ndarray:
     words = text.encode().lower().translate(_SPACED).split()
     h = np.fromiter(map(known.hashes.__getitem__, words), np.uint64, len(words))
     each = [h * _MIX[0], h[:-1] * _MIX[1] + h[1:] * _MIX[2], h[:-2] * _MIX[3] + h[2:] * _MIX[4]]
+    found = np.concatenate([(x >> np.uint64(64 - BITS)).astype(np.int32) for x in each])
+    if known.kept is not None:
+        found = found[known.kept[found]]
     starts = set(chain.from_iterable(map(known.beginnings.__getitem__, set(words))))
-    return np.unique(np.concatenate([*[(x >> np.uint64(64 - BITS)).astype(np.int32) for x in each], np.fromiter(starts, np.int32, len(starts))]))
+    return np.unique(np.concatenate([found, np.fromiter(starts, np.int32, len(starts))]))
 
 
 class Model(NamedTuple):
@@ -134,6 +142,23 @@ def _hashed(labelled: DataFrame) -> DataFrame:
     return given.mapInArrow(run, f"_id {kind}, _order bigint, toxic int, _x array<int>")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """at and n: how many rows have each bucket in _x. Each task counts into one table of 2**BITS numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(1 << BITS, np.int32)
+        for b in few(batches, 200):
+            for x in b.column(0):
+                if x.is_valid:
+                    n[np.asarray(x.values, np.int32)] += 1  # a row has a bucket once
+        at = np.flatnonzero(n).astype(np.int32)
+        for k in range(0, len(at), 100_000):
+            some = at[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["at", "n"])
+
+    return rows.select("_x").mapInArrow(run, "at int, n int").groupBy("at").agg(F.sum("n").alias("n"))
+
+
 def _pruned(rows: DataFrame, often: DataFrame) -> DataFrame:
     """rows with the buckets of _x that are among often alone. Of buckets there are 2**BITS, so a bit for each is broadcast."""
     words = often.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("bits"))
@@ -183,7 +208,7 @@ def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epoc
     fold = F.pmod(F.shiftright("_order", 20), F.lit(FOLDS)) == 0
     rows = land(_hashed(labelled))
     learning = rows.where(~fold)
-    often = learning.select(F.explode("_x").alias("at")).groupBy("at").count().where(F.col("count") >= SEEN).select("at")
+    often = _counted(learning).where(F.col("n") >= SEEN).select("at")
     parts = land(_pruned(learning, often)).withColumn("_shard", F.pmod("_order", F.lit(shards)))
     for _ in range(rounds):
         learn = _learner(offset, labelled.sparkSession.sparkContext.broadcast((at, w)), epochs)
@@ -221,8 +246,9 @@ def margins(df: DataFrame, model: Model, *, text: str = "text", doc_id: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        dense, known = np.zeros((1 << BITS) + 1, np.float32), Known()
+        dense = np.zeros((1 << BITS) + 1, np.float32)
         dense[m.at] = m.weights
+        known = Known(dense != 0)
         base = m.offset + float(dense[-1])
         for b in few(batches):
             x = np.array([base + float(dense[features(t, known)].sum(dtype=np.float64)) for t in b.column(1).to_pylist()], np.float64)
