@@ -208,13 +208,9 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (top + np.log(total))[:, 0], e / total
 
 
-def _by_row(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
-    """out[rows] += values, repeats and all."""
-    if (rows[1:] < rows[:-1]).any():
-        order = np.argsort(rows, kind="stable")
-        rows, values = rows[order], values[order]
-    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    out[rows[first]] += np.add.reduceat(values, first, axis=0)
+def _by_row(rows: np.ndarray, columns: np.ndarray, out: np.ndarray) -> None:
+    """Adds to each of out's rows what columns have for it, repeats and all: column by column, so that rows need no order."""
+    out += np.array([np.bincount(rows, weights=x, minlength=len(out)) for x in columns]).T
 
 
 class Model:
@@ -277,8 +273,9 @@ class Model:
         if expected is not None:
             edge = np.cumsum((0,) + lay.tables)
             share *= np.bincount(inverse, minlength=len(keys))[:, None].astype(np.float32)
+            columns = np.ascontiguousarray(share.T, np.float64)
             for k, rows in enumerate((a, b, ab)):
-                _by_row(rows, share, expected[edge[k] : edge[k + 1]])
+                _by_row(rows, columns, expected[edge[k] : edge[k + 1]])
             return logz
         out = x[inverse, cls].astype(np.float64) - logz[inverse]
         out[~head] -= self.floor
