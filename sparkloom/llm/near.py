@@ -9,15 +9,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, cut, few, if_small, land, parts, whole
+from .common import col, cut, few, if_small, land, landed, remove_landed, whole
 from .simhash import SEED, connected, first_of_groups, majority
 from .simhash import links as simhash_links
 
 #: Shingles that a task counts at a time, and how many of the most frequent all tasks are told.
-AT_ONCE, MOST_OFTEN = 1 << 20, 1 << 18
+AT_ONCE, MOST_OFTEN = 1 << 21, 1 << 18
 #: Rounds in which texts are compared with one text of each key before all that are still apart are.
 HUBS = 2
 
@@ -123,17 +123,21 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), nodes, pa.array([len(x) for x in made], pa.int32()), pa.array(prints), kept], names=["_id", "_th", "_node", "_n", "_fp", "_keys"])
 
     schema = f"_id {kind}, _th bigint, _node bigint, _n int, _fp bigint, _keys array<bigint>"
-    marks = land(docs.mapInArrow(lambda batches: run(batches, False), schema))
-    nodes = cut(marks.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_id", "_th")).alias("_one"), F.max("_n").alias("_n"), F.min("_fp").alias("_fp")))
+    before = landed()
+    made = land(docs.mapInArrow(lambda batches: run(batches, False), schema))
+    # Keys go on once for each set, however many texts have it.
+    known = made.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_id", "_th")).alias("_one"), F.max("_n").alias("_n"), F.min("_fp").alias("_fp"), F.any_value("_keys").alias("_keys"))
+    marks, heads = cut(made.select("_id", "_th", "_node")), land(known)
+    remove_landed(spark, [p for p in landed()[:-1] if p not in before])
+    nodes = heads.drop("_keys")
     one = nodes.select(F.col("_one._id").alias("_id3"), F.col("_one._th").alias("_th3"), F.col("_node").alias("_node3"))
-    # Dealt out once for both what follows: which keys several nodes have, and which nodes have these.
-    copies = marks.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h")).repartition(parts(spark), "_h")
-    met = copies.groupBy("_h").agg(F.min("_node").alias("_first"), F.max("_node").alias("_final")).where("_first <> _final").select(F.col("_h").alias("_h2"))
-    shared = cut(copies.join(met.hint("merge"), F.col("_h") == F.col("_h2")).select("_h", "_p", "_node", "_n").distinct())
-    del copies, met
+    # One exchange of all keys: only those stay that several sets have.
+    by_key = Window.partitionBy("_h")
+    keys = heads.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h"))
+    met = keys.select("_h", "_p", "_node", "_n", F.min("_node").over(by_key).alias("_first"), F.max("_node").over(by_key).alias("_final"))
+    shared = land(met.where("_first <> _final").drop("_first", "_final"))
+    del keys, met
     _release(spark)
-    heads = marks.join(if_small(cut(shared.select("_node").distinct())), "_node", "left_semi")
-    heads = land(heads.select("_node", "_n", "_keys").dropDuplicates(["_node"]))
 
     def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs _a, _b with the numbers of shingles of their sets and how many of the keys they share."""
