@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, licenses, line_dedup, lm, quality, secrets, sharding, simhash, toxicity
+from . import audit, bpe, decontamination, licenses, line_dedup, lm, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
+    "op13_filter_audit": audit.op13_filter_audit,
 }
 ORACLE_SQL = {
     "op2_license_scans": licenses.OP2_SQL,
     "op3_quality_rules": quality.OP3_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
+    "op13_filter_audit": audit.OP13_SQL,
 }
