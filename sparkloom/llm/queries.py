@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, bpe, decontamination, licenses, line_dedup, lm, quality, secrets, sharding, simhash, toxicity
+from . import audit, bpe, decontamination, licenses, line_dedup, lm, negatives, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op13_filter_audit": audit.op13_filter_audit,
 }
 ORACLE_SQL = {
@@ -22,5 +23,6 @@ ORACLE_SQL = {
     "op3_quality_rules": quality.OP3_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
     "op13_filter_audit": audit.OP13_SQL,
 }
