@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, bpe, decontamination, licenses, line_dedup, lm, negatives, quality, secrets, sharding, simhash, toxicity
+from . import audit, bpe, decontamination, fingerprints, licenses, line_dedup, lm, negatives, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_sharding": sharding.op10_sharding,
     "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_fingerprints": fingerprints.op12_fingerprints,
     "op13_filter_audit": audit.op13_filter_audit,
 }
 ORACLE_SQL = {
