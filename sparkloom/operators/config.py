@@ -17,7 +17,7 @@ ACCEPT = "application/rss+xml, application/atom+xml, application/xml, text/xml;q
 LANGUAGE = "en-US,en;q=0.9"
 # Fixed values too: what a run says.
 SAID_REFUSED = "[ERROR] Target discovery failed with status {}."
-SAID_UNREADABLE, SAID_MISSING = "[ERROR] Failed to discover targets.", "Missing required runner configuration."
+SAID_UNREADABLE, SAID_MISSING = "[ERROR] Failed to discover targets.", "[ERROR] Missing required runner configuration."
 SAID_DISCOVERED, SAID_NOTHING = "[INFO] Discovered {} targets.", "[INFO] No targets pending rescue."
 SAID_TOTALS = "[INFO] Batch sync complete: %d targets processed, %d entries added, %d errors."
 USER_AGENT = "sparkloom-relay/1.0"
