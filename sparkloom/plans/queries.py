@@ -62,42 +62,63 @@ def endpoint_normalise(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", discovery.alias("discovery_url"), ingest.alias("ingest_url"))
 
 
-BRANCHES = ("https://h/relay-ingest", "https://h/scheduler", "https://h//", "https://h/scheduler/", "https://h/relay-ingest/", "https://h/Scheduler", "")
+#: Ends that make an endpoint of a page's host, by the page's number: each way to tell the two addresses, and near misses.
+ENDS = ("/relay-ingest", "/scheduler", "//", "/scheduler/", "/relay-ingest/", "/Scheduler", "", "/scheduler?x=1", "/a/relay-ingest")
 
 
 def endpoint_branches(spark, sf_dir):
+    """The addresses of a service on each page's host."""
+    host = F.regexp_extract("url", "^[a-z]+://[^/]+", 0)
+    endpoint = F.concat(host, F.element_at(F.array(*map(F.lit, ENDS)), (F.col("page_id") % len(ENDS) + 1).cast("int"))).alias("endpoint")
     discovery, ingest = addresses("endpoint")
-    return spark.createDataFrame([(b,) for b in BRANCHES], "endpoint string").select("endpoint", discovery.alias("discovery_url"), ingest.alias("ingest_url"))
+    return _table(spark, sf_dir, "pages").select("page_id", endpoint).select("page_id", "endpoint", discovery.alias("discovery_url"), ingest.alias("ingest_url"))
 
 
-#: Discovery documents, with the identity of each.
-LISTS = (
-    '{"targets":[{"id":1,"feed_url":"http://a/f"},{"id":"0","feed_url":"http://a/f"},{"id":0,"feed_url":"http://a/f"},{"id":0.0,"feed_url":"http://a/f"}]}',
-    '{"targets":[{"id":"","feed_url":"http://a/f"},{"id":null,"feed_url":"http://a/f"},{"feed_url":"http://a/f"},{"id":false,"feed_url":"http://a/f"},{"id":true,"feed_url":"http://a/f"}]}',
-    '{"targets":[{"id":[],"feed_url":"u"},{"id":{},"feed_url":"u"},{"id":[null],"feed_url":"u"},{"id":{"a":1},"feed_url":"u"},{"id":1,"feed_url":""},{"id":1,"feed_url":null},{"id":1},{"id":1,"feed_url":5},{}]}',
-)
+#: Targets in a discovery document.
+LISTED = 10
+#: JSON values in place of a page's number (#) and address (@), by the number, so that each document has values of each kind.
+IDS = ("#", '"#"', "0", "0.0", "null", '""', "true", "[null]", "[]", '{"n":#}', "{}")
+URLS = ("@", "@", "@", '""', "null", "5", "@")
+#: Documents without a list of targets.
+BARE = ("{}", '{"targets":[]}', '{"targets":null}', '{"other":[1]}')
+
+
+def _choice(among: tuple[str, ...], number: str):
+    return F.element_at(F.array(*map(F.lit, among)), (F.col(number) % len(among) + 1).cast("int"))
+
+
+def discovery_documents(spark, sf_dir):
+    """list and body: pages as targets, LISTED to a document; every fifth document lists none."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url").where("page_id IS NOT NULL AND url IS NOT NULL")
+    filled = [F.replace(_choice(values, "page_id"), F.lit(mark), value) for values, mark, value in ((IDS, "#", F.col("page_id").cast("string")), (URLS, "@", F.concat(F.lit('"'), "url", F.lit('"'))))]
+    one = pages.select("page_id", F.floor(F.col("page_id") / LISTED).cast("int").alias("list"), F.concat(F.lit('{"id":'), filled[0], F.lit(',"feed_url":'), filled[1], F.lit("}")).alias("t"))
+    # A document has LISTED targets.
+    full = one.groupBy("list").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "t"))), lambda x: x["t"]), ",").alias("t"))
+    return full.select("list", F.when(F.col("list") % 5 == 4, _choice(BARE, "list")).otherwise(F.concat(F.lit('{"targets":['), "t", F.lit("]}"))).alias("body"))
 
 
 def variant_targets(spark, sf_dir):
-    lists = spark.createDataFrame(list(enumerate(LISTS)), "list int, body string")
+    """The targets of all documents, with values of any type, and whether they count."""
     able = T.eligible(F.col("feed_id"), F.col("feed_url"), variant=True)
-    rows = T.listed_targets(lists, keep=("list",))
+    rows = T.listed_targets(discovery_documents(spark, sf_dir), keep=("list",))
     return rows.select("list", F.col("ord").cast("int").alias("ord"), F.when(able, F.to_json("feed_id")).alias("feed_id"), able.alias("eligible"))
 
 
-#: Answers to posts: status and text.
+#: Answers to posts, by the event's number; # is the number in its props.
 ANSWERS = (
-    (200, '{"processed":3,"added":2}'), (200, "{}"), (200, '{"processed":3}'), (200, '{"processed":null,"added":2}'),
-    (200, '{"processed":3,"added":null}'), (200, '{"processed":"3"}'), (200, '{"processed":true}'), (200, "[1]"),
-    (200, "not JSON"), (201, '{"processed":3,"added":2}'), (500, '{"processed":3}'), (200, '{"processed":3,"added":[1]}'),
+    '{"processed":#,"added":2}', "{}", '{"processed":#}', '{"processed":null,"added":#}', '{"processed":#,"added":null}', '{"processed":"#"}',
+    '{"processed":true,"added":#}', "[#]", "not JSON #", '{"processed":#,"added":[1]}', '{"added":#}', "#",
 )
 
 
 def post_outcomes(spark, sf_dir):
-    rows = spark.createDataFrame([(k, s, b) for k, (s, b) in enumerate(ANSWERS)], "ord int, post_status int, post_body string")
+    """What each event adds up to as an answer: errors are 500, signups 201."""
+    k = F.get_json_object("props", "$.k")
+    status = F.when(F.col("event_type") == "error", 500).when(F.col("event_type") == "signup", 201).otherwise(200)
+    rows = _table(spark, sf_dir, "events").select("event_id", status.alias("post_status"), F.replace(_choice(ANSWERS, "event_id"), F.lit("#"), k).alias("post_body"))
     none = F.lit(None).cast("string")
     got = increments(rows.withColumns({"fetch_status": F.lit(200), "fetch_body": F.lit("<"), "fetch_error": none, "post_error": none}))
-    return got.select("ord", F.col("synced_inc").cast("long").alias("synced_inc"), F.col("added_inc").cast("long").alias("added_inc"), "failed_inc")
+    return got.select("event_id", F.col("synced_inc").cast("long").alias("synced_inc"), F.col("added_inc").cast("long").alias("added_inc"), "failed_inc")
 
 
 def _outcomes(spark, sf_dir, on=None):
@@ -145,8 +166,8 @@ def _addresses_sql(e: str) -> str:
     return f"{_address_sql(e, 'relay-targets')} AS discovery_url, {_address_sql(e, 'relay-ingest')} AS ingest_url"
 
 
-def _values(rows) -> str:
-    return ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+def _list_sql(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
 _ABLE = "coalesce(page_id <> 0 AND url <> '', false)"
@@ -173,17 +194,23 @@ ORACLE_SQL = {
     "ingest_envelope": "SELECT page_id, CAST(to_json({relay_results: [{feed_id: page_id, xml: html}]}) AS VARCHAR) AS envelope FROM pages",
     "response_counters": f"SELECT event_id, CAST({_COUNT.format('k')} AS BIGINT) AS processed, CAST({_COUNT.format('added')} AS BIGINT) AS added FROM (SELECT event_id, CAST(props AS JSON) AS b FROM events)",
     "endpoint_normalise": f"SELECT page_id, {_addresses_sql('url')} FROM pages",
-    "endpoint_branches": f"SELECT endpoint, {_addresses_sql('endpoint')} FROM (VALUES {_values((b,) for b in BRANCHES)}) v(endpoint)",
+    "endpoint_branches": f"""
+WITH e AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+') || {_list_sql(ENDS)}[page_id % {len(ENDS)} + 1] AS endpoint FROM pages)
+SELECT page_id, endpoint, {_addresses_sql('endpoint')} FROM e""",
     "variant_targets": f"""
-WITH l AS (SELECT CAST(i AS INT) AS list, CAST(b AS JSON) AS b FROM (VALUES {_values(enumerate(LISTS))}) v(i, b)),
-t AS (SELECT list, CAST(o AS INT) AS ord, b -> ('$.targets[' || o || ']') AS t FROM (SELECT list, b, unnest(range(CAST(json_array_length(b, '$.targets') AS BIGINT))) AS o FROM l)),
+WITH p AS (SELECT page_id, page_id // {LISTED} AS list, '{{"id":' || replace({_list_sql(IDS)}[page_id % {len(IDS)} + 1], '#', CAST(page_id AS VARCHAR)) || ',"feed_url":' ||
+           replace({_list_sql(URLS)}[page_id % {len(URLS)} + 1], '@', '"' || url || '"') || '}}' AS t FROM pages WHERE page_id IS NOT NULL AND url IS NOT NULL),
+l AS (SELECT CAST(list AS INT) AS list, CAST(CASE WHEN list % 5 = 4 THEN {_list_sql(BARE)}[list % {len(BARE)} + 1] ELSE '{{"targets":[' || string_agg(t, ',' ORDER BY page_id) || ']}}' END AS JSON) AS b FROM p GROUP BY list),
+t AS (SELECT list, CAST(o AS INT) AS ord, b -> ('$.targets[' || o || ']') AS t
+      FROM (SELECT list, b, unnest(range(CASE WHEN json_type(b, '$.targets') = 'ARRAY' THEN CAST(json_array_length(b, '$.targets') AS BIGINT) ELSE 0 END)) AS o FROM l)),
 f AS (SELECT list, ord, t -> '$.id' AS i, t -> '$.feed_url' AS u FROM t),
 e AS (SELECT *, coalesce({_TRUE.format('i')}, false) AND coalesce({_TRUE.format('u')}, false) AS eligible FROM f)
 SELECT list, ord, CASE WHEN eligible THEN CAST(i AS VARCHAR) END AS feed_id, eligible FROM e""",
     "post_outcomes": f"""
-WITH a AS (SELECT CAST(o AS INT) AS ord, CASE WHEN s = 200 AND json_valid(t) THEN CAST(t AS JSON) END AS b FROM (VALUES {_values((k, s, b) for k, (s, b) in enumerate(ANSWERS))}) v(o, s, t)),
-c AS (SELECT ord, {_COUNT.format('processed')} AS p, {_COUNT.format('added')} AS q FROM a)
-SELECT ord, coalesce(p, 0) AS synced_inc, CASE WHEN p IS NOT NULL THEN coalesce(q, 0) ELSE 0 END AS added_inc, CAST(CASE WHEN p IS NULL OR q IS NULL THEN 1 ELSE 0 END AS BIGINT) AS failed_inc FROM c""",
+WITH a AS (SELECT event_id, coalesce(event_type NOT IN ('error', 'signup'), true) AS good, replace({_list_sql(ANSWERS)}[event_id % {len(ANSWERS)} + 1], '#', json_extract_string(props, '$.k')) AS t FROM events),
+j AS (SELECT event_id, CASE WHEN good AND json_valid(t) THEN CAST(t AS JSON) END AS b FROM a),
+c AS (SELECT event_id, {_COUNT.format('processed')} AS p, {_COUNT.format('added')} AS q FROM j)
+SELECT event_id, coalesce(p, 0) AS synced_inc, CASE WHEN p IS NOT NULL AND q IS NOT NULL THEN q ELSE 0 END AS added_inc, CAST(CASE WHEN p IS NULL OR q IS NULL THEN 1 ELSE 0 END AS BIGINT) AS failed_inc FROM c""",
     "outcome_totals": f"""
 WITH {_OUTCOMES} SELECT CASE WHEN NOT eligible THEN 'skipped' WHEN NOT fetched THEN 'fetch_failed' WHEN NOT answered THEN 'post_failed' ELSE 'delivered' END AS outcome,
 count(*) AS targets, CAST(coalesce(sum(k) FILTER (eligible AND fetched AND answered), 0) AS BIGINT) AS synced FROM o GROUP BY 1""",
