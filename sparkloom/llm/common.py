@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import NoSharedFolderError, Scratch, shared_folder
+
 #: The white space of the contracts: space and the characters 9 to 13.
 WS = " \t\n\x0b\x0c\r"
 WS_RUN = r"[\x20\x09-\x0D]+"
@@ -37,53 +38,33 @@ def words(c: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WS_RUN))
 
 
-class NoSharedFolderError(RuntimeError):
-    """spark.checkpoint.dir is unset, so there is no folder that all executors share."""
-
+#: The folder that land and cut write to: that of the innermost `scratch` of this thread, if there is one.
+_OPEN: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or the one given to setCheckpointDir.
 
-    Where neither is set, a temporary one if the driver is its own only executor; on a cluster that is an error.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise NoSharedFolderError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = tempfile.mkdtemp(prefix="sparkloom-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(at)
-    return at
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """What land and cut write inside goes away at the end, all of it and nothing else. What is returned from inside must not read it."""
+    made = Scratch(spark)
+    before = _OPEN.set(made)
+    try:
+        yield made
+    finally:
+        _OPEN.reset(before)
+        made.remove()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder, where it outlives executors. For narrow rows."""
+    if _OPEN.get():
+        return land(df)
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-#: Tables that land() wrote and nobody has removed yet.
-_LANDED: list[str] = []
-
-
 def land(df: DataFrame) -> DataFrame:
     """df written as a Parquet table in the shared folder and read again. For rows that hold texts."""
-    path = f"{shared_folder(df.sparkSession)}/sparkloom-{uuid.uuid4().hex}"
-    _LANDED.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def landed() -> list[str]:
-    """The tables that are there now, oldest first; for remove_landed, once nothing reads them any more."""
-    return list(_LANDED)
-
-
-def remove_landed(spark: SparkSession, paths: list[str]) -> None:
-    for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        _LANDED.remove(path)
+    return (_OPEN.get() or Scratch(df.sparkSession)).land(df)
 
 
 def few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -93,6 +74,12 @@ def few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Reco
             yield b.slice(k, rows)
 
 
+def only(df: DataFrame, **names: str) -> DataFrame:
+    """Some of df's columns under other names: only(df, _id="doc_id"). A column whose name differs in case alone does not matter."""
+    kept = Aside(df)
+    return kept.df.select(*[kept.of(n).alias(k) for k, n in names.items()])
+
+
 def if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """df, a table or checkpoint of narrow rows, marked for broadcast if it is counted to have no more rows than that."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

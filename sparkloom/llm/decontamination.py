@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Aside, col, cut, if_small, table, whole
+from .common import Aside, col, cut, if_small, only, table, whole
 
 #: The words of a seed, from its start; those between are ignored. Any 8 to 13 words of which a fifth at most
 #: are changed still hold a seed of one of these two, as a test finds by trying all ways to change them.
@@ -37,6 +37,11 @@ def _place(n: Column, at: Column) -> Column:
     return F.when(at < first, at).otherwise(at - first)
 
 
+def _bytes(df: DataFrame, words_: str) -> int:
+    """About what rows with these words take in memory."""
+    return df.agg(F.coalesce(F.sum(64 + 40 * F.size(words_) + F.octet_length(F.array_join(words_, ""))), F.lit(0))).first()[0]
+
+
 def find_overlaps(
     df: DataFrame,
     benchmark: DataFrame,
@@ -69,11 +74,11 @@ def find_overlaps(
     Seeds are 64-bit hashes. The benchmark's are broadcast if they are measured at broadcast_bytes or less;
     a larger benchmark is joined by an exchange of seeds, in which each is spread over `salts` keys.
     """
-    items = benchmark.select(col(item_id).alias("_item"), benchmark_words(whole(col(item_text))).alias("_bw")).where(F.size("_bw") >= min_words).distinct()
+    items = only(benchmark, _item=item_id, _bt=item_text).select("_item", benchmark_words(whole("_bt")).alias("_bw")).where(F.size("_bw") >= min_words).distinct()
     items = cut(items.withColumn("_bh", F.xxhash64("_bw")))
     tests = items.select("_item", "_bh", F.size("_bw").alias("_bn"), _seeds("_bw").alias("_seeds")).select("_item", "_bh", "_bn", F.posexplode("_seeds").alias("_k", "_seed"))
     tests = tests.select("_item", "_bh", _place(F.col("_bn"), F.col("_k")).alias("_bpos"), "_seed")
-    docs = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")).select("_id", "_t", F.xxhash64("_t").alias("_th"))
+    docs = only(df, _id=doc_id, _t=text).select("_id", whole("_t").alias("_t")).select("_id", "_t", F.xxhash64("_t").alias("_th"))
     worded = docs.select("_id", "_th", benchmark_words(F.col("_t")).alias("_w"))
     # explode_outer: for a plain explode Spark infers a filter on the array's size, which computes it again.
     # Words end before the seeds are dealt out, as else each seed's row would carry all of them.
@@ -93,7 +98,7 @@ def find_overlaps(
     found = found.select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), "_t").distinct().select("_id2", "_th2", benchmark_words(F.col("_t")).alias("_w"))
     known = items.withColumnsRenamed({"_item": "_item2", "_bh": "_bh2"})
     pairs = hits.join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")))
-    pairs = pairs.join(if_small(known, 5000), F.col("_item").eqNullSafe(F.col("_item2")) & (F.col("_bh") == F.col("_bh2")))
+    pairs = pairs.join(F.broadcast(known) if _bytes(known, "_bw") <= broadcast_bytes else known, F.col("_item").eqNullSafe(F.col("_item2")) & (F.col("_bh") == F.col("_bh2")))
     # A window with enough words holds a seed, so what counts lies within a window of the first and the last hit.
     size = F.least(F.lit(window), F.size("_bw"))
     begin = F.greatest(F.lit(0), F.col("_from") - F.lit(window - 1))

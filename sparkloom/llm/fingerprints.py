@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Aside, col, if_small, land, table, whole, words
+from .common import if_small, land, only, table, whole, words
 
 #: Lanes are numbers modulo 2**32. The first EXACT tell multisets of paragraphs apart; each shingle adds 1 or -1 to each of the others.
 MASK = (1 << 32) - 1
@@ -77,7 +78,7 @@ def fingerprints(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -
     A long text costs its length; texts are not exchanged, but one row of sums for each. An empty table
     gives an empty result; other columns are not read, so their names cannot clash.
     """
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), col(doc_id).alias("_id"), whole(col(text)).alias("_t"))
+    rows = only(df, _id=doc_id, _t=text).select(F.monotonically_increasing_id().alias("_row"), "_id", whole("_t").alias("_t"))
     return paragraph_vectors(rows, ["_row", "_id"], "_t").drop("_row")
 
 
@@ -110,9 +111,7 @@ def edits(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataF
     long text costs its length. An empty table gives an empty result. Other columns are not read. Each text
     is exchanged once, each beginning once, and after that fingerprints alone.
     """
-    given = Aside(df.select(col(doc_id), col(text)))
-    t = whole(F.col(given.own[1]))
-    docs = given.df.select(F.col(given.own[0]).alias("_id"), F.xxhash64(t).alias("_h"), t.alias("_t"))
+    docs = only(df, _id=doc_id, _t=text).select("_id", F.xxhash64(whole("_t")).alias("_h"), whole("_t").alias("_t"))
     turn = land(in_turn(docs.select("_id", "_h", F.length("_t").cast("long").alias("_n"))))
     keyed = docs.select("_id", "_h", "_t", F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_k"), F.col("_id").isNull().alias("_z"))
     if not turn.where("_times > 1").isEmpty():

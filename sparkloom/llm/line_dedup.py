@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS, Aside, ascii_lower, col, parts, table, whole
+from .common import Aside, WS, ascii_lower, col, only, parts, table, whole
 
 WORD = 64
 
@@ -29,7 +29,7 @@ def keep_bitmaps(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", m
     """
     n = parts(df.sparkSession)
     stripped = F.btrim(F.col("_line"), F.lit(WS))
-    docs = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")).select("_id", "_t", F.xxhash64("_t").alias("_th"))
+    docs = only(df, _id=doc_id, _t=text).select("_id", whole("_t").alias("_t")).select("_id", "_t", F.xxhash64("_t").alias("_th"))
     rows = (
         docs.select("_id", "_th", F.posexplode(_lines(F.col("_t"))).alias("_pos", "_line"))
         .where(F.length(stripped) >= min_chars)

@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, few, land, table, whole
+from .common import Aside, few, land, table, whole
 
 #: Words that workers know by number: the most frequent of at most LONGEST bytes, at most so many. The others' counts come by a join.
 HEAD, LONGEST = 1 << 18, 64
@@ -383,7 +383,8 @@ def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", he
     probabilities of all words and of one unknown word sum to 1 in any context.
     """
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
-    docs = df.select(col(doc_id).alias("_id"), held.alias("_held"), whole(col(text)).alias("_t"))
+    given = Aside(df.select("*", held.alias("_held")))
+    docs = given.df.select(given.of(doc_id).alias("_id"), F.col(given.own[-1]).alias("_held"), whole(given.of(text)).alias("_t"))
     counts = land(count_words(docs.where(~F.col("_held"))))
     words, others = known_words(counts, head)
     lay = lay_out(words)

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, few, if_small, land, landed, remove_landed, whole
+from .common import Scratch, cut, few, if_small, land, only, scratch, whole
 from .simhash import SEED, connected, first_of_groups, majority
 from .simhash import links as simhash_links
 
 #: Shingles that a task counts at a time, and how many of the most frequent all tasks are told.
 AT_ONCE, MOST_OFTEN = 1 << 21, 1 << 18
+#: Keys that several sets have, 8 bytes each, which are broadcast at most.
+MOST_SHARED = 1 << 22
 #: Rounds in which texts are compared with one text of each key before all that are still apart are.
 HUBS = 2
 
@@ -55,10 +56,34 @@ def alike(shared: Column, n: Column, m: Column) -> Column:
     return 9 * shared >= 4 * (n + m)
 
 
-def _release(spark) -> None:
-    """Let Spark delete exchanges that nothing refers to any more; it waits for the driver's collector otherwise."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def sketch(own: np.ndarray) -> bytes:
+    """A set of hashes as parities: bit k is that of the number of hashes that end in k, two bits or more for each hash."""
+    size = max(64, 1 << (2 * len(own) - 1).bit_length()) if len(own) else 64
+    return np.packbits((np.bincount(own.view(np.uint64).astype(np.int64) & (size - 1), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differ(a: bytes, b: bytes) -> int:
+    """A number that at least as many hashes are in one of two sets alone: each of them turns one bit of the sketches, the larger folded to the smaller's size."""
+    x, y, m, n = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(a), 8 * len(b)
+    while m != n:
+        if m < n:
+            x, y, m, n = y, x, n, m
+        m //= 2
+        x = (x >> m) ^ (x & ((1 << m) - 1))
+    return (x ^ y).bit_count()
+
+
+def _unlike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """pairs _a, _b without those whose sketches alone rule 0.8 out: then more than a ninth of n + m shingles differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            each = zip(*[b.column(k).to_pylist() for k in range(2, 6)], strict=True)
+            yield b.select([0, 1]).filter(pa.array([9 * differ(x, y) <= n + m for n, m, x, y in each], pa.bool_()))
+
+    named = lambda k: sketches.select(F.col("_node").alias(f"_{k}"), F.col("_n").alias(f"_n{k}"), F.col("_sketch").alias(f"_s{k}"))
+    both = pairs.join(named("a"), "_a").join(named("b"), "_b")
+    return both.select("_a", "_b", "_na", "_nb", "_sa", "_sb").mapInArrow(run, "_a bigint, _b bigint")
 
 
 def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,68 +121,67 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     SimHash fingerprints of the shingles, `radius` bits apart, name the first pairs to compare; most pairs of 0.8
     are further apart than that (their cosine of 0.89 leaves ten of 64 bits to differ), so a way without loss
     handles the rest. Exact but for collisions of 64-bit hashes of shingles and of sets: texts with equal sets are one node; nodes meet
-    by the keys of their prefixes, which any pair of 0.8 shares, and only pairs whose sets are compared in full
-    become links. Pairs whose prefixes share so little that 0.8 is out of reach are not compared further.
+    by the keys of their prefixes, which any pair of 0.8 shares. Of the pairs that meet, those go on whose
+    sketches, two bits for each shingle, leave 0.8 possible, and only of what is left whole sets are read and compared.
     So that a key with many nodes does not make all their pairs, its nodes are first compared with one of
     them, the smallest and then any, in HUBS rounds; then pairs of nodes that share a key and do not hang
     together yet. A pair counts at a key only if what follows it in both prefixes, and behind them, can
     still make up 0.8: at the first key that two sets share, that leaves all pairs of 0.8 or more.
     Null and texts without words have equal sets, the empty one. Repeated rows stay. A null id never names a
     component. A long text costs its length, and an empty table gives an empty result. Other columns are not
-    read, so their names cannot clash. df is read several times and so should be a table.
+    read, so their names cannot clash. df is read several times and so should be a table. All tables on the
+    way are in one folder, which is gone in the end; the result is a table of its own.
     """
-    spark = df.sparkSession
-    kind = df.select(col(doc_id)).schema[0].dataType.simpleString()
-    docs = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t"))
+    out = Scratch(df.sparkSession)
+    with scratch(df.sparkSession):
+        return out.land(_grouped(only(df, _id=doc_id, _t=text).select("_id", whole("_t").alias("_t")), words, radius))
+
+
+def _grouped(docs: DataFrame, words: int, radius: int) -> DataFrame:
+    spark, kind = docs.sparkSession, docs.schema["_id"].dataType.simpleString()
     docs = docs.select("_id", "_t", F.xxhash64("_t").alias("_th"))
-    _release(spark)
     often = spark.sparkContext.broadcast(_frequent(docs, words))
 
-    def run(batches: Iterator[pa.RecordBatch], sets: bool) -> Iterator[pa.RecordBatch]:
+    def node(own: np.ndarray) -> int:
+        return xxhash.xxh64_intdigest(own.tobytes(), len(own))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in few(batches, 200):
             every = [hashes(t.encode(), words) for t in b.column(1).to_pylist()]
-            made = [np.unique(x.view(np.int64)) for x in every]
-            prints = np.array([majority(x) for x in every], np.uint64).view(np.int64)
-            nodes = pa.array(np.array([xxhash.xxh64_intdigest(x.tobytes(), len(x)) for x in made], np.uint64).view(np.int64))
-            kept = pa.array(made if sets else [prefix(x, *often.value) for x in made], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), nodes, pa.array([len(x) for x in made], pa.int32()), pa.array(prints), kept], names=["_id", "_th", "_node", "_n", "_fp", "_keys"])
-
-    schema = f"_id {kind}, _th bigint, _node bigint, _n int, _fp bigint, _keys array<bigint>"
-    before = landed()
-    made = land(docs.mapInArrow(lambda batches: run(batches, False), schema))
-    # Keys go on once for each set, however many texts have it.
-    known = made.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_id", "_th")).alias("_one"), F.max("_n").alias("_n"), F.min("_fp").alias("_fp"), F.any_value("_keys").alias("_keys"))
-    marks, heads = cut(made.select("_id", "_th", "_node")), land(known)
-    remove_landed(spark, [p for p in landed()[:-1] if p not in before])
-    nodes = heads.drop("_keys")
+            own = [np.unique(x.view(np.int64)) for x in every]
+            prints, nodes = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in ([majority(x) for x in every], [node(x) for x in own]))
+            keys = pa.array([prefix(x, *often.value) for x in own], pa.list_(pa.int64()))
+            sketches = pa.array([sketch(x) for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), nodes, pa.array([len(x) for x in own], pa.int32()), prints, keys, sketches], names=["_id", "_th", "_node", "_n", "_fp", "_keys", "_sketch"])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in few(batches, 200):
+            own = [shingles(t.encode(), words) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([node(x) for x in own], np.uint64).view(np.int64)), pa.array([len(x) for x in own], pa.int32()), pa.array(own, pa.list_(pa.int64()))], names=["_node", "_n", "_set"])
+
+    made = docs.mapInArrow(marked, f"_id {kind}, _th bigint, _node bigint, _n int, _fp bigint, _keys array<bigint>, _sketch binary")
+    made = land(made.withColumn("_row", F.monotonically_increasing_id()))
+    marks = made.select("_id", "_th", "_node")
+    nodes = land(made.groupBy("_node").agg(F.min("_id").alias("_least"), F.min(F.struct("_row", "_id", "_th")).alias("_one"), F.max("_n").alias("_n"), F.min("_fp").alias("_fp"), F.any_value("_sketch").alias("_sketch"), F.count(F.lit(1)).alias("_times")))
     one = nodes.select(F.col("_one._id").alias("_id3"), F.col("_one._th").alias("_th3"), F.col("_node").alias("_node3"))
-    # One exchange of all keys: only those stay that several sets have.
-    by_key = Window.partitionBy("_h")
-    keys = heads.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h"))
-    met = keys.select("_h", "_p", "_node", "_n", F.min("_node").over(by_key).alias("_first"), F.max("_node").over(by_key).alias("_final"))
-    shared = land(met.where("_first <> _final").drop("_first", "_final"))
-    del keys, met
-    _release(spark)
-
-    def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs _a, _b with the numbers of shingles of their sets and how many of the keys they share."""
-        a = sets.select(F.col("_node").alias("_a"), F.col("_n").alias("_na"), F.col("_keys").alias("_ka"))
-        b = sets.select(F.col("_node").alias("_b"), F.col("_n").alias("_nb"), F.col("_keys").alias("_kb"))
-        ends = b.join(if_small(cut(pairs.select("_b").distinct())), "_b", "left_semi")
-        both = a.join(if_small(pairs), "_a").join(ends, "_b")
-        return both.select("_a", "_b", "_na", "_nb", F.size(F.array_intersect("_ka", "_kb")).alias("_c"))
+    # Keys go on once for each set: where several rows have one, from the first of them.
+    again = nodes.where("_times > 1").select(F.col("_node").alias("_node2"), F.col("_one._row").alias("_row2"))
+    rows = made.join(if_small(again), F.col("_node") == F.col("_node2"), "left").where("_node2 IS NULL OR _row = _row2")
+    keys = rows.select("_node", "_n", F.posexplode("_keys").alias("_p", "_h"))
+    # A set has a key once, so a key that is there twice has two sets. Hashes alone are exchanged for that.
+    several = land(keys.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_h"))
+    shared = land(keys.join(if_small(several, MOST_SHARED), "_h", "left_semi"))
 
     def found(pairs: DataFrame) -> DataFrame:
-        """Of pairs _a, _b the links. Whole sets are read only where the shared keys of the prefixes leave 0.8 possible."""
-        rest = lambda n: F.ceil(4 * F.col(n) / 5) - 1  # noqa: E731  shingles behind the prefix
-        # Of the two prefixes, one ends first; what is shared beyond it is in the rest of that one's set.
-        close = meet(pairs, heads).where(alike(F.col("_c") + F.greatest(rest("_na"), rest("_nb")), F.col("_na"), F.col("_nb")))
-        close = cut(close.select("_a", "_b"))
+        """Of pairs _a, _b the links."""
+        close = land(_unlike(pairs, nodes.select("_node", "_n", "_sketch")))
         names = close.select(F.col("_a").alias("_node")).unionByName(close.select(F.col("_b").alias("_node"))).distinct()
-        wanted = cut(one.join(names, F.col("_node3") == F.col("_node"), "left_semi").select("_id3", "_th3"))
+        wanted = land(one.join(names, F.col("_node3") == F.col("_node"), "left_semi").select("_id3", "_th3"))
         own = docs.join(if_small(wanted), F.col("_id").eqNullSafe(F.col("_id3")) & (F.col("_th") == F.col("_th3")), "left_semi")
-        sets = land(own.mapInArrow(lambda batches: run(batches, True), schema).dropDuplicates(["_node"]))
-        return meet(close, sets).where(alike(F.col("_c"), F.col("_na"), F.col("_nb"))).select("_a", "_b")
+        sets = land(own.mapInArrow(listed, "_node bigint, _n int, _set array<bigint>").dropDuplicates(["_node"]))
+        named = lambda k: sets.select(F.col("_node").alias(f"_{k}"), F.col("_n").alias(f"_n{k}"), F.col("_set").alias(f"_s{k}"))
+        both = close.join(named("a"), "_a").join(named("b"), "_b")
+        return both.where(alike(F.size(F.array_intersect("_sa", "_sb")), F.col("_na"), F.col("_nb"))).select("_a", "_b")
 
     def relabelled(labels: DataFrame) -> DataFrame:
         """shared with _l, what each node hangs together with so far. It is not kept: there are as many rows as keys of texts."""
@@ -184,7 +208,6 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     labels = connected(links)
     labelled = relabelled(labels)
     for turn in range(HUBS + 1):
-        _release(spark)
         left = labelled.select("_h", F.col("_node").alias("_a"), F.col("_n").alias("_na"), F.col("_l").alias("_la"), F.col("_p").alias("_pa"))
         if turn < HUBS:
             hub = F.min_by(F.struct("_node", "_n", "_l", "_p"), F.struct(F.when(F.lit(turn == 0), F.col("_n")), F.xxhash64("_node", F.lit(turn))))

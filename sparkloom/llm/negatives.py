@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, land, table
+from .common import land, only, table
 
 #: Anchors that are multiplied at a time, and candidates: a product is a matrix of this many rows and columns.
 ROWS, COLUMNS = 512, 2048
@@ -178,7 +178,7 @@ def mine(
     spark = df.sparkSession
 
     def of(rows: DataFrame) -> DataFrame:
-        given = rows.select(col(vec_id).cast("long").alias("id"), col(label).cast("long").alias("label"), col(vector).cast("array<double>").alias("v"))
+        given = only(rows, id=vec_id, label=label, v=vector).select(F.col("id").cast("long"), F.col("label").cast("long"), F.col("v").cast("array<double>"))
         return given.where("id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL")
 
     candidates = of(df)

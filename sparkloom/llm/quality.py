@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, Aside, col, cut, if_small, table, whole, words
+from .common import WS, Aside, cut, if_small, only, table, whole, words
 
 SYMBOLS = "[#*$%&|<>]"
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -61,7 +61,7 @@ def host_verdicts(df: DataFrame, *, host: str = "source", failed: str = "_failed
     table has no hosts. Other columns are not read. Hosts are counted by partial sums, so one that holds a
     third of all rows costs no more than others.
     """
-    hosts = cut(df.groupBy(col(host).alias("_host")).agg(F.count(F.lit(1)).alias("host_docs"), F.count_if(failed).alias("host_failed")))
+    hosts = cut(only(df, _host=host, _f=failed).groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"), F.count_if("_f").alias("host_failed")))
     rate = F.col("host_failed") / F.col("host_docs")
     total = hosts.agg(F.sum("host_docs").alias("n"), F.sum("host_failed").alias("k"), F.var_pop(rate).alias("v"), F.avg(1 / F.col("host_docs")).alias("inv")).first()
     n, mean = total.n or 0, (total.k or 0) / max(total.n or 0, 1)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Aside, col, cut, few, if_small, parts, table, whole
+from .common import Aside, cut, few, if_small, only, parts, table, whole
 
 SEED = 42
 WIDTH = 64
@@ -44,14 +44,15 @@ def majority(hashes: np.ndarray) -> int:
 
 def fingerprints(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4) -> DataFrame:
     """_id, _th (a hash of the text) and _fp, the 64 bits as a signed long, for each row. No exchange; only the id and the text are read."""
-    kind = df.select(col(doc_id)).schema[0].dataType
+    given = only(df, _id=doc_id, _t=text)
+    kind = given.schema["_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in few(batches):
             made = np.fromiter((fingerprint(t.encode(), words) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(made.view(np.int64))], names=["_id", "_th", "_fp"])
 
-    given = df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t"))
+    given = given.select("_id", whole("_t").alias("_t"))
     return given.select("_id", "_t", F.xxhash64("_t").alias("_th")).mapInArrow(run, f"_id {kind.simpleString()}, _th bigint, _fp bigint")
 
 

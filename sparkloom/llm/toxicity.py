@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, few, land, table, whole
+from .common import few, land, only, scratch, table, whole
 
 BITS = 22
 #: Labelled documents that the model is fitted on at most: the first in the order of a hash of their ids.
@@ -226,12 +226,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, most: int = MOST_LABE
     """doc_id, text and toxic of at most `most` documents that have a label: those whose ids hash lowest.
 
     An id that several labels have is toxic if one says so; one that several documents have lends its least
-    text. Null ids and null labels teach nothing. Other columns are not read.
+    text, and so do repeated rows. Null ids and null labels teach nothing; a null text is an empty one. A long
+    text costs its length; of an empty table, or without labels, nothing is left. Other columns are not read,
+    so their names cannot clash.
     """
-    known = labels.where(col(label).isNotNull() & col(doc_id).isNotNull()).groupBy(col(doc_id).alias("_id")).agg((F.max(col(label)) > 0).cast("int").alias("toxic"))
-    ids = docs.select(col(doc_id).alias("_id")).join(known, "_id").groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    known = only(labels, _id=doc_id, _l=label).where("_l IS NOT NULL AND _id IS NOT NULL").groupBy("_id").agg((F.max("_l") > 0).cast("int").alias("toxic"))
+    rows = only(docs, doc_id=doc_id, text=text).select("doc_id", whole("text").alias("text"))
+    ids = rows.select(F.col("doc_id").alias("_id")).join(known, "_id").groupBy("_id").agg(F.max("toxic").alias("toxic"))
     chosen = ids.orderBy(F.xxhash64("_id"), "_id").limit(most)  # at most `most` pairs of numbers: broadcast
-    rows = docs.select(col(doc_id).alias("doc_id"), whole(col(text)).alias("text"))
     return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
@@ -242,7 +244,8 @@ def margins(df: DataFrame, model: Model, *, text: str = "text", doc_id: str = "d
     columns are not read, so their names cannot clash.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = df.select(col(doc_id)).schema[0].dataType.simpleString()
+    given = only(df, _id=doc_id, _t=text).select("_id", whole("_t").alias("_t"))
+    kind = given.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -254,7 +257,7 @@ def margins(df: DataFrame, model: Model, *, text: str = "text", doc_id: str = "d
             x = np.array([base + float(dense[features(t, known)].sum(dtype=np.float64)) for t in b.column(1).to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.a * x + m.b)], names=["_id", "_x"])
 
-    return df.select(col(doc_id).alias("_id"), whole(col(text)).alias("_t")).mapInArrow(run, f"_id {kind}, _x double")
+    return given.mapInArrow(run, f"_id {kind}, _x double")
 
 
 def score(df: DataFrame, model: Model, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -266,5 +269,6 @@ def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     part = lambda c: F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5, F.lit(0))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(part(F.col("doc_id")) != 0)
-    model = fit(land(labelled_sample(docs, labels)))
+    with scratch(spark):  # the model alone comes out of it
+        model = fit(land(labelled_sample(docs, labels)))
     return score(docs, model).select(F.col("_id").alias("doc_id"), (part(F.col("_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -4,13 +4,13 @@ import corpus_pipeline as pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe, decontamination, licenses, line_dedup, lm, quality, secrets, sharding, simhash, toxicity
+from sparkloom.llm import audit, bpe, decontamination, fingerprints, licenses, line_dedup, lm, negatives, quality, secrets, sharding, simhash, toxicity
 
 NAMES = (
     "_id _th _t _w _n _k _h _s _m _l _a _b _c _fp _key _keys _pos _line _salt _range _first _keep _gone _lines _kept _n_lines _n_dropped _full _chars _symbols _dup _repeat"
     " _host host_docs host_failed host_rate host_rejected _failed _base _spans _k1 _k2 _size _shard _slice _start _row _crc size text_crc32 law shard slot grown_shard"
     " _item _bw _bh _seed _seeds _shift start matched window item_id digest license notices line _name ids n_tokens decoded_sha256 decoded component_id _own _best _node _root"
-    " _held held_out score base_score train_tokens n_known c0 c1 c2 given host failed word keep"
+    " Text DOC_ID Source _held held_out score base_score train_tokens n_known c0 c1 c2 given host failed word keep"
 ).split()
 LONG = "the end of " * 20000
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen"
@@ -25,11 +25,13 @@ def bare(spark):
 
 @pytest.fixture(scope="module")
 def crowded(bare):
+    # Some of these differ from the table's own names in case alone.
     return bare.select("*", *[F.lit("x").alias(n) for n in NAMES])
 
 
 def rows(df, *names):
-    return sorted(map(str, df.select(*names).collect()))
+    at = [df.columns.index(n) for n in names]
+    return sorted(str([r[k] for k in at]) for r in df.collect())
 
 
 BENCH = [(1, ITEM), (1, "other words"), (None, ITEM), (1, ITEM)]
@@ -47,6 +49,11 @@ CASES = {
     "fingerprints": (simhash.group_by_simhash, ["_id", "_fp", "component_id"]),
     "overlaps": (lambda df: decontamination.find_overlaps(df, df.sparkSession.createDataFrame(BENCH, "item_id long, text string")), ["_id", "item_id", "start", "matched", "window"]),
     "overlaps_dropped": (lambda df: decontamination.drop_overlaps(df, df.sparkSession.createDataFrame(BENCH, "item_id long, text string")), ["doc_id", "text"]),
+    "labelled": (lambda df: toxicity.labelled_sample(df, df.sparkSession.createDataFrame([(3, 1, "x"), (2, 0, "x"), (None, 1, "x"), (4, None, "x")], "doc_id long, toxic int, Toxic string")), ["doc_id", "text", "toxic"]),
+    "hard_negatives": (lambda df: negatives.mine(d := df.withColumn("v", F.array(F.lit(1.0), F.lit(2.0))), d, vec_id="doc_id", vector="v", label="doc_id", positives=2), ["anchor_id"]),
+    "paragraphs": (fingerprints.fingerprints, ["_id", "_lanes"]),
+    "edits": (fingerprints.edits, ["_id", "n_chars", "_edited_lanes"]),
+    "audit": (lambda df: audit.audit_filters(df, df.sparkSession.createDataFrame([(3, 1, 1)], "doc_id long, quality int, toxic int")), ["part", "filter_order", "step", "removed", "good_lost"]),
     "toxicity": (lambda df: toxicity.score(df, toxicity.Model(-1.0, 1.0, 0.0, *[toxicity.np.zeros(0, int)] * 2)), ["_id", "score"]),
 }
 
