@@ -78,10 +78,14 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over documents; each reads what the one before it wrote to the shared folder.
 
-    What a stage wrote is removed when the next one has written its own; the last such table stays, for the result reads it.
+    A run has folders of its own, so that runs side by side do not meet. What a stage wrote is removed when
+    the next one has written its own, and what it needed on the way with it; the last such table stays, for the result reads it.
     """
-    docs, others = common.table(spark, sf_dir, "documents"), common.landed()
+    docs, kept = common.table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = common.land(stage(spark, docs, sf_dir))
-        common.remove_landed(spark, [p for p in common.landed()[:-1] if p not in others])
+        before, kept = kept, common.Scratch(spark)
+        with common.scratch(spark):
+            docs = kept.land(stage(spark, docs, sf_dir))
+        if before:
+            before.remove()
     return STAGES[-1][1](spark, docs, sf_dir)
