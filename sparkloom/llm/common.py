@@ -54,6 +54,11 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         made.remove()
 
 
+def opened(spark: SparkSession) -> Scratch:
+    """The folder of the innermost `scratch` of this thread, or else a new one."""
+    return _OPEN.get() or Scratch(spark)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder, where it outlives executors. For narrow rows."""
     if _OPEN.get():
@@ -64,7 +69,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def land(df: DataFrame) -> DataFrame:
     """df written as a Parquet table in the shared folder and read again. For rows that hold texts."""
-    return (_OPEN.get() or Scratch(df.sparkSession)).land(df)
+    return opened(df.sparkSession).land(df)
 
 
 def few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut, few, if_small, land, only, scratch, whole
+from .common import cut, few, if_small, land, only, opened, scratch, whole
 from .simhash import SEED, connected, first_of_groups, majority
 from .simhash import links as simhash_links
 
@@ -130,9 +130,9 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     Null and texts without words have equal sets, the empty one. Repeated rows stay. A null id never names a
     component. A long text costs its length, and an empty table gives an empty result. Other columns are not
     read, so their names cannot clash. df is read several times and so should be a table. All tables on the
-    way are in one folder, which is gone in the end; the result is a table of its own.
+    way are in one folder, which is gone in the end; the result is a table in the caller's scratch, if there is one.
     """
-    out = Scratch(df.sparkSession)
+    out = opened(df.sparkSession)
     with scratch(df.sparkSession):
         return out.land(_grouped(only(df, _id=doc_id, _t=text).select("_id", whole("_t").alias("_t")), words, radius))
 
