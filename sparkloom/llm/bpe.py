@@ -274,7 +274,10 @@ def encode(df: DataFrame, *, text: str = "text", ranks: dict[bytes, int] | None
 
 
 def decode(df: DataFrame, *, ids: str = "ids", ranks: dict[bytes, int] | None = None) -> DataFrame:
-    """df with decoded, the bytes of its ids. Null ids give no bytes; a column of df named decoded is replaced, other names cannot clash."""
+    """df with decoded, the bytes of its ids. Null ids give no bytes; a column of df named decoded is replaced, other names cannot clash.
+
+    Repeated rows stay, long values cost their length, and an empty table gives an empty result.
+    """
     ranks = ranks or read_ranks(public_tokenizers.path(VOCABULARY))
 
     def work(coder: TextCoder, given: list) -> dict:

@@ -21,7 +21,7 @@ def keep_bitmaps(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", m
     document that is not listed keeps every line. A line's key is the stripped line with A-Z lower-cased;
     keys under min_chars code points never count. The smallest id keeps its lines. Rows with one id are one
     document; those without an id keep their lines and never are the first. Null and empty texts, and empty
-    tables, give no rows; other columns are not read. Keys are compared by 96 bits of hashes.
+    tables, give no rows; a long text costs its length; other columns are not read. Keys are compared by 96 bits of hashes.
 
     The rows are dealt by fixed ranges of a hash of (key, salt), which is uniform, so that no pass over the
     data has to find the ranges. They are sorted by document and position, and first occurrences stream by: no

@@ -322,7 +322,7 @@ def encode(docs: DataFrame, words: Words) -> DataFrame:
 
 
 def _step(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    """The step of each coordinate along its gradient, found - expected: rare features move little."""
+    """The step of each coordinate, in its gradient's direction: a damped step of iterative scaling, by the ratio of what was found to what was expected; rare features move little."""
     return (RATE * np.log((found + PRIOR) / (expected + PRIOR))).astype(np.float32)
 
 
@@ -376,7 +376,8 @@ def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", he
     """_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of df.
 
     The model learns from the rows whose held_out (a Column, or none) is false. Null and empty texts are an
-    end alone; a long text is scored in one piece of a worker's memory, four bytes a token. Null ids, ties and
+    end alone; a long text is scored in one piece of a worker's memory, some 270 bytes a token (a text of ten
+    million words does not fit into a small worker). Null ids, ties and
     repeated rows are rows like any other; other columns are not read, so their names cannot clash. Without
     training rows every score is 0 or below and base_score is 0; an empty table gives an empty result. Counts
     are exact: of the head, at most `head` words, by a broadcast table; of all other words by a join. The

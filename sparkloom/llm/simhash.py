@@ -43,7 +43,11 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4) -> DataFrame:
-    """_id, _th (a hash of the text) and _fp, the 64 bits as a signed long, for each row. No exchange; only the id and the text are read."""
+    """_id, _th (a hash of the text) and _fp, the 64 bits as a signed long, for each row. No exchange; only the id and the text are read.
+
+    Null and empty texts, and texts without words, have the fingerprint zero. Repeated rows and null ids are rows
+    like any other, a long text costs its length, and an empty table gives an empty result.
+    """
     given = only(df, _id=doc_id, _t=text)
     kind = given.schema["_id"].dataType
 
@@ -235,8 +239,8 @@ def drop_near_copies(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id
     """The rows of df whose id is the smallest of their group, one row for each id; rows without an id stay.
 
     Columns stay as they are, under whatever names. Null and empty texts are one group; of rows that share
-    the smallest id the one stays whose text links to the group, and of repeated rows one. An empty table
-    gives an empty result. df is read twice and so should be a table. The ids that go are broadcast if they
+    the smallest id the one stays whose text links to the group, and of repeated rows one. A long text costs
+    its length; an empty table gives an empty result. df is read twice and so should be a table. The ids that go are broadcast if they
     are counted as few; otherwise, and for ids that several rows have, texts are exchanged by id.
     """
     return first_of_groups(df, group_by_simhash(df, text=text, doc_id=doc_id, words=words, radius=radius), text=text, doc_id=doc_id)
