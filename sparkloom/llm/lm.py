@@ -26,7 +26,11 @@ CLASSES = 32
 GROUPS = 256
 #: Rows of parameters grow with the square root of the training tokens, up to these bounds, which bound what is broadcast.
 MOST_OWN, MOST_DEEP = 1 << 14, 1 << 17
+#: Pairs of a word and the next whose features the trees know, at most: all pairs, or else the most frequent.
+MOST_PAIRS = 1 << 21
 ROUNDS, RATE, PRIOR = 2, 0.6, 4.0
+#: What a pair's count loses to the words that were not seen after its first word.
+DISCOUNT = 0.6
 ALPHA = 0.1
 #: Tokens that a worker takes at a time, which bounds its memory, and that a training task takes in all.
 BLOCK, TASK = 160_000, 1 << 26
@@ -51,7 +55,7 @@ class Layout(NamedTuple):
     share by their last three bytes; context, the row by number. A class of several words is a tree: path and
     branch, by level and number, are the node that a word passes (-1: none) and its branch there; prior, by
     node and branch, the logarithm by counts. Node k has rows first[k] and on, one for each of its groups of
-    last words, group[context row] >> shift[k]. node_of: the node by row.
+    last words, group[context row] >> shift[k]. node_of: the node by row; part: its share of all tokens, by node.
     """
 
     cls: np.ndarray
@@ -68,6 +72,7 @@ class Layout(NamedTuple):
     first: np.ndarray
     shift: np.ndarray
     node_of: np.ndarray
+    part: np.ndarray
 
     @property
     def before(self) -> int:
@@ -80,6 +85,20 @@ class Layout(NamedTuple):
         return self.before + 1, self.before + 1, 2 * self.own
 
 
+class Pairs(NamedTuple):
+    """Features of a last word and a branch that followed it, for the trees.
+
+    contexts are words * nodes + node, in order, and back the logarithm of what is left there for branches
+    that did not follow the word, which share it as their group's row says. keys are contexts * CLASSES +
+    branch, in order, and logs the logarithms of their probabilities.
+    """
+
+    contexts: np.ndarray
+    back: np.ndarray
+    keys: np.ndarray
+    logs: np.ndarray
+
+
 def _shape(word: bytes) -> int:
     return zlib.crc32(word[-3:])
 
@@ -119,12 +138,7 @@ def known_words(counts: DataFrame, head: int = HEAD) -> tuple[Words, DataFrame]:
             ends = r.n
         else:
             level[r.step] = (r.k, r.n)
-    least, held = 1 << 30, 0
-    for s in sorted(level, reverse=True):  # at most 16 * 64 levels
-        held += level[s][0]
-        if held > head or s < 0:
-            break
-        least = s
+    least = _least({s: k for s, (k, _) in level.items() if s >= 0}, head)  # at most 16 * 64 levels
     inside = (step >= least) & F.col("word").isNotNull()
     got = counts.where(inside).orderBy(F.desc("c"), "word").toPandas()
     words = Words([w.encode() for w in got["word"]], np.concatenate([[ends], got["c"].to_numpy()]).astype(np.float64), ends + sum(n for _, n in level.values()), (ends > 0) + sum(k for k, _ in level.values()))
@@ -145,7 +159,7 @@ def lay_out(words: Words) -> Layout:
     mass[-1], size[-1] = words.total - c.sum(), words.distinct - (c > 0).sum() + 1
     start = np.log(np.maximum((mass + ALPHA * size) / (mass + ALPHA * size).sum(), 1e-30))
     root = math.sqrt(max(words.total, 1))
-    own = min(max(1 << round(math.log2(root)), 256), MOST_OWN)
+    own = min(max(1 << round(math.log2(8 * root)), 256), MOST_OWN)
     shapes = own // 2
     context = np.array([0] + [k + 1 if k + 1 < own else own + _shape(w) % shapes for k, w in enumerate(words.head)])
     # Groups of last words: by counts, so that frequent words are groups of their own; then all others, then the beginning.
@@ -192,7 +206,7 @@ def lay_out(words: Words) -> Layout:
     return Layout(
         cls, size, mass, start, own, shapes, context,
         np.array(path).reshape(levels, n), np.array(branch).reshape(levels, n), np.array(prior, np.float32).reshape(-1, CLASSES),
-        group, np.cumsum(held) - held, shift, np.repeat(np.arange(len(held)), held),
+        group, np.cumsum(held) - held, shift, np.repeat(np.arange(len(held)), held), np.array(masses) / max(words.total, 1),
     )
 
 
@@ -208,23 +222,39 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (top + np.log(total))[:, 0], e / total
 
 
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where in keys, which are in order, each of wanted stands; -1 where it does not. Wanted ones are sorted first, so that the search walks through keys."""
+    some, inverse = np.unique(wanted, return_inverse=True)
+    at = np.searchsorted(keys, some)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == some, at, -1)[inverse] if len(keys) else np.full(len(wanted), -1)
+
+
 def _by_row(rows: np.ndarray, columns: np.ndarray, out: np.ndarray) -> None:
     """Adds to each of out's rows what columns have for it, repeats and all: column by column, so that rows need no order."""
     out += np.array([np.bincount(rows, weights=x, minlength=len(out)) for x in columns]).T
 
 
+def before(ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The id before each token; 0, the end's, at the beginning of a text."""
+    last = np.zeros(len(ids), np.int64)
+    last[1:] = ids[:-1]
+    last[np.cumsum(lens) - lens] = 0
+    return last
+
+
 class Model:
-    """Log-linear classes given three rows of features; in the tree of a class, branches given the last word's group. All words beyond the head by counts."""
+    """Log-linear classes given three rows of features; in the tree of a class, branches given the last word's group and, where pairs are given, that word. All words beyond the head by counts."""
 
-    def __init__(self, lay: Layout, known: int, weights: np.ndarray, deep: np.ndarray):
-        self.lay, self.known = lay, known
+    def __init__(self, lay: Layout, known: int, weights: np.ndarray, deep: np.ndarray, pairs: Pairs | None = None):
+        self.lay, self.known, self.pairs = lay, known, pairs
         self.last, self.skip, self.both = np.split(weights, np.cumsum(lay.tables)[:-1])
         x = lay.prior[lay.node_of] + deep
         self.logs = x - _softmax(x)[0][:, None]
         self.floor = math.log(lay.mass[-1] + ALPHA * lay.size[-1])
 
-    def _placed(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of each token: whether it is in the head, its number there, its class, and the context rows of the two before it."""
+    def _placed(self, ids: np.ndarray, lens: np.ndarray, skip: int = 0) -> tuple[np.ndarray, ...]:
+        """Of each token but the first `skip`: whether it is in the head, its number there, its class, the context rows of the two before it, and the number of the one before it."""
         lay, n = self.lay, len(ids)
         head = ids < self.known
         at = np.minimum(ids, self.known - 1)
@@ -235,7 +265,7 @@ class Model:
         one[1:], two[2:] = ctx[:-1], ctx[:-2]
         one[starts] = two[starts] = lay.before
         two[starts[lens > 1] + 1] = lay.before
-        return head, at, cls, one, two
+        return tuple(x[skip:] for x in (head, at, cls, one, two, before(ids, lens)))
 
     def _branches(self, head: np.ndarray, at: np.ndarray, one: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Level by level, the tokens whose class goes that deep, their rows there and the branches that they take."""
@@ -246,9 +276,9 @@ class Model:
             node = node[here]
             yield here, lay.first[node] + (group[here] >> lay.shift[node]), branch[at[here]].astype(np.int64)
 
-    def count(self, ids: np.ndarray, lens: np.ndarray, found: np.ndarray, deep: np.ndarray) -> None:
-        """Adds up how often each feature occurs: of the classes' tables in found, of the trees' rows in deep."""
-        head, at, cls, one, two = self._placed(ids, lens)
+    def count(self, ids: np.ndarray, lens: np.ndarray, found: np.ndarray, deep: np.ndarray, skip: int = 0) -> None:
+        """Adds up how often each feature occurs: of the classes' tables in found, of the trees' rows in deep. The first `skip` tokens are context alone."""
+        head, at, cls, one, two, _ = self._placed(ids, lens, skip)
         tables = self.lay.tables
         edge = np.cumsum((0,) + tables)
         for k, rows in enumerate((one, two, _pair(one, two, tables[2], 1))):
@@ -256,14 +286,14 @@ class Model:
         for _, row, to in self._branches(head, at, one):
             np.add.at(deep.reshape(-1), row * CLASSES + to, np.float32(1))
 
-    def block(self, ids: np.ndarray, lens: np.ndarray, expected: np.ndarray | None = None) -> np.ndarray:
-        """Natural logarithms of the tokens' probabilities; of words beyond the head, without their counts.
+    def block(self, ids: np.ndarray, lens: np.ndarray, expected: np.ndarray | None = None, skip: int = 0) -> np.ndarray:
+        """Natural logarithms of the tokens' probabilities; of words beyond the head, without their counts. The first `skip` tokens are context alone.
 
         ids beyond the head are its length and a shape. Into expected, where it is given, goes how often the
         model expects the features of the classes' tables instead, and of the trees nothing is read.
         """
         lay = self.lay
-        head, at, cls, one, two = self._placed(ids, lens)
+        head, at, cls, one, two, last = self._placed(ids, lens, skip)
         contexts, _, pairs = lay.tables
         keys, inverse = np.unique(one * contexts + two, return_inverse=True)
         a, b = np.divmod(keys, contexts)
@@ -279,22 +309,46 @@ class Model:
             return logz
         out = x[inverse, cls].astype(np.float64) - logz[inverse]
         out[~head] -= self.floor
+        told = last < self.known if self.pairs else None
         for here, row, to in self._branches(head, at, one):
-            out[here] += self.logs[row, to]
+            logs = self.logs[row, to].astype(np.float64)
+            if self.pairs:  # a branch that the word was not seen with leads to nodes that it was not seen at
+                go = np.flatnonzero(told[here])
+                key = last[here[go]] * len(lay.prior) + lay.node_of[row[go]]
+                context, pair = _find(self.pairs.contexts, key), _find(self.pairs.keys, key * CLASSES + to[go])
+                alone = (context >= 0) & (pair < 0)
+                logs[go[alone]] += self.pairs.back[context[alone]]
+                logs[go[pair >= 0]] = self.pairs.logs[pair[pair >= 0]]
+                told[here[go[pair < 0]]] = False
+            out[here] += logs
         return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
-    """Rows of a batch by blocks of about BLOCK tokens: batch, first and end row, ids, lengths."""
+def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, int]]:
+    """Rows of a batch by blocks of about BLOCK tokens: batch, first and end row, ids, lengths, skip.
+
+    A longer text is several blocks of its own, each with the two tokens before it, which skip counts.
+    """
     for batch in few(batches):
         each = [np.frombuffer(x, "<i4") for x in batch.column(at).to_pylist()]
         first, held = 0, 0
         for k, x in enumerate(each):
-            held += len(x)
-            if held >= BLOCK or k == len(each) - 1:
-                part = each[first : k + 1]
-                yield batch, first, k + 1, np.concatenate(part).astype(np.int64), np.array([len(y) for y in part])
-                first, held = k + 1, 0
+            long = len(x) > BLOCK
+            if first < k and (long or held + len(x) > BLOCK):
+                part = each[first:k]
+                yield batch, first, k, np.concatenate(part).astype(np.int64), np.array([len(y) for y in part]), 0
+                first, held = k, 0
+            if long:
+                for lo in range(0, len(x), BLOCK):
+                    skip = min(lo, 2)
+                    piece = x[lo - skip : lo + BLOCK].astype(np.int64)
+                    yield batch, k, k + 1, piece, np.array([len(piece)]), skip
+                first = k + 1
+            else:
+                held += len(x)
+        if first < len(each):
+            part = each[first:]
+            yield batch, first, len(each), np.concatenate(part).astype(np.int64), np.array([len(y) for y in part]), 0
 
 
 def encode(docs: DataFrame, words: Words) -> DataFrame:
@@ -326,8 +380,64 @@ def _step(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
     return (RATE * np.log((found + PRIOR) / (expected + PRIOR))).astype(np.float32)
 
 
-def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the classes, one table after another, and of the trees' rows. Each round learns from all training texts.
+def _least(levels: dict[int, int], most: int) -> int:
+    """The lowest level such that it and all above hold at most `most`; beyond all levels if the highest holds more."""
+    least, held = 1 << 30, 0
+    for s in sorted(levels, reverse=True):
+        held += levels[s]
+        if held > most:
+            break
+        least = s
+    return least
+
+
+def count_pairs(encoded: DataFrame, known: int, most: int = MOST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two words of the head in a row (the first 0 at the beginning of a text), and how often, over all training texts: all pairs, or those of the highest counts if there are more than `most`.
+
+    Blocks count in their tasks and Spark sums, so a frequent pair is few rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, ids, lens, skip in _blocks(batches, 0):
+            last, ids = before(ids, lens)[skip:], ids[skip:]
+            both = (last < known) & (ids < known)
+            pair, n = np.unique(last[both] * known + ids[both], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+
+    counted = land(encoded.where("NOT _held").select("ids").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("c")))
+    step = F.floor(F.log2("c") * 16)
+    levels = {r.step: r.k for r in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()}  # at most 16 * 64
+    got = counted.where(step >= _least(levels, most)).toArrow()
+    last, word = np.divmod(got["pair"].to_numpy().astype(np.int64), known)
+    return last, word, got["c"].to_numpy().astype(np.float64)
+
+
+def weigh_pairs(lay: Layout, counts: np.ndarray, deep: np.ndarray, last: np.ndarray, word: np.ndarray, c: np.ndarray) -> Pairs:
+    """The trees' features of pairs, upon the rows of groups.
+
+    A choice knows one pair feature and one group row, so the weights at which the gradient is zero can be
+    stated: those of what was found less DISCOUNT, with what is taken away, and a node's share of what came
+    after the word in no known pair, left to the group's row.
+    """
+    nodes = len(lay.prior)
+    held = [(p >= 0, p, b) for p, b in ((p[word], b[word]) for p, b in zip(lay.path, lay.branch, strict=True))]
+    every = np.concatenate([(last[k] * nodes + p[k]) * CLASSES + b[k] for k, p, b in held] or [np.zeros(0, np.int64)])
+    keys, inverse = np.unique(every, return_inverse=True)
+    n = np.bincount(inverse, weights=np.concatenate([c[k] for k, _, _ in held] or [np.zeros(0)]), minlength=len(keys))
+    contexts, of = np.unique(keys // CLASSES, return_inverse=True)
+    first, node = np.divmod(contexts, nodes)
+    other = np.maximum(counts - np.bincount(last, weights=c, minlength=len(counts)), 0)
+    back = DISCOUNT * np.bincount(of, minlength=len(contexts)) + other[first] * lay.part[node]
+    total = np.bincount(of, weights=n - DISCOUNT, minlength=len(contexts)) + back
+    x = lay.prior[lay.node_of] + deep
+    logs = x - _softmax(x)[0][:, None]
+    row = lay.first[node] + (lay.group[lay.context[first]] >> lay.shift[node])
+    share = np.exp(logs[row[of], keys % CLASSES])
+    return Pairs(contexts, np.log(back / total).astype(np.float32), keys, np.log((n - DISCOUNT + back[of] * share) / total[of]).astype(np.float32))
+
+
+def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, Pairs]:
+    """Weights of the classes, one table after another, and of the trees' rows, and the trees' features of pairs. Each round learns from all training texts.
 
     Its tasks sum, for each row they meet, how often its features occur and how often the model expects them;
     Spark sums these by chunks of rows, and the driver takes the step. How often features occur is counted
@@ -347,8 +457,8 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model, table = Model(*shared.value), np.zeros((height, CLASSES), np.float32)
-            for _, _, _, ids, lens in _blocks(batches, 0):
-                work(model, ids, lens, table)
+            for _, _, _, ids, lens, skip in _blocks(batches, 0):
+                work(model, ids, lens, table, skip)
             for k in range(0, height, CHUNK):
                 if table[k : k + CHUNK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK], pa.int32()), pa.array([table[k : k + CHUNK].ravel()], pa.list_(pa.float32()))], names=["chunk", "v"])
@@ -360,24 +470,24 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
             out[chunk * CHUNK : chunk * CHUNK + len(got)] = got
         return out
 
-    counted = summed(lambda model, ids, lens, table: model.count(ids, lens, table[:rows], table[rows:]), rows + deep_rows)
+    counted = summed(lambda model, ids, lens, table, skip: model.count(ids, lens, table[:rows], table[rows:], skip), rows + deep_rows)
     found, below = counted[:rows], counted[rows:]
     for turn in range(rounds):
         if turn:
-            expected = summed(lambda model, ids, lens, table: model.block(ids, lens, table), rows)
+            expected = summed(lambda model, ids, lens, table, skip: model.block(ids, lens, table, skip), rows)
         else:
             expected = found.sum(1, keepdims=True) * _softmax(lay.start[None].astype(np.float32))[1]
         weights += _step(found, expected)
         deep += _step(below, below.sum(1, keepdims=True) * _softmax(lay.prior[lay.node_of] + deep)[1])
-    return weights, deep
+    return weights, deep, weigh_pairs(lay, words.counts, deep, *count_pairs(encoded, len(words.counts)))
 
 
 def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", held_out=None, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of df.
 
     The model learns from the rows whose held_out (a Column, or none) is false. Null and empty texts are an
-    end alone; a long text is scored in one piece of a worker's memory, some 270 bytes a token (a text of ten
-    million words does not fit into a small worker). Null ids, ties and
+    end alone; a long text is scored BLOCK tokens at a time, and what a worker holds of all of it is the text and
+    eight bytes a token. Null ids, ties and
     repeated rows are rows like any other; other columns are not read, so their names cannot clash. Without
     training rows every score is 0 or below and base_score is 0; an empty table gives an empty result. Counts
     are exact: of the head, at most `head` words, by a broadcast table; of all other words by a join. The
@@ -400,13 +510,19 @@ def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", he
         lay, known, *made = shared.value
         model = Model(lay, len(known), *made)
         logs = np.append(np.log10(known + ALPHA), 0.0)
-        for batch, first, end, ids, lens in _blocks(batches, 3):
+        for batch, first, end, ids, lens, skip in _blocks(batches, 3):
+            scored = model.block(ids, lens, skip=skip)
+            ids, lens = ids[skip:], lens - (np.arange(len(lens)) == 0) * skip
             starts = np.cumsum(lens) - lens
-            made = np.add.reduceat(model.block(ids, lens), starts) / LOG10
             at = np.minimum(ids, len(known))
             base = np.add.reduceat(logs[at], starts) - lens * divisor
             seen = np.add.reduceat(np.append(known > 0, False)[at].astype(np.int64), starts)
-            yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(first, end - first) for k in range(3)], pa.array(lens, pa.int64()), pa.array(seen), pa.array(base), pa.array(made)], names=["_row", "_id", "held_out", "n_tokens", "_seen", "_base", "_made"])
+            sums = [lens, seen, base, np.add.reduceat(scored, starts) / LOG10]
+            if skip:  # further on in a long text
+                sums = [x + y for x, y in zip(sums, open_, strict=True)]
+            open_ = sums
+            if ids[-1] == 0:  # the end of a text, a long one's too
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(first, end - first) for k in range(3)], *map(pa.array, sums)], names=["_row", "_id", "held_out", "n_tokens", "_seen", "_base", "_made"])
 
     heads = encoded.select("_row", "_id", "_held", "ids").mapInArrow(run, f"_row bigint, _id {kind}, held_out boolean, n_tokens bigint, _seen bigint, _base double, _made double")
     tails = encoded.select("_row", F.explode("tail").alias("word")).join(others, "word", "left")
