@@ -431,7 +431,8 @@ def weigh_pairs(lay: Layout, counts: np.ndarray, deep: np.ndarray, last: np.ndar
     total = np.bincount(of, weights=n - DISCOUNT, minlength=len(contexts)) + back
     x = lay.prior[lay.node_of] + deep
     logs = x - _softmax(x)[0][:, None]
-    row = lay.first[node] + (lay.group[lay.context[first]] >> lay.shift[node])
+    context = np.where(first > 0, lay.context[first], lay.before)
+    row = lay.first[node] + (lay.group[context] >> lay.shift[node])
     share = np.exp(logs[row[of], keys % CLASSES])
     return Pairs(contexts, np.log(back / total).astype(np.float32), keys, np.log((n - DISCOUNT + back[of] * share) / total[of]).astype(np.float32))
 

@@ -79,67 +79,124 @@ def test_lm_sums_to_one_and_the_head_size_changes_no_base(spark):
         assert abs(head + tail - 1) < 1e-5
 
 
-def test_lm_against_plain_loops(spark, monkeypatch):
-    """Two rounds, and the scores, token by token: no arrays of features, no blocks."""
+def test_lm_against_plain_loops(spark):
+    """Two rounds, pairs, and the scores, token by token: no arrays of features, no blocks."""
+    from collections import Counter
     from math import exp, log, log10
 
-    monkeypatch.setattr(lm, "CLASSES", 4)
     rng = random.Random(8)
-    texts = {k: " ".join(rng.choices([f"w{i}" for i in range(30)], [1 / (i + 1) for i in range(30)], k=rng.randint(0, 25))) for k in range(50)}
+    texts = {k: " ".join(rng.choices([f"w{i}" for i in range(900)], [1 / (i + 1) for i in range(900)], k=rng.randint(0, 30))) for k in range(150)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    words, _ = lm.known_words(lm.count_words(df.select(F.col("text").alias("_t"))))
+    held = F.col("doc_id") % 5 == 0
+    words, _ = lm.known_words(lm.count_words(df.where(~held).select(F.col("text").alias("_t"))))
     lay = lm.lay_out(words)
     assert len(lay.path) > 1
     number = {w.decode(): k + 1 for k, w in enumerate(words.head)}
     edge = (0, lay.tables[0], 2 * lay.tables[0])
-    rows, weights, deep = [], np.zeros((sum(lay.tables), 4)), np.zeros((len(lay.node_of), 4))
+    n = lm.CLASSES
+    rows, weights, deep = [], np.zeros((sum(lay.tables), n)), np.zeros((len(lay.node_of), n))
 
     def shares(x):
         return [exp(v) / sum(map(exp, x)) for v in x]
 
     for k, t in texts.items():
-        ids = [number[w] for w in t.split()] + [0]
+        ids = [number.get(w) for w in t.split()] + [0]
         for i, x in enumerate(ids):
-            one = lay.context[ids[i - 1]] if i else lay.before
-            two = lay.context[ids[i - 2]] if i > 1 else lay.before
+            def context(j):
+                return lay.before if j < 0 else lay.own + lm._shape(t.split()[j].encode()) % lm.MOST_OWN % lay.shapes if ids[j] is None else lay.context[ids[j]]
+
+            one, two = context(i - 1), context(i - 2)
             three = [one, edge[1] + two, edge[2] + int(lm._pair(np.array([one]), np.array([two]), lay.tables[2], 1)[0])]
-            steps = [(int(lay.first[n]) + int(lay.group[one] >> lay.shift[n]), int(b[x])) for p, b in zip(lay.path, lay.branch, strict=True) if (n := p[x]) >= 0]
-            rows.append((k, x, int(lay.cls[x]), three, steps))
+            steps = [] if x is None else [(int(node), int(lay.first[node]) + int(lay.group[one] >> lay.shift[node]), int(b[x])) for p, b in zip(lay.path, lay.branch, strict=True) if (node := p[x]) >= 0]
+            rows.append((k, x, n - 1 if x is None else int(lay.cls[x]), three, steps, ids[i - 1] if i else 0))
+    learned = [r for r in rows if r[0] % 5]
     for _ in range(2):
         found, expected, below, told = np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(deep), np.zeros_like(deep)
-        for _, _, c, three, steps in rows:
-            p = shares([lay.start[j] + sum(weights[r, j] for r in three) for j in range(4)])
+        for _, _, c, three, steps, _ in learned:
+            p = shares([lay.start[j] + sum(weights[r, j] for r in three) for j in range(n)])
             for r in three:
                 found[r, c] += 1
                 expected[r] += p
-            for r, b in steps:
+            for _, r, b in steps:
                 below[r, b] += 1
                 told[r] += shares(lay.prior[lay.node_of[r]] + deep[r])
         weights += lm.RATE * np.log((found + lm.PRIOR) / (expected + lm.PRIOR))
         deep += lm.RATE * np.log((below + lm.PRIOR) / (told + lm.PRIOR))
+    after, came = {}, Counter()
+    for _, x, _, _, steps, last in learned:
+        came[last] += 1
+        for node, _, b in steps:
+            after.setdefault((last, node), Counter())[b] += 1
+    followed = Counter(last for *_, last in learned)
+    known = Counter(last for _, x, *_, last in learned if x is not None)
+
+    def choice(last, node, r, b):
+        group = shares(lay.prior[node] + deep[r])[b]
+        seen = after.get((last, node))
+        if last is None or seen is None:
+            return group
+        back = lm.DISCOUNT * len(seen) + (followed[last] - known[last]) * lay.part[node]
+        return (max(seen[b] - lm.DISCOUNT, 0) + back * group) / (sum(seen.values()) - lm.DISCOUNT * len(seen) + back)
+
     want = dict.fromkeys(texts, 0.0)
-    for k, _, c, three, steps in rows:
-        want[k] += log10(shares([lay.start[j] + sum(weights[r, j] for r in three) for j in range(4)])[c])
-        want[k] += sum(log(shares(lay.prior[lay.node_of[r]] + deep[r])[b]) for r, b in steps) / log(10)
-    monkeypatch.undo()
+    for k, x, c, three, steps, last in rows:
+        want[k] += log10(shares([lay.start[j] + sum(weights[r, j] for r in three) for j in range(n)])[c])
+        want[k] += sum(log(choice(last, *step)) for step in steps) / log(10)
+        if x is None:
+            want[k] += log10(lm.ALPHA) - log10(lay.mass[-1] + lm.ALPHA * lay.size[-1])
+    encoded = lm.encode(df.select(F.col("doc_id").alias("_id"), held.alias("_held"), F.col("text").alias("_t")), words)
+    w, d, _ = lm.train(encoded, words, lay)
+    assert np.allclose(w, weights, atol=1e-4) and np.allclose(d, deep, atol=1e-4)
+    got = {r._id: r.score for r in lm.score_texts(df, held_out=held).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-3 for k in got)
+
+
+def test_lm_takes_long_texts_in_blocks_and_the_most_frequent_pairs(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    texts = [rng.choices([f"w{k}" for k in range(400)], range(1, 401), k=k) for k in (0, 3, 700, 90, 12, 301)]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    words, _ = lm.known_words(lm.count_words(df.select(F.col("text").alias("_t"))))
+    lay = lm.lay_out(words)
     encoded = lm.encode(df.selectExpr("doc_id _id", "false _held", "text _t"), words)
-    saved, lm.CLASSES = lm.CLASSES, 4
-    try:
-        # The tasks' loops, here: workers would take the module's own number of classes.
-        w, d = np.zeros((sum(lay.tables), 4), np.float32), np.zeros((len(lay.node_of), 4), np.float32)
-        ids = [np.frombuffer(r.ids, "<i4").astype(np.int64) for r in encoded.orderBy("_id").collect()]
-        flat, lens = np.concatenate(ids), np.array([len(x) for x in ids])
-        found, below = np.zeros_like(w), np.zeros_like(d)
-        lm.Model(lay, len(words.counts), w, d).count(flat, lens, found, below)
-        for _ in range(2):
-            expected = np.zeros_like(w)
-            lm.Model(lay, len(words.counts), w, d).block(flat, lens, expected)
-            w += lm._step(found, expected)
-            d += lm._step(below, below.sum(1, keepdims=True) * lm._softmax(lay.prior[lay.node_of] + d)[1])
-        made = np.add.reduceat(lm.Model(lay, len(words.counts), w, d).block(flat, lens), np.cumsum(lens) - lens) / lm.LOG10
-    finally:
-        lm.CLASSES = saved
-    assert np.allclose(w, weights, atol=1e-4) and np.allclose(made, [want[k] for k in sorted(want)], atol=1e-3)
+    made = lm.train(encoded, words, lay)
+    model = lm.Model(lay, len(words.counts), *made)
+    batch = pa.RecordBatch.from_pydict({"ids": [r.ids for r in encoded.orderBy("_id").collect()]})
+
+    def walk(size):
+        monkeypatch.setattr(lm, "BLOCK", size)
+        found, deep, expected, scores = np.zeros_like(made[0]), np.zeros_like(made[1]), np.zeros_like(made[0]), []
+        for _, _, _, ids, lens, skip in lm._blocks(iter([batch]), 0):
+            assert len(ids) <= size + 2 or size > 1e6
+            model.count(ids, lens, found, deep, skip)
+            model.block(ids, lens, expected, skip)
+            scores.append(model.block(ids, lens, skip=skip))
+        return found, deep, expected, np.concatenate(scores)
+
+    assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(walk(50), walk(1 << 30), strict=True))
+    monkeypatch.undo()
+    last, word, c = lm.count_pairs(encoded, len(words.counts))
+    all_pairs = {(x, y): n for x, y, n in zip(last, word, c, strict=True)}
+    some = dict(zip(zip(*(got := lm.count_pairs(encoded, len(words.counts), len(c) // 2))[:2], strict=True), got[2], strict=True))
+    assert sum(all_pairs.values()) == sum(len(t) + 1 for t in texts)
+    assert 0 < len(some) <= len(c) // 2 and all(all_pairs[k] == n for k, n in some.items()) and min(some.values()) > min(all_pairs.values())
+    # Whatever pairs are known, what can follow a word sums to 1.
+    for pairs in (made[2], lm.weigh_pairs(lay, words.counts, made[1], *got)):
+        model = lm.Model(lay, len(words.counts), *made[:2], pairs)
+        for before in ([], [3], [7, 2]):
+            tails = [np.array([*before, x]) for x in range(len(words.counts))]
+            ends = np.cumsum([len(t) for t in tails]) - 1
+            sums = np.exp(model.block(np.concatenate(tails), np.array([len(t) for t in tails]))[ends]).sum()
+            other = np.exp(model.block(np.array([*before, len(words.counts)]), np.array([len(before) + 1]))[-1])
+            assert abs(sums + other * lm.ALPHA - 1) < 1e-5
+
+
+def test_lm_scores_a_text_longer_than_a_block(spark):
+    df = spark.createDataFrame([(1, "a b " * lm.BLOCK), (2, "a b"), (3, "")], "doc_id long, text string")
+    got = {r._id: r for r in lm.score_texts(df).collect()}
+    assert [got[k].n_tokens for k in (1, 2, 3)] == [2 * lm.BLOCK + 1, 3, 1] and got[1].n_known == 2 * lm.BLOCK + 1
+    assert got[1].score > got[1].base_score
 
 
 def test_lm_edges(spark, odd, empty):
