@@ -86,17 +86,20 @@ class Layout(NamedTuple):
 
 
 class Pairs(NamedTuple):
-    """Features of a last word and a branch that followed it, for the trees.
+    """What the trees know of words and those that followed them.
 
-    contexts are words * nodes + node, in order, and back the logarithm of what is left there for branches
-    that did not follow the word, which share it as their group's row says. keys are contexts * CLASSES +
-    branch, in order, and logs the logarithms of their probabilities.
+    The pairs of first word k are those from pair_of[k] on: word, the second one, and logs, the logarithm of
+    its probability within its class. Its nodes, which one of its pairs passes, are from node_of[k] on: node,
+    and left, the logarithm of the probability to come there and to take none of the branches seen after k.
+    Such branches share it as their group's row says.
     """
 
-    contexts: np.ndarray
-    back: np.ndarray
-    keys: np.ndarray
+    pair_of: np.ndarray
+    word: np.ndarray
     logs: np.ndarray
+    node_of: np.ndarray
+    node: np.ndarray
+    left: np.ndarray
 
 
 def _shape(word: bytes) -> int:
@@ -246,10 +249,15 @@ def before(ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
 class Model:
     """Log-linear classes given three rows of features; in the tree of a class, branches given the last word's group and, where pairs are given, that word. All words beyond the head by counts."""
 
-    def __init__(self, lay: Layout, known: int, weights: np.ndarray, deep: np.ndarray, pairs: Pairs | None = None):
+    def __init__(self, lay: Layout, known: int, weights: np.ndarray | None = None, deep: np.ndarray | None = None, pairs: Pairs | None = None):
+        """Weights that are not given are zero."""
         self.lay, self.known, self.pairs = lay, known, pairs
+        if pairs:  # numbers of both, in order
+            words, nodes = (np.repeat(np.arange(known), np.diff(x)) for x in (pairs.pair_of, pairs.node_of))
+            self.pair, self.node = words * known + pairs.word, nodes * len(lay.prior) + pairs.node
+        weights = np.zeros((sum(lay.tables), CLASSES), np.float32) if weights is None else weights
         self.last, self.skip, self.both = np.split(weights, np.cumsum(lay.tables)[:-1])
-        x = lay.prior[lay.node_of] + deep
+        x = lay.prior[lay.node_of] + (0 if deep is None else deep)
         self.logs = x - _softmax(x)[0][:, None]
         self.floor = math.log(lay.mass[-1] + ALPHA * lay.size[-1])
 
@@ -309,19 +317,21 @@ class Model:
             return logz
         out = x[inverse, cls].astype(np.float64) - logz[inverse]
         out[~head] -= self.floor
-        told = last < self.known if self.pairs else None
+        tree, open_ = np.zeros(len(out)), np.zeros(len(out), bool)
+        if self.pairs:
+            told = np.flatnonzero(head & (last < self.known))
+            pair = _find(self.pair, last[told] * self.known + at[told])
+            open_[told[pair < 0]] = True
         for here, row, to in self._branches(head, at, one):
-            logs = self.logs[row, to].astype(np.float64)
-            if self.pairs:  # a branch that the word was not seen with leads to nodes that it was not seen at
-                go = np.flatnonzero(told[here])
-                key = last[here[go]] * len(lay.prior) + lay.node_of[row[go]]
-                context, pair = _find(self.pairs.contexts, key), _find(self.pairs.keys, key * CLASSES + to[go])
-                alone = (context >= 0) & (pair < 0)
-                logs[go[alone]] += self.pairs.back[context[alone]]
-                logs[go[pair >= 0]] = self.pairs.logs[pair[pair >= 0]]
-                told[here[go[pair < 0]]] = False
-            out[here] += logs
-        return out
+            go = here[open_[here]]
+            if len(go):  # the deepest node that the last word is known at counts, whatever led there
+                node = _find(self.node, last[go] * len(lay.prior) + lay.node_of[row[open_[here]]])
+                tree[go[node >= 0]] = self.pairs.left[node[node >= 0]]
+                open_[go[node < 0]] = False
+            tree[here] += self.logs[row, to]
+        if self.pairs:
+            tree[told[pair >= 0]] = self.pairs.logs[pair[pair >= 0]]
+        return out + tree
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, int]]:
@@ -419,22 +429,35 @@ def weigh_pairs(lay: Layout, counts: np.ndarray, deep: np.ndarray, last: np.ndar
     stated: those of what was found less DISCOUNT, with what is taken away, and a node's share of what came
     after the word in no known pair, left to the group's row.
     """
-    nodes = len(lay.prior)
-    held = [(p >= 0, p, b) for p, b in ((p[word], b[word]) for p, b in zip(lay.path, lay.branch, strict=True))]
-    every = np.concatenate([(last[k] * nodes + p[k]) * CLASSES + b[k] for k, p, b in held] or [np.zeros(0, np.int64)])
-    keys, inverse = np.unique(every, return_inverse=True)
-    n = np.bincount(inverse, weights=np.concatenate([c[k] for k, _, _ in held] or [np.zeros(0)]), minlength=len(keys))
+    nodes, known = len(lay.prior), len(counts)
+    order = np.lexsort((word, last))
+    order = order[(lay.path[0][word[order]] >= 0)] if len(lay.path) else order[:0]  # other classes are one word
+    other = np.maximum(counts - np.bincount(last, weights=c, minlength=known), 0)
+    last, word, c = last[order], word[order], c[order]
+    passed = [np.flatnonzero(p[word] >= 0) for p in lay.path]
+    every = [(last[k] * nodes + p[word[k]]) * CLASSES + b[word[k]] for k, p, b in zip(passed, lay.path, lay.branch, strict=True)]
+    none = [np.zeros(0, np.int64)]
+    keys, inverse = np.unique(np.concatenate(every + none), return_inverse=True)
+    n = np.bincount(inverse, weights=c[np.concatenate(passed + none)], minlength=len(keys))
     contexts, of = np.unique(keys // CLASSES, return_inverse=True)
     first, node = np.divmod(contexts, nodes)
-    other = np.maximum(counts - np.bincount(last, weights=c, minlength=len(counts)), 0)
     back = DISCOUNT * np.bincount(of, minlength=len(contexts)) + other[first] * lay.part[node]
     total = np.bincount(of, weights=n - DISCOUNT, minlength=len(contexts)) + back
     x = lay.prior[lay.node_of] + deep
     logs = x - _softmax(x)[0][:, None]
     context = np.where(first > 0, lay.context[first], lay.before)
     row = lay.first[node] + (lay.group[context] >> lay.shift[node])
-    share = np.exp(logs[row[of], keys % CLASSES])
-    return Pairs(contexts, np.log(back / total).astype(np.float32), keys, np.log((n - DISCOUNT + back[of] * share) / total[of]).astype(np.float32))
+    taken = np.log((n - DISCOUNT + back[of] * np.exp(logs[row[of], keys % CLASSES])) / total[of])
+    so_far, come = np.zeros(len(word)), np.zeros(len(contexts))
+    for k, to in zip(passed, np.split(inverse, np.cumsum([len(k) for k in passed])), strict=False):
+        come[of[to]] = so_far[k]
+        so_far[k] += taken[to]
+
+    def starts(words: np.ndarray) -> np.ndarray:
+        return np.searchsorted(words, np.arange(known + 1)).astype(np.int32)
+
+    left = come + np.log(back / total)
+    return Pairs(starts(last), word.astype(np.int32), so_far.astype(np.float32), starts(first), node.astype(np.int32), left.astype(np.float32))
 
 
 def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, Pairs]:
@@ -452,9 +475,9 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
     tasks = max(2 * spark.sparkContext.defaultParallelism, int(words.total // TASK))
     part = encoded.where("NOT _held").select("ids").coalesce(tasks)
 
-    def summed(work, height: int) -> np.ndarray:
-        """The sum over tasks of the table that work(model, ids, lens, table) fills."""
-        shared = spark.sparkContext.broadcast((lay, len(words.counts), weights, deep))
+    def summed(work, height: int, *given: np.ndarray) -> np.ndarray:
+        """The sum over tasks of the table that work(model, ids, lens, table, skip) fills, with a model of the given weights."""
+        shared = spark.sparkContext.broadcast((lay, len(words.counts), *given))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model, table = Model(*shared.value), np.zeros((height, CLASSES), np.float32)
@@ -469,13 +492,14 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
         for chunk, s in sums.select("chunk", vector_to_array("s", "float32").alias("s")).toPandas().itertuples(index=False):
             got = np.asarray(s, np.float64).reshape(-1, CLASSES)
             out[chunk * CHUNK : chunk * CHUNK + len(got)] = got
+        shared.destroy()
         return out
 
     counted = summed(lambda model, ids, lens, table, skip: model.count(ids, lens, table[:rows], table[rows:], skip), rows + deep_rows)
     found, below = counted[:rows], counted[rows:]
     for turn in range(rounds):
         if turn:
-            expected = summed(lambda model, ids, lens, table, skip: model.block(ids, lens, table, skip), rows)
+            expected = summed(lambda model, ids, lens, table, skip: model.block(ids, lens, table, skip), rows, weights)
         else:
             expected = found.sum(1, keepdims=True) * _softmax(lay.start[None].astype(np.float32))[1]
         weights += _step(found, expected)
