@@ -29,6 +29,8 @@ MOST_OWN, MOST_DEEP = 1 << 14, 1 << 17
 #: Pairs of a word and the next whose features the trees know, at most: all pairs, or else the most frequent.
 MOST_PAIRS = 1 << 21
 ROUNDS, RATE, PRIOR = 2, 0.6, 4.0
+#: Pairs that the driver weighs at a time.
+PART = 1 << 17
 #: What a pair's count loses to the words that were not seen after its first word.
 DISCOUNT = 0.6
 ALPHA = 0.1
@@ -429,11 +431,29 @@ def weigh_pairs(lay: Layout, counts: np.ndarray, deep: np.ndarray, last: np.ndar
     stated: those of what was found less DISCOUNT, with what is taken away, and a node's share of what came
     after the word in no known pair, left to the group's row.
     """
-    nodes, known = len(lay.prior), len(counts)
-    order = np.lexsort((word, last))
-    order = order[(lay.path[0][word[order]] >= 0)] if len(lay.path) else order[:0]  # other classes are one word
+    known = len(counts)
     other = np.maximum(counts - np.bincount(last, weights=c, minlength=known), 0)
-    last, word, c = last[order], word[order], c[order]
+    order = np.lexsort((word, last))
+    if len(lay.path):
+        order = order[lay.path[0][word[order]] >= 0]  # other classes are one word
+    else:
+        order = order[:0]
+    last, word, c = last[order].astype(np.int32), word[order].astype(np.int32), c[order].astype(np.float32)
+    x = lay.prior[lay.node_of] + deep
+    logs = x - _softmax(x)[0][:, None]
+    ends = np.unique(np.searchsorted(last, last[np.minimum(np.arange(PART, len(last) + PART, PART), len(last) - 1)], "right")) if len(last) else []
+    parts = [_weigh(lay, other, logs, last[lo:hi].astype(np.int64), word[lo:hi], c[lo:hi]) for lo, hi in zip([0, *ends], ends, strict=False)]
+    logs, first, node, left = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0)] * 4
+
+    def starts(words: np.ndarray) -> np.ndarray:
+        return np.searchsorted(words, np.arange(known + 1)).astype(np.int32)
+
+    return Pairs(starts(last), word, logs.astype(np.float32), starts(first), node.astype(np.int32), left.astype(np.float32))
+
+
+def _weigh(lay: Layout, other: np.ndarray, logs: np.ndarray, last: np.ndarray, word: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """logs, first words, node and left of Pairs for all pairs of some first words; other is how often what is in no pair came after a word."""
+    nodes = len(lay.prior)
     passed = [np.flatnonzero(p[word] >= 0) for p in lay.path]
     every = [(last[k] * nodes + p[word[k]]) * CLASSES + b[word[k]] for k, p, b in zip(passed, lay.path, lay.branch, strict=True)]
     none = [np.zeros(0, np.int64)]
@@ -443,8 +463,6 @@ def weigh_pairs(lay: Layout, counts: np.ndarray, deep: np.ndarray, last: np.ndar
     first, node = np.divmod(contexts, nodes)
     back = DISCOUNT * np.bincount(of, minlength=len(contexts)) + other[first] * lay.part[node]
     total = np.bincount(of, weights=n - DISCOUNT, minlength=len(contexts)) + back
-    x = lay.prior[lay.node_of] + deep
-    logs = x - _softmax(x)[0][:, None]
     context = np.where(first > 0, lay.context[first], lay.before)
     row = lay.first[node] + (lay.group[context] >> lay.shift[node])
     taken = np.log((n - DISCOUNT + back[of] * np.exp(logs[row[of], keys % CLASSES])) / total[of])
@@ -452,12 +470,7 @@ def weigh_pairs(lay: Layout, counts: np.ndarray, deep: np.ndarray, last: np.ndar
     for k, to in zip(passed, np.split(inverse, np.cumsum([len(k) for k in passed])), strict=False):
         come[of[to]] = so_far[k]
         so_far[k] += taken[to]
-
-    def starts(words: np.ndarray) -> np.ndarray:
-        return np.searchsorted(words, np.arange(known + 1)).astype(np.int32)
-
-    left = come + np.log(back / total)
-    return Pairs(starts(last), word.astype(np.int32), so_far.astype(np.float32), starts(first), node.astype(np.int32), left.astype(np.float32))
+    return so_far.astype(np.float32), first.astype(np.int32), node.astype(np.int32), (come + np.log(back / total)).astype(np.float32)
 
 
 def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, Pairs]:
