@@ -21,66 +21,100 @@ BITS = 22
 MOST_LABELLED = 24_000
 #: Of these, one in FOLDS only sets the slope and the threshold of the score.
 FOLDS = 5
-#: Parts of the others that learn side by side, and times that their weights are averaged and taken up again.
-SHARDS, ROUNDS, EPOCHS = 1, 1, 3
-#: Chosen by fourfold cross-validation over training rows of the smallest tables alone, with SEEN, EPOCHS and BEGINNINGS.
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 1.0
+#: Parts of the others that learn side by side, times that their states are averaged and taken up again, and times that a part reads its documents between.
+SHARDS, ROUNDS, EPOCHS = 4, 3, 3
+#: Chosen by fourfold cross-validation over training rows of the smallest tables alone, with SEEN, ROUNDS, EPOCHS and BEGINNINGS.
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 1.0
 #: Documents of the sample that must have a feature before it gets a weight: what one text and its copies have tells nothing of others.
 SEEN = 4
 #: Characters of the beginnings of words that are features too, for languages that put words together.
 BEGINNINGS = (2, 3, 4, 5, 6)
-REMEMBERED = 250_000
+#: Words that a worker remembers, and characters that it takes features of at a time (a longer text alone).
+REMEMBERED, AT_ONCE = 250_000, 1 << 20
 _SPACED = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
-class _Hashes(dict):
-    """Words' hashes. Long words are not remembered, so that what is remembered is bounded in bytes."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word, 0)
-        if len(word) <= 64:
-            self[word] = h
-        return h
+class Words(dict):
+    """Numbers of words, and by these their hashes and the buckets of their beginnings. kept: a flag for each bucket, if only some are of use."""
 
+    def __init__(self, kept: np.ndarray | None = None):
+        self.kept = kept
+        self.forget()
 
-class _Beginnings(dict):
-    """Words' beginnings, as buckets; of these the kept ones, if some are."""
+    def forget(self) -> None:
+        self.clear()
+        self.new: list[bytes] = []
+        self.hashes, self.starts, self.ends = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def __init__(self, kept: np.ndarray | None):
-        self.kept = kept
+    def __missing__(self, word: bytes) -> int:
+        self[word] = k = len(self)
+        self.new.append(word)
+        return k
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers, valid until the next call: then a worker that remembers too many starts anew."""
         if len(self) > REMEMBERED:
-            self.clear()
-        start = word[:64].decode("utf-8", "replace")
-        found = tuple(xxhash.xxh64_intdigest(start[:n].encode(), n) >> (64 - BITS) for n in BEGINNINGS if len(start) > n)
-        if self.kept is not None:
-            found = tuple(x for x in found if self.kept[x])
-        if len(word) <= 64:
-            self[word] = found
+            self.forget()
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            own = [beginnings(w) for w in self.new]
+            starts = np.fromiter(chain.from_iterable(own), np.int32)
+            sizes = np.fromiter(map(len, own), np.int64, len(own))
+            if self.kept is not None:
+                use = self.kept[starts]
+                sizes = np.bincount(np.repeat(np.arange(len(own)), sizes)[use], minlength=len(own))
+                starts = starts[use]
+            self.hashes = np.concatenate([self.hashes, np.fromiter((xxhash.xxh64_intdigest(w, 0) for w in self.new), np.uint64, len(own))])
+            self.starts = np.concatenate([self.starts, starts])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.new = []
         return found
 
 
-class Known:
-    """What a worker remembers of words while it lives. kept: a flag for each bucket, if only some are of use."""
-
-    def __init__(self, kept: np.ndarray | None = None):
-        self.kept, self.hashes, self.beginnings = kept, _Hashes(), _Beginnings(kept)
-
-
-def features(text: str, known: Known) -> np.ndarray:
-    """The distinct buckets of a text's words, pairs of neighbours, pairs with one word between, and beginnings of words."""
-    words = text.encode().lower().translate(_SPACED).split()
-    h = np.fromiter(map(known.hashes.__getitem__, words), np.uint64, len(words))
-    each = [h * _MIX[0], h[:-1] * _MIX[1] + h[1:] * _MIX[2], h[:-2] * _MIX[3] + h[2:] * _MIX[4]]
-    found = np.concatenate([(x >> np.uint64(64 - BITS)).astype(np.int32) for x in each])
-    if known.kept is not None:
-        found = found[known.kept[found]]
-    starts = set(chain.from_iterable(map(known.beginnings.__getitem__, set(words))))
-    return np.unique(np.concatenate([found, np.fromiter(starts, np.int32, len(starts))]))
+def beginnings(word: bytes) -> list[int]:
+    """The buckets of a word's beginnings that are shorter than the word."""
+    start = word[:64].decode("utf-8", "replace")
+    return [xxhash.xxh64_intdigest(start[:n].encode(), n) >> (64 - BITS) for n in BEGINNINGS if len(start) > n]
+
+
+def features(texts: list[str], known: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Places of texts and buckets, each pair once and in order: words, pairs of neighbours, pairs with one word between, beginnings of words."""
+    words = [t.encode().lower().translate(_SPACED).split() for t in texts]
+    doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, words), np.int64, len(words)))
+    number = known.numbers(list(chain.from_iterable(words)))
+    h = known.hashes[number]
+    two, three = doc[1:] == doc[:-1], doc[2:] == doc[:-2]
+    each = [(doc, h * _MIX[0]), (doc[1:][two], (h[:-1] * _MIX[1] + h[1:] * _MIX[2])[two]), (doc[2:][three], (h[:-2] * _MIX[3] + h[2:] * _MIX[4])[three])]
+    found = []
+    for d, x in each:
+        at = (x >> np.uint64(64 - BITS)).astype(np.int64)
+        if known.kept is not None:
+            use = known.kept[at]
+            d, at = d[use], at[use]
+        found.append(d << BITS | at)
+    begun = known.ends[number + 1] > known.ends[number]
+    once = np.unique(doc[begun] * len(known) + number[begun])
+    if len(once):
+        d, number = np.divmod(once, len(known))
+        n = known.ends[number + 1] - known.ends[number]
+        at = np.arange(n.sum()) + np.repeat(known.ends[number] - np.cumsum(n) + n, n)
+        found.append(np.repeat(d, n) << BITS | known.starts[at])
+    pairs = np.unique(np.concatenate(found))
+    return pairs >> BITS, (pairs & ((1 << BITS) - 1)).astype(np.int32)
+
+
+def _some(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in turn, so many at a time that they have AT_ONCE characters or one is longer."""
+    held, size = [], 0
+    for t in texts.to_pylist():
+        if held and size + len(t) > AT_ONCE:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
 
 
 class Model(NamedTuple):
@@ -92,21 +126,17 @@ class Model(NamedTuple):
 
 
 class Ftrl:
-    """FTRL-proximal: each coordinate has its own rate, and L1 leaves most weights at zero. The last coordinate is the intercept."""
-
-    def __init__(self, offset: float, at: np.ndarray, weights: np.ndarray):
-        self.offset, self.z, self.n = offset, np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-        self.z[at] = -weights * (BETA / ALPHA + L2) - np.sign(weights) * self._l1(at)
+    """FTRL-proximal over some coordinates: each has its own rate, and L1 leaves most weights at zero. The last coordinate is the intercept, in every text."""
 
-    def _l1(self, at: np.ndarray) -> np.ndarray:
-        return np.where(at == 1 << BITS, 0.0, L1)
+    def __init__(self, offset: float, z: np.ndarray, n: np.ndarray):
+        self.offset, self.z, self.n = offset, z, n
 
     def weights(self, at: np.ndarray) -> np.ndarray:
-        z, l1 = self.z[at], self._l1(at)
+        z, l1 = self.z[at], np.where(at == len(self.z) - 1, 0.0, L1)
         return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((BETA + np.sqrt(self.n[at])) / ALPHA + L2))
 
     def learn(self, x: np.ndarray, y: float) -> None:
-        at = np.append(x, 1 << BITS)
+        at = np.append(x, len(self.z) - 1)
         w = self.weights(at)
         g = 1 / (1 + math.exp(-max(-35.0, min(35.0, self.offset + w.sum())))) - y
         n = self.n[at]
@@ -114,28 +144,63 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def _learner(offset: float, start, epochs: int):
+def _learner(offset: float, state, epochs: int):
+    """What a shard's documents add to the state (buckets, z, n), by bucket. Buckets are numbered anew, so that a task holds those of its own documents alone."""
+
     def learn(df: pd.DataFrame) -> pd.DataFrame:
-        model = Ftrl(offset, *start.value)
         df = df.sort_values(["_order", "_id"])
+        own, x = np.unique(np.concatenate([*df["_x"], [1 << BITS]]), return_inverse=True)
+        x = np.split(x[:-1], np.cumsum(df["_x"].map(len)))[:-1]
+        z, n = np.zeros(len(own)), np.zeros(len(own))
+        at, z0, n0 = state.value
+        _, here, there = np.intersect1d(own, at, assume_unique=True, return_indices=True)
+        z[here], n[here] = z0[there], n0[there]
+        model = Ftrl(offset, z.copy(), n.copy())
         for _ in range(epochs):
-            for x, y in zip(df["_x"], df["toxic"], strict=True):
-                model.learn(x, float(y))
-        now = model.weights(np.arange((1 << BITS) + 1))
-        kept = np.flatnonzero(now)
-        return pd.DataFrame({"at": kept.astype(np.int64), "w": now[kept]})
+            for one, y in zip(x, df["toxic"], strict=True):
+                model.learn(one, float(y))
+        return pd.DataFrame({"_shard": df["_shard"].iloc[0], "at": own.astype(np.int64), "z": model.z - z, "n": model.n - n})
 
     return learn
 
 
+def learned(parts: DataFrame, offset: float, *, shards: int, rounds: int, epochs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and weights that are not zero, of rows _id, _order, toxic, _x.
+
+    A round's shards all start from one state and each reads its own documents `epochs` times, in the order of
+    a hash; what they add to z and n is averaged by bucket. A mean has a shard's worth of gradients, so L1 is
+    half of what suits one learner of all. Sums are taken in the order of shards, so that the same rows give
+    the same weights. The driver holds z and n of 2**BITS buckets at most.
+    """
+    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    parts = parts.withColumn("_shard", F.pmod("_order", F.lit(shards)))
+    mean = lambda c: (sum(F.coalesce(F.max(F.when(F.col("_shard") == k, F.col(c))), F.lit(0.0)) for k in range(shards)) / shards).alias(c)
+    for _ in range(rounds):
+        at = np.flatnonzero(n)
+        state = parts.sparkSession.sparkContext.broadcast((at, z[at], n[at]))
+        got = parts.groupBy("_shard").applyInPandas(_learner(offset, state, epochs), "_shard bigint, at bigint, z double, n double").groupBy("at").agg(mean("z"), mean("n")).toArrow()
+        each = got["at"].to_numpy()
+        z[each] += got["z"].to_numpy()
+        n[each] += got["n"].to_numpy()
+        state.destroy()
+    w = Ftrl(offset, z, n).weights(np.arange((1 << BITS) + 1))
+    at = np.flatnonzero(w)
+    return at, w[at]
+
+
 def _hashed(labelled: DataFrame) -> DataFrame:
     """_id, _order, toxic and _x, the buckets of the text: where texts are read, so that only numbers are exchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known()
+        known = Words()
         for b in few(batches, 200):
-            made = [features(t, known) for t in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(made, pa.list_(pa.int32()))], names=["_id", "_order", "toxic", "_x"])
+            made, sizes = [np.zeros(0, np.int32)], []
+            for texts in _some(b.column(3)):
+                doc, at = features(texts, known)
+                made.append(at)
+                sizes.append(np.bincount(doc, minlength=len(texts)))
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))], names=["_id", "_order", "toxic", "_x"])
 
     given = labelled.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_order"), "toxic", whole("text").alias("_t"))
     kind = given.schema["_id"].dataType.simpleString()
@@ -191,35 +256,46 @@ def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epoc
     """The model of labelled (doc_id, text, toxic): a bounded sample, landed.
 
     The offset is the log odds of the share of label 1, shrunk towards a tenth. Buckets that fewer than SEEN
-    documents of the learning folds have are left out. Each of the shards learns from its documents in the
-    order of a hash; the weights that are not zero are averaged by bucket, and the next round starts from
-    them. Buckets, not documents, come back to the driver, 2**BITS at most. A fold that has taken no part
-    then sets slope and threshold; without both labels there they stay 1 and 0. Repeated rows count each; an
-    empty table gives the model of a tenth. A long text costs its length where it is read and 2**BITS
-    buckets at most where it is learned from. Other columns are not read.
+    documents of the learning folds have are left out; see `learned` for the rest. Buckets, not documents, come
+    back to the driver, 2**BITS at most. A fold that has taken no part then sets slope and threshold; without
+    both labels there they stay 1 and 0. Repeated rows count each; an empty table gives the model of a tenth.
+    A long text costs its length where it is read and 2**BITS buckets at most where it is learned from. Other
+    columns are not read.
     """
     n, k = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     rate = (k + 0.5) / (n + 5)
     offset = math.log(rate / (1 - rate))
-    at, w = np.zeros(0, np.int64), np.zeros(0)
-    plain = Model(offset, 1.0, 0.0, at, w)
     if not n:
-        return plain
+        return Model(offset, 1.0, 0.0, np.zeros(0, np.int64), np.zeros(0))
     fold = F.pmod(F.shiftright("_order", 20), F.lit(FOLDS)) == 0
     rows = land(_hashed(labelled))
     learning = rows.where(~fold)
     often = _counted(learning).where(F.col("n") >= SEEN).select("at")
-    parts = land(_pruned(learning, often)).withColumn("_shard", F.pmod("_order", F.lit(shards)))
-    for _ in range(rounds):
-        learn = _learner(offset, labelled.sparkSession.sparkContext.broadcast((at, w)), epochs)
-        got = parts.groupBy("_shard").applyInPandas(learn, "at bigint, w double").groupBy("at").agg((F.sum("w") / shards).alias("w")).orderBy("at").toPandas()
-        at, w = got["at"].to_numpy(), got["w"].to_numpy()
-    plain = Model(offset, 1.0, 0.0, at, w)
-    held = labelled.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 20), F.lit(FOLDS)) == 0)
-    told = margins(held, plain).join(held.select("doc_id", "toxic"), F.col("_id").eqNullSafe(F.col("doc_id"))).select("_x", "toxic").orderBy("_x", "toxic").toPandas()
+    plain = Model(offset, 1.0, 0.0, *learned(land(_pruned(learning, often)), offset, shards=shards, rounds=rounds, epochs=epochs))
+    told = _told(rows.where(fold), plain).orderBy("_m", "toxic").toPandas()
     if told["toxic"].nunique() < 2:
         return plain
-    return Model(offset, *slope(told["_x"].to_numpy(), told["toxic"].to_numpy(dtype=float)), at, w)
+    return plain._replace(**dict(zip("ab", slope(told["_m"].to_numpy(), told["toxic"].to_numpy(dtype=float)), strict=True)))
+
+
+def _told(rows: DataFrame, model: Model) -> DataFrame:
+    """_m, the log odds by a plain model, and toxic of rows with buckets _x."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense, base = weighed(shared.value)
+        for b in few(batches, 200):
+            m = [base + float(dense[np.asarray(x.values, np.int32)].sum(dtype=np.float64)) if x.is_valid else base for x in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(m, pa.float64()), b.column(1)], names=["_m", "toxic"])
+
+    return rows.select("_x", "toxic").mapInArrow(run, "_m double, toxic int")
+
+
+def weighed(model: Model) -> tuple[np.ndarray, float]:
+    """A weight for each bucket, and what every text has."""
+    dense = np.zeros((1 << BITS) + 1, np.float32)
+    dense[model.at] = model.weights
+    return dense, model.offset + float(dense[-1])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, most: int = MOST_LABELLED, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
@@ -249,12 +325,14 @@ def margins(df: DataFrame, model: Model, *, text: str = "text", doc_id: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        dense = np.zeros((1 << BITS) + 1, np.float32)
-        dense[m.at] = m.weights
-        known = Known(dense != 0)
-        base = m.offset + float(dense[-1])
+        dense, base = weighed(m)
+        known = Words(dense != 0)
         for b in few(batches):
-            x = np.array([base + float(dense[features(t, known)].sum(dtype=np.float64)) for t in b.column(1).to_pylist()], np.float64)
+            each = [np.zeros(0)]
+            for texts in _some(b.column(1)):
+                doc, at = features(texts, known)
+                each.append(np.bincount(doc, weights=dense[at], minlength=len(texts)))
+            x = base + np.concatenate(each)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.a * x + m.b)], names=["_id", "_x"])
 
     return given.mapInArrow(run, f"_id {kind}, _x double")

@@ -1,9 +1,14 @@
 """The operators against plain versions, and their edge cases."""
 
+import math
+import os
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe, decontamination, licenses, line_dedup, lm, quality, secrets, sharding, simhash, toxicity
@@ -407,30 +412,125 @@ def test_toxicity_query_and_edges(spark, sf, odd, empty):
     assert {r.score < 0.5 for r in toxicity.score(odd, none).collect()} == {True}
 
 
-def test_ftrl_against_scalar_steps():
-    from math import exp, sqrt
+class Scalar:
+    """FTRL-proximal one coordinate at a time."""
 
-    rng = random.Random(2)
-    model, z, n, offset = toxicity.Ftrl(-1.5, np.zeros(0, np.int64), np.zeros(0)), {}, {}, -1.5
-    last = 1 << toxicity.BITS
+    def __init__(self, offset, last, z=(), n=()):
+        self.offset, self.last, self.z, self.n = offset, last, dict(z), dict(n)
+
+    def weight(self, i):
+        l1 = 0.0 if i == self.last else toxicity.L1
+        v = self.z.get(i, 0.0)
+        return 0.0 if abs(v) <= l1 else ((l1 if v > 0 else -l1) - v) / ((toxicity.BETA + math.sqrt(self.n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    def learn(self, x, y):
+        w = {i: self.weight(i) for i in [*x, self.last]}
+        g = 1 / (1 + math.exp(-(self.offset + sum(w.values())))) - y
+        for i in w:
+            was = self.n.get(i, 0.0)
+            self.z[i] = self.z.get(i, 0.0) + g - (math.sqrt(was + g * g) - math.sqrt(was)) / toxicity.ALPHA * w[i]
+            self.n[i] = was + g * g
 
-    def weight(i):
-        l1 = 0.0 if i == last else toxicity.L1
-        v = z.get(i, 0.0)
-        return 0.0 if abs(v) <= l1 else ((l1 if v > 0 else -l1) - v) / ((toxicity.BETA + sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
 
+def test_ftrl_against_scalar_steps():
+    rng = random.Random(2)
+    model, want = toxicity.Ftrl(-1.5, np.zeros(31), np.zeros(31)), Scalar(-1.5, 30)
     for _ in range(400):
         y = rng.random() < 0.3
-        x = sorted(rng.sample(range(20), 6) + [100 + y])
+        x = sorted(rng.sample(range(20), 6) + [25 + y])
         model.learn(np.array(x), float(y))
-        w = {i: weight(i) for i in [*x, last]}
-        g = 1 / (1 + exp(-(offset + sum(w.values())))) - y
-        for i in w:
-            was = n.get(i, 0.0)
-            z[i] = z.get(i, 0.0) + g - (sqrt(was + g * g) - sqrt(was)) / toxicity.ALPHA * w[i]
-            n[i] = was + g * g
-    every = [*range(20), 100, 101, last]
-    assert np.allclose(model.weights(np.array(every)), [weight(i) for i in every]) and model.weights(np.array([101]))[0] > 0
+        want.learn(x, y)
+    every = [*range(20), 25, 26, 30]
+    assert np.allclose(model.weights(np.array(every)), [want.weight(i) for i in every]) and model.weights(np.array([26]))[0] > 0
+
+
+def toxic_features(text):
+    """The buckets of a text, word by word."""
+    words = re.sub(rb"[^0-9a-z\x80-\xff]", b" ", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode())).split()
+    h, mix, out = [xxhash.xxh64_intdigest(w, 0) for w in words], [int(x) for x in toxicity._MIX], set()
+    for k in range(len(h)):
+        out.add(h[k] * mix[0] % 2**64)
+        if k >= 1:
+            out.add((h[k - 1] * mix[1] + h[k] * mix[2]) % 2**64)
+        if k >= 2:
+            out.add((h[k - 2] * mix[3] + h[k] * mix[4]) % 2**64)
+    for w in words:
+        start = w[:64].decode("utf-8", "replace")
+        out |= {xxhash.xxh64_intdigest(start[:n].encode(), n) for n in toxicity.BEGINNINGS if len(start) > n}
+    return {x >> (64 - toxicity.BITS) for x in out}
+
+
+def test_toxicity_features_word_by_word(monkeypatch):
+    rng = random.Random(8)
+    texts = ["", " \t", "One", "a b", "Ünïcöde wörds, WÖRDS ünïcöde", "x" * 100 + "é" * 50 + " y z", "don't stop-don't\nstop"]
+    texts += [" ".join("".join(rng.choices("abcdeÄ", k=rng.randrange(1, 9))) for _ in range(rng.randrange(60))) for _ in range(60)]
+    monkeypatch.setattr(toxicity, "REMEMBERED", 300)
+    known = toxicity.Words()
+    for k in range(0, len(texts), 9):
+        doc, at = toxicity.features(texts[k : k + 9], known)
+        for i, t in enumerate(texts[k : k + 9]):
+            assert at[doc == i].tolist() == sorted(toxic_features(t))
+    kept = np.zeros(1 << toxicity.BITS, bool)
+    kept[sorted(set().union(*map(toxic_features, texts)))[::3]] = True
+    doc, at = toxicity.features(texts, toxicity.Words(kept))
+    for i, t in enumerate(texts):
+        assert at[doc == i].tolist() == sorted(x for x in toxic_features(t) if kept[x])
+
+
+def test_toxicity_from_end_to_end(spark, monkeypatch):
+    """fit and score against plain loops: features, documents that have them, shards, rounds, epochs, slope, score."""
+    monkeypatch.setattr(toxicity, "AT_ONCE", 500)
+    rng = random.Random(31)
+    words = [f"word{k}" for k in range(60)]
+    rows = []
+    for k in range(240):
+        w = rng.choices(words, k=rng.randrange(40))
+        bad = rng.random() < 0.3
+        for _ in range(3 * bad + (rng.random() < 0.1)):
+            w.insert(rng.randrange(len(w) + 1), rng.choice(["vile", "nasty", "Rotten"]))
+        rows.append((k, " ".join(w) or None, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    order = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    model = toxicity.fit(toxicity.land(docs))
+    offset = math.log((rate := (sum(r[2] for r in rows) + 0.5) / (len(rows) + 5)) / (1 - rate))
+    x = {k: toxic_features(t or "") for k, t, _ in rows}
+    y = {k: b for k, _, b in rows}
+    held = {k for k in x if (order[k] >> 20) % toxicity.FOLDS == 0}
+    times = Counter(i for k in x if k not in held for i in x[k])
+    used = {k: sorted(i for i in x[k] if times[i] >= toxicity.SEEN) for k in x}
+    z, n, last = Counter(), Counter(), 1 << toxicity.BITS
+    for _ in range(toxicity.ROUNDS):
+        made = []
+        for s in range(toxicity.SHARDS):
+            own = Scalar(offset, last, z, n)
+            for _ in range(toxicity.EPOCHS):
+                for k in sorted((k for k in x if k not in held and order[k] % toxicity.SHARDS == s), key=order.get):
+                    own.learn(used[k], y[k])
+            made.append(own)
+        for c, old in (("z", z), ("n", n)):
+            before = dict(old)
+            for i in set().union(*(getattr(m, c) for m in made)):
+                old[i] = before.get(i, 0.0) + sum(getattr(m, c).get(i, before.get(i, 0.0)) - before.get(i, 0.0) for m in made) / toxicity.SHARDS
+    final = Scalar(offset, last, z, n)
+    want = {i: w for i in z if (w := final.weight(i))}
+    assert dict(zip(model.at.tolist(), model.weights, strict=True)) == pytest.approx(want)
+    base = offset + want.get(last, 0.0)
+    margin = {k: base + sum(want.get(i, 0.0) for i in x[k]) for k in x}
+    told = [(margin[k], y[k]) for k in held]
+    # The curve's own condition: the pulled gradient is zero at a, b.
+    p = [1 / (1 + math.exp(-(model.a * m + model.b))) for m, _ in told]
+    assert sum((q - b) * m for q, (m, b) in zip(p, told, strict=True)) + 0.01 * (model.a - 1) == pytest.approx(0, abs=1e-3)
+    assert sum(q - b for q, (_, b) in zip(p, told, strict=True)) + 0.001 * model.b == pytest.approx(0, abs=1e-3)
+    got = {r._id: r.score for r in toxicity.score(docs, model).collect()}
+    assert got == pytest.approx({k: 1 / (1 + math.exp(-(model.a * m + model.b))) for k, m in margin.items()}, rel=1e-4)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="the larger tables are not there")
+def test_toxicity_on_held_out_documents(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic IS NOT NULL").select("doc_id", "toxic")
+    got = toxicity.op6_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id")
+    n = Counter((r.toxic, r.predicted) for r in got.select("toxic", "predicted").collect())
+    assert n[1, 1] >= 0.9 * (n[1, 0] + n[1, 1]) and n[0, 1] <= 0.005 * (n[0, 0] + n[0, 1])
 
 
 # 7
