@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from itertools import chain
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,19 +148,25 @@ class Ftrl:
 def _learner(offset: float, state, epochs: int):
     """What a shard's documents add to the state (buckets, z, n), by bucket. Buckets are numbered anew, so that a task holds those of its own documents alone."""
 
-    def learn(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["_order", "_id"])
-        own, x = np.unique(np.concatenate([*df["_x"], [1 << BITS]]), return_inverse=True)
-        x = np.split(x[:-1], np.cumsum(df["_x"].map(len)))[:-1]
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by([("_order", "ascending"), ("_id", "ascending")])
+        x = rows.column("_x").combine_chunks()
+        ends = np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False))
+        own, each = np.unique(np.append(x.flatten().to_numpy(), 1 << BITS).astype(np.int32), return_inverse=True)
+        each = np.split(each[:-1], ends)[:-1]
         z, n = np.zeros(len(own)), np.zeros(len(own))
         at, z0, n0 = state.value
         _, here, there = np.intersect1d(own, at, assume_unique=True, return_indices=True)
         z[here], n[here] = z0[there], n0[there]
         model = Ftrl(offset, z.copy(), n.copy())
         for _ in range(epochs):
-            for one, y in zip(x, df["toxic"], strict=True):
+            for one, y in zip(each, rows.column("toxic").to_pylist(), strict=True):
                 model.learn(one, float(y))
-        return pd.DataFrame({"_shard": df["_shard"].iloc[0], "at": own.astype(np.int64), "z": model.z - z, "n": model.n - n})
+        out = pa.RecordBatch.from_arrays([pa.array(own), pa.array(model.z - z), pa.array(model.n - n)], names=["at", "z", "n"])
+        yield from few([out], 100_000)
 
     return learn
 
@@ -169,19 +176,25 @@ def learned(parts: DataFrame, offset: float, *, shards: int, rounds: int, epochs
 
     A round's shards all start from one state and each reads its own documents `epochs` times, in the order of
     a hash; what they add to z and n is averaged by bucket. A mean has a shard's worth of gradients, so L1 is
-    half of what suits one learner of all. Sums are taken in the order of shards, so that the same rows give
-    the same weights. The driver holds z and n of 2**BITS buckets at most.
+    half of what suits one learner of all. Documents are dealt to shards once, and each round reads every
+    shard where it lies. What the shards add comes back to the driver, 20 bytes for each of their buckets, which
+    are 2**BITS at most, and is added in the order of shards, so that the same rows give the same weights.
     """
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    parts = parts.withColumn("_shard", F.pmod("_order", F.lit(shards)))
-    mean = lambda c: (sum(F.coalesce(F.max(F.when(F.col("_shard") == k, F.col(c))), F.lit(0.0)) for k in range(shards)) / shards).alias(c)
+    dealt = land(parts.withColumn("_shard", F.pmod("_order", F.lit(shards)).cast("int")).repartitionByRange(shards, "_shard"))
     for _ in range(rounds):
-        at = np.flatnonzero(n)
+        at = np.flatnonzero(n).astype(np.int32)
         state = parts.sparkSession.sparkContext.broadcast((at, z[at], n[at]))
-        got = parts.groupBy("_shard").applyInPandas(_learner(offset, state, epochs), "_shard bigint, at bigint, z double, n double").groupBy("at").agg(mean("z"), mean("n")).toArrow()
-        each = got["at"].to_numpy()
-        z[each] += got["z"].to_numpy()
-        n[each] += got["n"].to_numpy()
+        learn = _learner(offset, state, epochs)
+
+        def one(k: int) -> pa.Table:
+            return dealt.where(F.col("_shard") == k).drop("_shard").coalesce(1).mapInArrow(learn, "at int, z double, n double").toArrow()  # noqa: B023
+
+        with ThreadPool(shards) as pool:  # a job for each shard: a union of single partitions would be one task
+            for added in pool.map(inheritable_thread_target(parts.sparkSession)(one), range(shards)):
+                own = added.column("at").to_numpy()
+                z[own] += added.column("z").to_numpy() / shards
+                n[own] += added.column("n").to_numpy() / shards
         state.destroy()
     w = Ftrl(offset, z, n).weights(np.arange((1 << BITS) + 1))
     at = np.flatnonzero(w)
@@ -271,7 +284,7 @@ def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epoc
     rows = land(_hashed(labelled))
     learning = rows.where(~fold)
     often = _counted(learning).where(F.col("n") >= SEEN).select("at")
-    plain = Model(offset, 1.0, 0.0, *learned(land(_pruned(learning, often)), offset, shards=shards, rounds=rounds, epochs=epochs))
+    plain = Model(offset, 1.0, 0.0, *learned(_pruned(learning, often), offset, shards=shards, rounds=rounds, epochs=epochs))
     told = _told(rows.where(fold), plain).orderBy("_m", "toxic").toPandas()
     if told["toxic"].nunique() < 2:
         return plain
