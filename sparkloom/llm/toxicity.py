@@ -191,14 +191,14 @@ def learned(parts: DataFrame, offset: float, *, shards: int, rounds: int, epochs
             return dealt.where(F.col("_shard") == k).drop("_shard").coalesce(1).mapInArrow(learn, "at int, z double, n double").toArrow()  # noqa: B023
 
         with ThreadPool(shards) as pool:  # a job for each shard: a union of single partitions would be one task
-            for added in pool.map(inheritable_thread_target(parts.sparkSession)(one), range(shards)):
+            for added in pool.imap(inheritable_thread_target(parts.sparkSession)(one), range(shards)):
                 own = added.column("at").to_numpy()
                 z[own] += added.column("z").to_numpy() / shards
                 n[own] += added.column("n").to_numpy() / shards
         state.destroy()
-    w = Ftrl(offset, z, n).weights(np.arange((1 << BITS) + 1))
-    at = np.flatnonzero(w)
-    return at, w[at]
+    at = np.flatnonzero(n)
+    w = Ftrl(offset, z, n).weights(at)
+    return at[w != 0], w[w != 0]
 
 
 def _hashed(labelled: DataFrame) -> DataFrame:
