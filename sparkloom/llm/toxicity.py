@@ -155,16 +155,21 @@ def _learner(offset: float, state, epochs: int):
         rows = pa.Table.from_batches(held).sort_by([("_order", "ascending"), ("_id", "ascending")])
         x = rows.column("_x").combine_chunks()
         ends = np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False))
-        own, each = np.unique(np.append(x.flatten().to_numpy(), 1 << BITS).astype(np.int32), return_inverse=True)
-        each = np.split(each[:-1], ends)[:-1]
+        x, y = x.flatten().to_numpy(), rows.column("toxic").to_pylist()
+        number = np.zeros((1 << BITS) + 1, np.int32)
+        number[x] = number[1 << BITS] = 1
+        own = np.flatnonzero(number).astype(np.int32)
+        number[own] = np.arange(len(own))
+        each = np.split(number[x], ends)[:-1]
+        del held, rows, x, number
         z, n = np.zeros(len(own)), np.zeros(len(own))
         at, z0, n0 = state.value
         _, here, there = np.intersect1d(own, at, assume_unique=True, return_indices=True)
         z[here], n[here] = z0[there], n0[there]
         model = Ftrl(offset, z.copy(), n.copy())
         for _ in range(epochs):
-            for one, y in zip(each, rows.column("toxic").to_pylist(), strict=True):
-                model.learn(one, float(y))
+            for one, label in zip(each, y, strict=True):
+                model.learn(one, float(label))
         out = pa.RecordBatch.from_arrays([pa.array(own), pa.array(model.z - z), pa.array(model.n - n)], names=["at", "z", "n"])
         yield from few([out], 100_000)
 
@@ -266,7 +271,7 @@ def slope(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epochs: int = EPOCHS) -> Model:
-    """The model of labelled (doc_id, text, toxic): a bounded sample, landed.
+    """The model of labelled (doc_id, text, toxic): a bounded sample, read once.
 
     The offset is the log odds of the share of label 1, shrunk towards a tenth. Buckets that fewer than SEEN
     documents of the learning folds have are left out; see `learned` for the rest. Buckets, not documents, come
@@ -275,13 +280,13 @@ def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epoc
     A long text costs its length where it is read and 2**BITS buckets at most where it is learned from. Other
     columns are not read.
     """
-    n, k = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    rows = land(_hashed(labelled))
+    n, k = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     rate = (k + 0.5) / (n + 5)
     offset = math.log(rate / (1 - rate))
     if not n:
         return Model(offset, 1.0, 0.0, np.zeros(0, np.int64), np.zeros(0))
     fold = F.pmod(F.shiftright("_order", 20), F.lit(FOLDS)) == 0
-    rows = land(_hashed(labelled))
     learning = rows.where(~fold)
     often = _counted(learning).where(F.col("n") >= SEEN).select("at")
     plain = Model(offset, 1.0, 0.0, *learned(_pruned(learning, often), offset, shards=shards, rounds=rounds, epochs=epochs))
@@ -361,5 +366,5 @@ def op6_toxicity(spark, sf_dir):
     part = lambda c: F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5, F.lit(0))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(part(F.col("doc_id")) != 0)
     with scratch(spark):  # the model alone comes out of it
-        model = fit(land(labelled_sample(docs, labels)))
+        model = fit(labelled_sample(docs, labels))
     return score(docs, model).select(F.col("_id").alias("doc_id"), (part(F.col("_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
