@@ -63,7 +63,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one. Other columns are not read.
     """
     kept = Aside(docs)
-    return bpe.encode(kept.df.select(kept.of("doc_id").alias("doc_id"), kept.of("text").alias("text"))).drop("text")
+    return bpe.encode(kept.df.select(kept.of("doc_id").alias("doc_id"), kept.of("text").alias("text")), texts=False)
 
 
 STAGES = [

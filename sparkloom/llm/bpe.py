@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Aside, few, table
+from .common import Aside, few, short_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces whose ids a worker remembers; with as many new ones again, those not met since are forgotten.
@@ -234,13 +234,19 @@ def _coder(name: str, ranks, pattern: str) -> TextCoder:
     return _CODERS[name]
 
 
-def _coded(df: DataFrame, given: str, added: str, work: Callable[[TextCoder, list], dict], ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """df with the columns that work makes of the one named given. The vocabulary, a file of fixed size, is broadcast, for executors may not have it."""
+def _coded(df: DataFrame, given: str, added: str, work: Callable[[TextCoder, list], dict], ranks: dict[bytes, int], pattern: str, back: bool = True) -> DataFrame:
+    """df with the columns that work makes of the one named given, which is left out unless it comes back.
+
+    The vocabulary, a file of fixed size, is broadcast, for executors may not have it. What Spark hands to a
+    worker at a time is many whole rows, so each column goes there once, and nothing returns that is not wanted.
+    """
+    short_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     new = df.sparkSession.createDataFrame([], added).schema
     kept = Aside(df)
-    own = kept.df.select(*kept.own, kept.of(given).alias("given"))
-    made = StructType(own.schema.fields[:-1] + new.fields)
+    at = kept.at(given)
+    returned = [k for k in range(len(kept.own)) if back or k != at]
+    made = StructType([kept.df.schema.fields[k] for k in returned] + new.fields)
     name = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,15 +254,16 @@ def _coded(df: DataFrame, given: str, added: str, work: Callable[[TextCoder, lis
 
         coder, out = _coder(name, shared, pattern), to_arrow_schema(made)
         for batch in few(batches):
-            *rest, x = batch.columns
-            got = work(coder, x.to_pylist())
-            yield pa.RecordBatch.from_arrays([*rest, *[pa.array(got[f.name], out.field(f.name).type) for f in new]], schema=out)
+            got = work(coder, batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in returned], *[pa.array(got[f.name], out.field(f.name).type) for f in new]], schema=out)
 
-    return own.mapInArrow(run, made).select(*kept.back(*new.names), *new.names)
+    taken = {n.lower() for n in new.names}
+    rest = [F.col(kept.own[k]).alias(kept.names[k]) for k in returned if kept.names[k].lower() not in taken]
+    return kept.df.mapInArrow(run, made).select(*rest, *new.names)
 
 
-def encode(df: DataFrame, *, text: str = "text", ranks: dict[bytes, int] | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """df with n_tokens, ids, the tokens as little-endian unsigned 32-bit integers, and decoded_sha256 of what they decode to.
+def encode(df: DataFrame, *, text: str = "text", ranks: dict[bytes, int] | None = None, pattern: str = public_tokenizers.PATTERN, texts: bool = True) -> DataFrame:
+    """df, without its text column if texts is false, with n_tokens, ids, the tokens as little-endian unsigned 32-bit integers, and decoded_sha256 of what they decode to.
 
     A null or empty text has no tokens, a long one costs its length. Columns of df under one of these names
     are replaced; other names cannot clash. Rows stay as they are, repeated ones too, an empty table gives an
@@ -270,7 +277,7 @@ def encode(df: DataFrame, *, text: str = "text", ranks: dict[bytes, int] | None
         back = [hashlib.sha256(coder.coder.decode(np.frombuffer(x, "<u4").tolist())).hexdigest() for x in ids]
         return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded_sha256": back}
 
-    return _coded(df, text, "n_tokens bigint, ids binary, decoded_sha256 string", work, ranks, pattern)
+    return _coded(df, text, "n_tokens bigint, ids binary, decoded_sha256 string", work, ranks, pattern, texts)
 
 
 def decode(df: DataFrame, *, ids: str = "ids", ranks: dict[bytes, int] | None = None) -> DataFrame:
@@ -288,4 +295,4 @@ def decode(df: DataFrame, *, ids: str = "ids", ranks: dict[bytes, int] | None =
 
 def op7_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encode(docs).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
+    return encode(docs, texts=False).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")

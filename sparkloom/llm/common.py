@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -67,9 +68,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def land(df: DataFrame) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read again. For rows that hold texts."""
-    return opened(df.sparkSession).land(df)
+def land(df: DataFrame, *by: str) -> DataFrame:
+    """df written as a Parquet table in the shared folder, in folders by some columns if they are named, and read again. For rows that hold texts."""
+    return opened(df.sparkSession).land(df, *by)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets go of shuffle files that nothing reads any more. Spark removes them when the driver has collected its garbage, for which it asks itself every half an hour alone."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Sets how many rows Spark hands to a Python worker at a time to 1000, if it is left at its 10,000.
+
+    Spark and the worker each hold a batch of whole texts once or twice, outside the heap.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == 10_000:
+        spark.conf.set(name, 1000)
 
 
 def few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -107,12 +124,16 @@ class Aside:
         self.own = [f"c{k}" for k in range(len(self.names))]
         self.df = df.toDF(*self.own)
 
-    def of(self, name: str) -> Column:
-        """The column that df calls so: by its exact name, or else by one that differs in case alone."""
+    def at(self, name: str) -> int:
+        """The place of the column that df calls so: by its exact name, or else by one that differs in case alone."""
         same = [k for k, n in enumerate(self.names) if n == name] or [k for k, n in enumerate(self.names) if n.lower() == name.lower()]
         if len(same) != 1:
             raise ValueError(f"no single column {name} among {self.names}")
-        return F.col(self.own[same[0]])
+        return same[0]
+
+    def of(self, name: str) -> Column:
+        """That column."""
+        return F.col(self.own[self.at(name)])
 
     def back(self, *replaced: str) -> list[Column]:
         """df's columns under their names, but those that the operator adds itself: its own take their place."""

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, few, if_small, land, only, opened, scratch, whole
+from .common import cut, few, if_small, land, only, opened, scratch, short_batches, whole
 from .simhash import SEED, connected, first_of_groups, majority
 from .simhash import links as simhash_links
 
@@ -139,6 +139,7 @@ def group_by_shingles(df: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
 def _grouped(docs: DataFrame, words: int, radius: int) -> DataFrame:
     spark, kind = docs.sparkSession, docs.schema["_id"].dataType.simpleString()
+    short_batches(spark)
     docs = docs.select("_id", "_t", F.xxhash64("_t").alias("_th"))
     often = spark.sparkContext.broadcast(_frequent(docs, words))
 

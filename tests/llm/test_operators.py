@@ -557,6 +557,22 @@ def test_bpe_query(spark, sf, docs, library):
         assert r.decoded_sha256 == plain.sha(library.decode_bytes(want[r.doc_id]))
 
 
+def test_bpe_texts_go_to_workers_once(spark, sf, docs, monkeypatch):
+    """A text is handed to a worker once and does not come back where it is not wanted; columns that differ from it in case alone stay."""
+    import corpus_pipeline
+
+    kind, seen = type(docs), []
+    plain_map = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, run, schema, *a, **k: (made := plain_map(df, run, schema, *a, **k), seen.append((df.dtypes, made.dtypes)))[0])
+    bpe.op7_byte_bpe(spark, sf)
+    corpus_pipeline.encoded(spark, docs, sf)
+    for given, made in seen:
+        assert [t for _, t in given].count("string") == 1 and [t for _, t in made].count("string") == 1  # decoded_sha256
+    assert len(seen) == 2 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
+    two = bpe.encode(spark.createDataFrame([("ab", "cd")], "text string, TEXT string"), texts=False)
+    assert two.columns == ["TEXT", "n_tokens", "ids", "decoded_sha256"] and two.first()[0] == "cd"
+
+
 def test_bpe_edits(ranks, library):
     coder, rng = bpe.TextCoder(ranks), random.Random(2)
     parts = ["a", "b", " ", "\n", "'", "s", "re", "ll", "é", "中", "\u0085", "\x1c", "1", "====", "    ", "🙂", "ing", "the", "　", "й", "aaaa"]
