@@ -10,12 +10,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, land, only, scratch, table, whole
+from ..sources.shared import Scratch
+from .common import few, land, only, scratch, short_batches, table, tidy, whole
 
 BITS = 22
 #: Labelled documents that the model is fitted on at most: the first in the order of a hash of their ids.
@@ -149,23 +151,27 @@ def _learner(offset: float, state, epochs: int):
     """What a shard's documents add to the state (buckets, z, n), by bucket. Buckets are numbered anew, so that a task holds those of its own documents alone."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what the worker's tasks before left there
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        rows = pa.Table.from_batches(held).sort_by([("_order", "ascending"), ("_id", "ascending")])
+        rows = pa.Table.from_batches(held)
+        turn = pc.sort_indices(rows.select(["_order", "_id"]), sort_keys=[("_order", "ascending"), ("_id", "ascending")]).to_numpy()
         x = rows.column("_x").combine_chunks()
         ends = np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False))
-        x, y = x.flatten().to_numpy(), rows.column("toxic").to_pylist()
-        number = np.zeros((1 << BITS) + 1, np.int32)
-        number[x] = number[1 << BITS] = 1
-        own = np.flatnonzero(number).astype(np.int32)
-        number[own] = np.arange(len(own))
-        each = np.split(number[x], ends)[:-1]
-        del held, rows, x, number
+        x, y = x.flatten().to_numpy(), rows.column("toxic").to_numpy()[turn].tolist()
+        number = np.full((1 << BITS) + 1, -1, np.int32)
+        number[x] = number[1 << BITS] = 0
+        own = np.flatnonzero(number == 0).astype(np.int32)
+        number[own] = np.arange(len(own), dtype=np.int32)
+        x = number[x]
+        each = [x[(ends[k - 1] if k else 0) : ends[k]] for k in turn.tolist()]
         z, n = np.zeros(len(own)), np.zeros(len(own))
         at, z0, n0 = state.value
-        _, here, there = np.intersect1d(own, at, assume_unique=True, return_indices=True)
-        z[here], n[here] = z0[there], n0[there]
+        here = number[at]
+        there = here >= 0
+        z[here[there]], n[here[there]] = z0[there], n0[there]
+        del held, rows, number, here, there
         model = Ftrl(offset, z.copy(), n.copy())
         for _ in range(epochs):
             for one, label in zip(each, y, strict=True):
@@ -176,34 +182,42 @@ def _learner(offset: float, state, epochs: int):
     return learn
 
 
-def learned(parts: DataFrame, offset: float, *, shards: int, rounds: int, epochs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and weights that are not zero, of rows _id, _order, toxic, _x.
+def learned(parts: DataFrame, marks: np.ndarray, offset: float, *, shards: int, rounds: int, epochs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and weights that are not zero, of rows _id, _order, toxic, _x, whose buckets have a bit in marks.
 
     A round's shards all start from one state and each reads its own documents `epochs` times, in the order of
     a hash; what they add to z and n is averaged by bucket. A mean has a shard's worth of gradients, so L1 is
-    half of what suits one learner of all. Documents are dealt to shards once, and each round reads every
-    shard where it lies. What the shards add comes back to the driver, 20 bytes for each of their buckets, which
-    are 2**BITS at most, and is added in the order of shards, so that the same rows give the same weights.
+    half of what suits one learner of all. Documents are dealt to shards once, into folders that their tasks
+    write without an exchange, and each round reads every shard where it lies. What the shards add comes back
+    to the driver one shard after another, 20 bytes for each of its buckets, so that the driver holds one of them
+    at a time, and the same rows give the same weights. The driver holds the buckets in marks alone, 2**BITS at most.
     """
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    dealt = land(parts.withColumn("_shard", F.pmod("_order", F.lit(shards)).cast("int")).repartitionByRange(shards, "_shard"))
+    spark = parts.sparkSession
+    buckets = np.append(np.flatnonzero(np.unpackbits(marks, bitorder="little")), 1 << BITS).astype(np.int32)
+    z, n = np.zeros(len(buckets)), np.zeros(len(buckets))
+    dealt = land(parts.withColumn("shard", F.pmod("_order", F.lit(shards)).cast("int")), "shard")
     for _ in range(rounds):
-        at = np.flatnonzero(n).astype(np.int32)
-        state = parts.sparkSession.sparkContext.broadcast((at, z[at], n[at]))
+        at = np.flatnonzero(n)
+        state = spark.sparkContext.broadcast((buckets[at], z[at], n[at]))
         learn = _learner(offset, state, epochs)
 
-        def one(k: int) -> pa.Table:
-            return dealt.where(F.col("_shard") == k).drop("_shard").coalesce(1).mapInArrow(learn, "at int, z double, n double").toArrow()  # noqa: B023
+        def one(k: int) -> DataFrame:
+            return made.land(dealt.where(F.col("shard") == k).drop("shard").coalesce(1).mapInArrow(learn, "at int, z double, n double"))  # noqa: B023
 
-        with ThreadPool(shards) as pool:  # a job for each shard: a union of single partitions would be one task
-            for added in pool.imap(inheritable_thread_target(parts.sparkSession)(one), range(shards)):
-                own = added.column("at").to_numpy()
+        with Scratch(spark) as made:
+            with ThreadPool(shards) as pool:  # a job for each shard: a union of single partitions would be one task
+                tables = pool.map(inheritable_thread_target(spark)(one), range(shards))
+            for table_ in tables:
+                added = table_.toArrow()
+                own = np.searchsorted(buckets, added.column("at").to_numpy())
                 z[own] += added.column("z").to_numpy() / shards
                 n[own] += added.column("n").to_numpy() / shards
+                del added, own
         state.destroy()
+        tidy(spark)
     at = np.flatnonzero(n)
     w = Ftrl(offset, z, n).weights(at)
-    return at[w != 0], w[w != 0]
+    return buckets[at[w != 0]], w[w != 0]
 
 
 def _hashed(labelled: DataFrame) -> DataFrame:
@@ -242,13 +256,18 @@ def _counted(rows: DataFrame) -> DataFrame:
     return rows.select("_x").mapInArrow(run, "at int, n int").groupBy("at").agg(F.sum("n").alias("n"))
 
 
-def _pruned(rows: DataFrame, often: DataFrame) -> DataFrame:
-    """rows with the buckets of _x that are among often alone. Of buckets there are 2**BITS, so a bit for each is broadcast."""
-    words = often.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("bits"))
+def _marks(buckets: DataFrame) -> np.ndarray:
+    """A bit for each of the 2**BITS buckets, set for those in `at`."""
+    words = buckets.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, at & 63)")).alias("bits"))
     got = words.select(F.collect_list("k").alias("k"), F.collect_list("bits").alias("bits")).first()  # 2**BITS / 64 at most
     marks = np.zeros(1 << (BITS - 6), np.int64)
     marks[np.array(got.k, np.int64)] = np.array(got.bits, np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast(marks.astype("<i8").view(np.uint8))
+    return marks.astype("<i8").view(np.uint8)
+
+
+def _pruned(rows: DataFrame, marks: np.ndarray) -> DataFrame:
+    """rows with the buckets of _x that are marked alone. Of buckets there are 2**BITS, so a bit for each is broadcast."""
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.unpackbits(shared.value, bitorder="little").astype(bool)
@@ -280,6 +299,7 @@ def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epoc
     A long text costs its length where it is read and 2**BITS buckets at most where it is learned from. Other
     columns are not read.
     """
+    short_batches(labelled.sparkSession)
     rows = land(_hashed(labelled))
     n, k = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     rate = (k + 0.5) / (n + 5)
@@ -288,12 +308,14 @@ def fit(labelled: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, epoc
         return Model(offset, 1.0, 0.0, np.zeros(0, np.int64), np.zeros(0))
     fold = F.pmod(F.shiftright("_order", 20), F.lit(FOLDS)) == 0
     learning = rows.where(~fold)
-    often = _counted(learning).where(F.col("n") >= SEEN).select("at")
-    plain = Model(offset, 1.0, 0.0, *learned(_pruned(learning, often), offset, shards=shards, rounds=rounds, epochs=epochs))
-    told = _told(rows.where(fold), plain).orderBy("_m", "toxic").toPandas()
-    if told["toxic"].nunique() < 2:
+    marks = _marks(_counted(learning).where(F.col("n") >= SEEN).select("at"))
+    tidy(labelled.sparkSession)
+    plain = Model(offset, 1.0, 0.0, *learned(_pruned(learning, marks), marks, offset, shards=shards, rounds=rounds, epochs=epochs))
+    told = _told(rows.where(fold), plain).orderBy("_m", "toxic").toArrow()
+    m, toxic = (told.column(k).to_numpy().astype(float) for k in ("_m", "toxic"))
+    if len(np.unique(toxic)) < 2:
         return plain
-    return plain._replace(**dict(zip("ab", slope(told["_m"].to_numpy(), told["toxic"].to_numpy(dtype=float)), strict=True)))
+    return plain._replace(**dict(zip("ab", slope(m, toxic), strict=True)))
 
 
 def _told(rows: DataFrame, model: Model) -> DataFrame:

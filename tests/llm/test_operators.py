@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -525,6 +526,19 @@ def test_toxicity_from_end_to_end(spark, monkeypatch):
     assert got == pytest.approx({k: 1 / (1 + math.exp(-(model.a * m + model.b))) for k, m in margin.items()}, rel=1e-4)
 
 
+def test_toxicity_driver_holds_buckets_of_the_sample_alone(spark):
+    """What the driver has while shards learn grows with the buckets that training meets, not with all there could be."""
+    rows = [(k, " ".join(f"w{(k * j) % 17}" for j in range(1, 12)) + " vile" * (k % 3 == 0), int(k % 3 == 0)) for k in range(150)]
+    sample = toxicity.land(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(sample)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.at) and peak < (8 << toxicity.BITS)  # one number of eight bytes for each bucket
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="the larger tables are not there")
 def test_toxicity_on_held_out_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic IS NOT NULL").select("doc_id", "toxic")
