@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Aside, few, land, table, whole
+from .common import Aside, few, land, scratch, short_batches, table, tidy, whole
 
 #: Words that workers know by number: the most frequent of at most LONGEST bytes, at most so many. The others' counts come by a join.
 HEAD, LONGEST = 1 << 18, 64
@@ -36,6 +36,8 @@ DISCOUNT = 0.6
 ALPHA = 0.1
 #: Tokens that a worker takes at a time, which bounds its memory, and that a training task takes in all.
 BLOCK, TASK = 160_000, 1 << 26
+#: Blocks whose pairs a worker counts at a time.
+TOGETHER = 4
 CHUNK = 64
 LOG10 = math.log(10)
 
@@ -406,20 +408,30 @@ def _least(levels: dict[int, int], most: int) -> int:
 def count_pairs(encoded: DataFrame, known: int, most: int = MOST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Two words of the head in a row (the first 0 at the beginning of a text), and how often, over all training texts: all pairs, or those of the highest counts if there are more than `most`.
 
-    Blocks count in their tasks and Spark sums, so a frequent pair is few rows.
+    TOGETHER blocks are counted at a time in their tasks and Spark sums, so a frequent pair is few rows. The
+    table of sums is gone when the pairs are here.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            pair, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+
+        held: list[np.ndarray] = [np.zeros(0, np.int64)]
         for _, _, _, ids, lens, skip in _blocks(batches, 0):
             last, ids = before(ids, lens)[skip:], ids[skip:]
             both = (last < known) & (ids < known)
-            pair, n = np.unique(last[both] * known + ids[both], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
-
-    counted = land(encoded.where("NOT _held").select("ids").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("c")))
-    step = F.floor(F.log2("c") * 16)
-    levels = {r.step: r.k for r in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()}  # at most 16 * 64
-    got = counted.where(step >= _least(levels, most)).toArrow()
+            held.append(last[both] * known + ids[both])
+            if len(held) > TOGETHER:
+                yield out()
+                held = held[:1]
+        yield out()
+
+    with scratch(encoded.sparkSession):
+        counted = land(encoded.where("NOT _held").select("ids").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("c")))
+        step = F.floor(F.log2("c") * 16)
+        levels = {r.step: r.k for r in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()}  # at most 16 * 64
+        got = counted.where(step >= _least(levels, most)).toArrow()
     last, word = np.divmod(got["pair"].to_numpy().astype(np.int64), known)
     return last, word, got["c"].to_numpy().astype(np.float64)
 
@@ -485,7 +497,7 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
     spark = encoded.sparkSession
     rows, deep_rows = sum(lay.tables), len(lay.node_of)
     weights, deep = np.zeros((rows, CLASSES), np.float32), np.zeros((deep_rows, CLASSES), np.float32)
-    tasks = max(2 * spark.sparkContext.defaultParallelism, int(words.total // TASK))
+    tasks = max(spark.sparkContext.defaultParallelism, int(words.total // TASK))
     part = encoded.where("NOT _held").select("ids").coalesce(tasks)
 
     def summed(work, height: int, *given: np.ndarray) -> np.ndarray:
@@ -517,6 +529,7 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
             expected = found.sum(1, keepdims=True) * _softmax(lay.start[None].astype(np.float32))[1]
         weights += _step(found, expected)
         deep += _step(below, below.sum(1, keepdims=True) * _softmax(lay.prior[lay.node_of] + deep)[1])
+        tidy(spark)
     return weights, deep, weigh_pairs(lay, words.counts, deep, *count_pairs(encoded, len(words.counts)))
 
 
@@ -532,14 +545,17 @@ def score_texts(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", he
     probabilities of all words and of one unknown word sum to 1 in any context.
     """
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
+    short_batches(df.sparkSession)
     given = Aside(df.select("*", held.alias("_held")))
     docs = given.df.select(given.of(doc_id).alias("_id"), F.col(given.own[-1]).alias("_held"), whole(given.of(text)).alias("_t"))
     counts = land(count_words(docs.where(~F.col("_held"))))
     words, others = known_words(counts, head)
     lay = lay_out(words)
+    tidy(df.sparkSession)
     encoded = land(encode(docs, words))
     weights = train(encoded, words, lay, rounds)
     spark = df.sparkSession
+    tidy(spark)
     shared = spark.sparkContext.broadcast((lay, words.counts, *weights))
     kind = docs.schema["_id"].dataType.simpleString()
     divisor = math.log10(words.total + ALPHA * (words.distinct + 1))

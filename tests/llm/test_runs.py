@@ -7,7 +7,7 @@ import corpus_pipeline as pipeline
 import numpy as np
 import pytest
 
-from sparkloom.llm import near, queries
+from sparkloom.llm import lm, near, queries
 
 
 def folders(spark):
@@ -32,6 +32,18 @@ def test_what_is_left(spark, sf, name, tables):
     assert len(folders(spark)[1] - before) <= tables
 
 
+def test_pairs_are_counted_by_blocks_and_leave_nothing(spark, monkeypatch):
+    """The table of sums goes when pairs are read, and few or many blocks counted at a time give the same."""
+    encoded = spark.createDataFrame([(False, np.array([k % 3 + 1, 2, 3, 0], "<i4").tobytes()) for k in range(40)], "_held boolean, ids binary").coalesce(1).checkpoint()
+    before, made = folders(spark)[1], []
+    for block, together in ((8, 1), (8, 3), (lm.BLOCK, lm.TOGETHER)):
+        monkeypatch.setattr(lm, "BLOCK", block)
+        monkeypatch.setattr(lm, "TOGETHER", together)
+        made.append(sorted(zip(*(x.tolist() for x in lm.count_pairs(encoded, 4)), strict=True)))
+    assert made[0] == made[1] == made[2] and sum(c for _, _, c in made[0]) == 160
+    assert folders(spark)[1] == before
+
+
 def test_sketches_never_say_more_than_the_sets():
     rng = np.random.default_rng(1)
     for n, m, shared in [(0, 0, 0), (0, 5, 0), (1, 1, 1), (40, 45, 38), (300, 280, 250), (33, 31, 30), (5000, 4200, 4100), (70, 60, 0)]:
