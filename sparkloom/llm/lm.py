@@ -36,8 +36,12 @@ DISCOUNT = 0.6
 ALPHA = 0.1
 #: Tokens that a worker takes at a time, which bounds its memory, and that a training task takes in all.
 BLOCK, TASK = 160_000, 1 << 26
-#: Blocks whose pairs a worker counts at a time.
-TOGETHER = 4
+#: Blocks whose pairs a worker counts at a time, and tokens whose contexts it takes together when it sums what the model expects.
+TOGETHER, CONTEXTS = 4, 1 << 20
+#: Rows of features that are multiplied at a time, so that they stay in a core's cache, and summed at a time.
+NEAR, SUMMED = 4096, 512
+#: Where a sum of products of exponentials is below this it is taken anew from logarithms.
+TINY = 1e-20
 CHUNK = 64
 LOG10 = math.log(10)
 
@@ -230,16 +234,10 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where in keys, which are in order, each of wanted stands; -1 where it does not. Wanted ones are sorted first, so that the search walks through keys."""
-    some, inverse = np.unique(wanted, return_inverse=True)
-    at = np.searchsorted(keys, some)
+    """Where in keys, which are in order, each of wanted stands; -1 where it does not. Wanted ones had better be nearly in order, so that the search walks through keys."""
+    at = np.searchsorted(keys, wanted)
     at[at == len(keys)] = 0
-    return np.where(keys[at] == some, at, -1)[inverse] if len(keys) else np.full(len(wanted), -1)
-
-
-def _by_row(rows: np.ndarray, columns: np.ndarray, out: np.ndarray) -> None:
-    """Adds to each of out's rows what columns have for it, repeats and all: column by column, so that rows need no order."""
-    out += np.array([np.bincount(rows, weights=x, minlength=len(out)) for x in columns]).T
+    return np.where(keys[at] == wanted, at, -1) if len(keys) else np.full(len(wanted), -1)
 
 
 def before(ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -260,7 +258,11 @@ class Model:
             words, nodes = (np.repeat(np.arange(known), np.diff(x)) for x in (pairs.pair_of, pairs.node_of))
             self.pair, self.node = words * known + pairs.word, nodes * len(lay.prior) + pairs.node
         weights = np.zeros((sum(lay.tables), CLASSES), np.float32) if weights is None else weights
-        self.last, self.skip, self.both = np.split(weights, np.cumsum(lay.tables)[:-1])
+        # Of each table the logarithms, less a row's highest, and their exponentials: a row's own factor is in all classes alike.
+        self.rows = np.split(weights, np.cumsum(lay.tables)[:-1])
+        self.rows[0] = self.rows[0] + lay.start.astype(np.float32)
+        self.rows = [x - x.max(1, keepdims=True) for x in self.rows]
+        self.exp = [np.exp(x) for x in self.rows]
         x = lay.prior[lay.node_of] + (0 if deep is None else deep)
         self.logs = x - _softmax(x)[0][:, None]
         self.floor = math.log(lay.mass[-1] + ALPHA * lay.size[-1])
@@ -298,44 +300,106 @@ class Model:
         for _, row, to in self._branches(head, at, one):
             np.add.at(deep.reshape(-1), row * CLASSES + to, np.float32(1))
 
-    def block(self, ids: np.ndarray, lens: np.ndarray, expected: np.ndarray | None = None, skip: int = 0) -> np.ndarray:
+    def block(self, ids: np.ndarray, lens: np.ndarray, expected: np.ndarray | None = None, skip: int = 0) -> np.ndarray | None:
         """Natural logarithms of the tokens' probabilities; of words beyond the head, without their counts. The first `skip` tokens are context alone.
 
         ids beyond the head are its length and a shape. Into expected, where it is given, goes how often the
-        model expects the features of the classes' tables instead, and of the trees nothing is read.
+        model expects the features of the classes' tables instead, and nothing else is made.
         """
-        lay = self.lay
-        head, at, cls, one, two, last = self._placed(ids, lens, skip)
-        contexts, _, pairs = lay.tables
-        keys, inverse = np.unique(one * contexts + two, return_inverse=True)
-        a, b = np.divmod(keys, contexts)
-        ab = _pair(a, b, pairs, 1)
-        x = lay.start.astype(np.float32) + self.last[a] + self.skip[b] + self.both[ab]
-        logz, share = _softmax(x)
         if expected is not None:
-            edge = np.cumsum((0,) + lay.tables)
-            share *= np.bincount(inverse, minlength=len(keys))[:, None].astype(np.float32)
-            columns = np.ascontiguousarray(share.T, np.float64)
-            for k, rows in enumerate((a, b, ab)):
-                _by_row(rows, columns, expected[edge[k] : edge[k + 1]])
-            return logz
-        out = x[inverse, cls].astype(np.float64) - logz[inverse]
+            return self.expect(self.contexts(ids, lens, skip), expected)
+        head, at, cls, one, two, last = self._placed(ids, lens, skip)
+        three = one, two, _pair(one, two, self.lay.tables[2], 1)
+        out = sum(x.ravel()[rows * CLASSES + cls].astype(np.float64) for x, rows in zip(self.rows, three, strict=True)) - self._logz(*three)
         out[~head] -= self.floor
-        tree, open_ = np.zeros(len(out)), np.zeros(len(out), bool)
+        told = np.flatnonzero(head)
+        keys, inverse = np.unique(last[told] * self.known + at[told], return_inverse=True)
+        out[told] += self._trees(*np.divmod(keys, self.known))[inverse]
+        return out
+
+    def _logz(self, *three: np.ndarray) -> np.ndarray:
+        """The logarithms of the sums of the classes' exponentials, by rows of the three tables, as self.rows has them."""
+        n = len(three[0])
+        z = np.empty(n, np.float32)
+        held = np.empty((3, NEAR, CLASSES), np.float32)
+        for k in range(0, n, NEAR):
+            x, y, e = (np.take(e, rows[k : k + NEAR], 0, out=h[: min(NEAR, n - k)], mode="clip") for e, rows, h in zip(self.exp, three, held, strict=True))
+            np.einsum("ij,ij->i", np.multiply(x, y, out=x), e, out=z[k : k + NEAR])
+        low = np.flatnonzero(z < TINY)
+        z[low] = 1
+        out = np.log(z, dtype=np.float64)
+        out[low] = _softmax(self._logs(low, three))[0]
+        return out
+
+    def _logs(self, of: np.ndarray, three: tuple[np.ndarray, ...]) -> np.ndarray:
+        """The classes' logarithms, not yet made to sum to 1."""
+        return sum(x[rows[of]].astype(np.float64) for x, rows in zip(self.rows, three, strict=True))
+
+    def _trees(self, last: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The logarithms of words within their classes, by the word before (0: the beginning) and number, both in order."""
+        lay = self.lay
+        out = np.zeros(len(at))
+        rest, open_ = np.arange(len(at)), np.zeros(len(at), bool)
         if self.pairs:
-            told = np.flatnonzero(head & (last < self.known))
-            pair = _find(self.pair, last[told] * self.known + at[told])
-            open_[told[pair < 0]] = True
-        for here, row, to in self._branches(head, at, one):
+            pair = _find(self.pair, np.where(last < self.known, last * self.known + at, -1))
+            out = self.pairs.logs[pair].astype(np.float64) if len(self.pairs.logs) else out
+            rest = np.flatnonzero(pair < 0)
+            last, at = last[rest], at[rest]
+            open_ = last < self.known
+        one = np.where(last < self.known, lay.context[np.minimum(last, self.known - 1)], lay.own + (last - self.known) % lay.shapes)
+        one[last == 0] = lay.before
+        tree = np.zeros(len(at))
+        for here, row, to in self._branches(np.full(len(at), True), at, one):
             go = here[open_[here]]
             if len(go):  # the deepest node that the last word is known at counts, whatever led there
                 node = _find(self.node, last[go] * len(lay.prior) + lay.node_of[row[open_[here]]])
                 tree[go[node >= 0]] = self.pairs.left[node[node >= 0]]
                 open_[go[node < 0]] = False
             tree[here] += self.logs[row, to]
-        if self.pairs:
-            tree[told[pair >= 0]] = self.pairs.logs[pair[pair >= 0]]
-        return out + tree
+        out[rest] = tree
+        return out
+
+    def contexts(self, ids: np.ndarray, lens: np.ndarray, skip: int = 0) -> np.ndarray:
+        """Of each token but the first `skip`, one number for the context rows of the two before it."""
+        _, _, _, one, two, _ = self._placed(ids, lens, skip)
+        return (one * self.lay.tables[0] + two).astype(np.uint32)
+
+    def expect(self, contexts: np.ndarray, expected: np.ndarray) -> None:
+        """Adds to expected how often the model expects the features of the classes' tables in these contexts.
+
+        A context's share of a class is the product of three tables' exponentials over their sum. So for each
+        row of a table what the two others make of its contexts is summed, by a product of matrices, and its
+        own exponential comes in at the end.
+        """
+        keys, n = np.unique(contexts, return_counts=True)
+        one, two = (x.astype(np.int64) for x in np.divmod(keys, self.lay.tables[0]))
+        three = one, two, _pair(one, two, self.lay.tables[2], 1)
+        logz = self._logz(*three)
+        far = logz < math.log(TINY)
+        weight = np.where(far, 0, n * np.exp(-np.where(far, 0, logz))).astype(np.float32)
+        far = np.flatnonzero(far)
+        share = _softmax(self._logs(far, three))[1] * n[far, None]
+        edge = np.cumsum((0,) + self.lay.tables)
+        for k, rows in enumerate(three):
+            order = np.argsort(rows.astype(np.uint16), kind="stable")  # tables have fewer rows than that
+            row, w = rows[order], weight[order]
+            new = np.append(True, row[1:] != row[:-1])
+            (e, a), (f, b) = ((self.exp[j], three[j][order]) for j in range(3) if j != k)
+            sums = np.zeros((self.lay.tables[k], CLASSES))
+            for lo in range(0, len(order), SUMMED):
+                of = slice(lo, lo + SUMMED)
+                x, y = (np.take(t, r[of], 0, mode="clip") for t, r in ((e, a), (f, b)))
+                x *= y
+                place = np.cumsum(new[of])
+                place -= place[0]
+                take = np.zeros((place[-1] + 1, len(place)), np.float32)
+                take[place, np.arange(len(place))] = w[of]
+                first = new[of].copy()
+                first[0] = True
+                sums[row[of][first]] += take @ x
+            sums *= self.exp[k]
+            np.add.at(sums, rows[far], share)
+            expected[edge[k] : edge[k + 1]] += sums
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, int]]:
@@ -501,13 +565,12 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
     part = encoded.where("NOT _held").select("ids").coalesce(tasks)
 
     def summed(work, height: int, *given: np.ndarray) -> np.ndarray:
-        """The sum over tasks of the table that work(model, ids, lens, table, skip) fills, with a model of the given weights."""
+        """The sum over tasks of the table that work(model, blocks, table) fills, with a model of the given weights. Of blocks there are ids, lens and skip."""
         shared = spark.sparkContext.broadcast((lay, len(words.counts), *given))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model, table = Model(*shared.value), np.zeros((height, CLASSES), np.float32)
-            for _, _, _, ids, lens, skip in _blocks(batches, 0):
-                work(model, ids, lens, table, skip)
+            work(model, (x[3:] for x in _blocks(batches, 0)), table)
             for k in range(0, height, CHUNK):
                 if table[k : k + CHUNK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK], pa.int32()), pa.array([table[k : k + CHUNK].ravel()], pa.list_(pa.float32()))], names=["chunk", "v"])
@@ -520,11 +583,27 @@ def train(encoded: DataFrame, words: Words, lay: Layout, rounds: int = ROUNDS) -
         shared.destroy()
         return out
 
-    counted = summed(lambda model, ids, lens, table, skip: model.count(ids, lens, table[:rows], table[rows:], skip), rows + deep_rows)
+    def count(model: Model, blocks: Iterator[tuple], table: np.ndarray) -> None:
+        for ids, lens, skip in blocks:
+            model.count(ids, lens, table[:rows], table[rows:], skip)
+
+    def expect(model: Model, blocks: Iterator[tuple], table: np.ndarray) -> None:
+        """Contexts of many blocks at a time, since the more there are the more are alike."""
+        held, size = [], 0
+        for block in blocks:
+            held.append(model.contexts(*block))
+            size += len(held[-1])
+            if size >= CONTEXTS:
+                model.expect(np.concatenate(held), table)
+                held, size = [], 0
+        if held:
+            model.expect(np.concatenate(held), table)
+
+    counted = summed(count, rows + deep_rows)
     found, below = counted[:rows], counted[rows:]
     for turn in range(rounds):
         if turn:
-            expected = summed(lambda model, ids, lens, table, skip: model.block(ids, lens, table, skip), rows, weights)
+            expected = summed(expect, rows, weights)
         else:
             expected = found.sum(1, keepdims=True) * _softmax(lay.start[None].astype(np.float32))[1]
         weights += _step(found, expected)
