@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.operators.cubes import cube_distinct, dense_ids
-from sparkloom.operators.joins import asof_join, heavy_keys, overlap_join, skew_join
+from sparkloom.operators.joins import asof_join, heavy_keys, overlap_join, overlap_pairs, skew_join
 from sparkloom.plans import tables
 from sparkloom.sources.shared import Scratch
 
@@ -78,6 +78,64 @@ def test_overlaps(spark, rows_per_bin, keyed):
     assert overlap_join(a.limit(0), b, a_from=F.col("s"), a_to=F.col("e"), b_from=F.col("s"), b_to=F.col("e")).count() == 0
 
 
+@pytest.mark.parametrize("rows_per_bin", [5, 10_000])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_pairs_of_one_table(spark, rows_per_bin, keyed):
+    rng = random.Random(5)
+    some = lambda s, most: (rng.randrange(40), rng.choice([1, 2, 3]), rng.randrange(3), s, s + rng.choice([-40, -3, 0, 1, 5, most]))
+    rows = [some(rng.randrange(200), 150) for _ in range(90)] + [(None, 1, 1, 0, 190), (7, None, 1, 0, 180), (8, 1, None, 0, 170), (9, 1, 1, None, 5), (9, 2, 1, 5, None)]
+    rows += rows[:3] + [(50 + i, 1, 1, 60, 70) for i in range(4)]
+    df = spark.createDataFrame(rows, "id int, line int, k int, s int, e int")
+    got = overlap_pairs(df, start=F.col("s"), end=F.col("e"), order=("id", "line"), on=[F.col("k")] if keyed else [], rows_per_bin=rows_per_bin).collect()
+
+    def before(x, y):
+        return None not in (x[0], y[0]) and (x[0] < y[0] or (x[0] == y[0] and None not in (x[1], y[1]) and x[1] < y[1]))
+
+    whole = [x for x in rows if None not in x[3:]]
+    want = [(x, y) for x in whole for y in whole if before(x, y) and x[3] <= y[4] and y[3] <= x[4] and (not keyed or x[2] is not None and x[2] == y[2])]
+    first = lambda x, y: (x, y) if (x[3], 0) <= (y[3], 0) else (y, x)
+    assert sorted(((tuple(r.a), tuple(r.b)) for r in got), key=str) == sorted((first(*p) for p in want), key=str) and len(want) > 300
+    assert all((r.since, r.till) == (max(r.a.s, r.b.s), min(r.a.e, r.b.e)) and (not keyed or tuple(r.key) == (r.a.k,)) for r in got)
+    assert overlap_pairs(df.limit(0), start=F.col("s"), end=F.col("e"), order=("id",)).count() == 0
+
+
+def exchanged(node):
+    """Rows written by all exchanges of a plan that has run."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return exchanged(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return exchanged(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(exchanged(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_long_shipments_are_not_laid_out_again_and_again(spark, tmp_path):
+    """Shipments that are long beside the finest bins: each of many parts has few of them, so few bins do."""
+    import datetime
+
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng, n = random.Random(6), 40_000
+    names = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    made = [(rng.choice([None, *range(5000)]), rng.randrange(1, 8), rng.randrange(2000), float(rng.randrange(-20, 500)), datetime.datetime(1995, 1, 1) + datetime.timedelta(rng.randrange(2500))) for _ in range(n - 2)]
+    made += made[:2]
+    pq.write_table(pa.Table.from_pydict(dict(zip(names, map(list, zip(*made, strict=True)), strict=True))), tmp_path / "lineitem.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = tables.QUERIES["overlapping_shipments"](spark, str(tmp_path))
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 2 * n <= exchanged(got._jdf.queryExecution().executedPlan()) < 3 * n
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+    assert sorted(map(tuple, rows)) == sorted(con.sql(tables.ORACLE_SQL["overlapping_shipments"]).fetchall()) and rows
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_skewed_keys(spark, how):
     rng = random.Random(3)
